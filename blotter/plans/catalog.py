@@ -563,3 +563,7 @@ def flagship_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windows.window_counts(events(spark, sf_dir), "ts", "event_type", 86400, 21600,
                                    method="panes")
     return windows.to_alerts(counts, 2, "event_type")
+
+
+# Source, stream, sink and serving keys register themselves on import.
+from . import io_queries  # noqa: E402,F401

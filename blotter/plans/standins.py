@@ -82,6 +82,7 @@ def raw_crimes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_RAW_CRIMES = f"""
 SELECT
+  CAST(o_orderkey AS VARCHAR) AS "ID",
   CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
        ELSE 'JC' || CAST(o_orderkey AS VARCHAR) END AS "Case Number",
   CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F' THEN 'unknown'
