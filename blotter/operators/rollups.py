@@ -2,9 +2,9 @@
 
 Every rollup is a partial + final hash aggregate, so a hot key (one value with
 a third of the rows) is combined map-side before the shuffle and never lands
-whole in one task. Multi-way rollups are written as grouping sets, giving one
-scan of the input plus an Expand instead of one scan per branch; a
-``method="union"`` form is kept for the benchmark comparison.
+whole in one task. Multi-way rollups read their input once: each row is
+stacked into one (type, value) pair per rollup and a single aggregate counts
+them. Grouping-set and union forms are kept for the benchmark comparison.
 """
 
 from __future__ import annotations
@@ -54,10 +54,31 @@ def trend(df: DataFrame, kind: str, ts: str = "event_ts", key: str = "district")
 
 
 def trend_all(df: DataFrame, ts: str = "event_ts", key: str = "district",
-              method: str = "grouping_sets") -> DataFrame:
-    """The five trend rollups as one table."""
+              method: str = "stack") -> DataFrame:
+    """The five trend rollups as one table.
+
+    ``stack`` (default): each row becomes five (type, value) pairs inside the
+    scan stage and one partial aggregate on those two columns combines them,
+    so one scan feeds all five rollups and the shuffle carries about one row
+    per distinct (type, value) per task, whatever the input size.
+    ``grouping_sets`` is the Expand-based form, ``union`` one scan per rollup.
+    """
     if method == "union":
         return reduce(DataFrame.unionByName, [trend(df, k, ts, key) for k in TREND_TYPES])
+    if method == "stack":
+        pairs = F.array(*[F.struct(F.lit(k).alias("trend_type"),
+                                   (F.coalesce(_period(k, ts, key), F.lit(UNKNOWN)) if k != "district"
+                                    else F.col(key)).alias("period_value"))
+                          for k in TREND_TYPES])
+        stacked = df.select(F.inline(pairs)).filter(
+            F.col("period_value").isNotNull())  # only the district trend has NULLs; they are dropped
+        out = stacked.groupBy("trend_type", "period_value").agg(
+            F.count(F.lit(1)).alias("crime_count"))
+        return out.select(
+            "trend_type", "period_value",
+            F.when(F.col("trend_type") == "district", F.col("period_value"))
+             .otherwise(F.lit(None).cast("string")).alias("district"),
+            "crime_count")
     cols = {k: F.coalesce(_period(k, ts, key), F.lit(UNKNOWN)) if k != "district"
             else F.col(key) for k in TREND_TYPES}
     keyed = df.select(*[c.alias(f"p_{k}") for k, c in cols.items()])
@@ -104,10 +125,20 @@ def rate_by(joined: DataFrame, group_type: str, column: str | None = None,
                                  "crime_count", "arrest_count"))
 
 
-def rate_all(joined: DataFrame, method: str = "grouping_sets") -> DataFrame:
-    """The three rate groupings as one table, one pass over the join."""
+def rate_all(joined: DataFrame, method: str = "stack") -> DataFrame:
+    """The three rate groupings as one table, one pass over the join
+    (``stack`` as in ``trend_all``; ``grouping_sets`` and ``union`` kept)."""
     if method == "union":
         return reduce(DataFrame.unionByName, [rate_by(joined, g) for g in RATE_GROUPS])
+    if method == "stack":
+        pairs = F.array(*[F.struct(F.lit(g).alias("group_type"),
+                                   F.coalesce(F.col(c), F.lit(UNKNOWN)).alias("group_value"))
+                          for g, c in RATE_GROUPS.items()])
+        stacked = joined.select(F.inline(pairs), F.col("arrest_ts").isNotNull().alias("arrested"))
+        out = stacked.groupBy("group_type", "group_value").agg(
+            F.count(F.lit(1)).alias("crime_count"),
+            F.count_if(F.col("arrested")).alias("arrest_count"))
+        return _with_rate(out)
     names = list(RATE_GROUPS)
     keyed = joined.select(
         *[F.coalesce(F.col(RATE_GROUPS[g]), F.lit(UNKNOWN)).alias(f"k_{g}") for g in names],

@@ -108,7 +108,12 @@ def parsed(spark, d):
     return ev.parse_messages(messages(spark, d))
 
 
-def stage_messages(spark, d, n_files=4, copies=1):
+# Message files staged per stream key and read per micro-batch (two batches,
+# so window state always crosses a batch boundary).
+STAGED_FILES = 8
+
+
+def stage_messages(spark, d, n_files=STAGED_FILES, copies=1):
     path = scratch_path(spark, "messages")
     return runner.stage_files(messages(spark, d), path, n_files, "event_id", copies=copies)
 
@@ -157,10 +162,10 @@ def q_limit_valid(spark, d):
 @register("stream_replay_events", ctes(
     f"SELECT {_PRODUCED_COLS} FROM produced WHERE reason IS NULL", "produced"))
 def q_stream_replay_events(spark, d):
-    """The crime CSV replayed as a file stream (1 file per micro-batch)
+    """The crime CSV replayed as a file stream (4 files per micro-batch)
     through the producer rules into a file sink."""
     src = scratch_path(spark, "crimes-replay")
-    runner.stage_files(S.raw_crimes(spark, d), src, 4, "ID", fmt="csv")
+    runner.stage_files(S.raw_crimes(spark, d), src, STAGED_FILES, "ID", fmt="csv")
     stream = runner.file_stream(spark, src, CRIME_SCHEMA, fmt="csv", header="true")
     out = ev.accepted_events(ev.produce_events(stream))
     sink = runner.AppendTable(scratch_path(spark, "replayed"))

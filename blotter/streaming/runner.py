@@ -41,7 +41,7 @@ def stage_files(df: DataFrame, path: str, n_files: int, order_by: str | None = N
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files: int = 1, **options) -> DataFrame:
+                max_files: int = 4, **options) -> DataFrame:
     """A folder replayed as a stream, ``max_files`` files per micro-batch."""
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     r = r.option("recursiveFileLookup", "true")
@@ -50,12 +50,32 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.format(fmt).load(path)
 
 
+# State store used when the session names none (RocksDB keeps
+# large keyed state off the JVM heap; changelog checkpointing makes commits
+# incremental).
+STATE_STORE_DEFAULTS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def ensure_state_store(spark: SparkSession) -> None:
+    """Use RocksDB state unless the session or application chose a provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) or spark.sparkContext.getConf().contains(key):
+        return
+    for k, v in STATE_STORE_DEFAULTS.items():
+        spark.conf.set(k, v)
+
+
 def run_available(df: DataFrame, mode: str, checkpoint: str,
                   batch_fn: Callable[[DataFrame, int], None] | None = None,
                   path: str | None = None, fmt: str = "parquet",
                   name: str | None = None) -> None:
     """Run a stream over everything available now, then stop (W12 in tests;
     production uses ``trigger(processingTime=slide)``)."""
+    ensure_state_store(df.sparkSession)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)

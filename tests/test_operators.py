@@ -50,11 +50,14 @@ def test_flag_proportion(spark):
 def test_grouping_sets_equal_unions(spark):
     c = catalog.crimes(spark, SF_SMALL)
     a = rollups.trend_all(c)
-    b = rollups.trend_all(c, method="union")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for m in ("union", "grouping_sets"):
+        b = rollups.trend_all(c, method=m)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     j = catalog.joined(spark, SF_SMALL)
-    ra, rb = rollups.rate_all(j), rollups.rate_all(j, method="union")
-    assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
+    ra = rollups.rate_all(j)
+    for m in ("union", "grouping_sets"):
+        rb = rollups.rate_all(j, method=m)
+        assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
 
 
 def test_trend_sums(spark):
