@@ -416,3 +416,29 @@ def q_serve_hotspots(spark, d):
     """T4 + P19: hotspot centres for the map view."""
     from ..operators.hotspots import kmeans_hotspots
     return serving.hotspot_map(kmeans_hotspots(crimes(spark, d)))
+
+
+# ---------------------------------------------------------- whole job
+@register("batch_job", ctes(f"""
+SELECT 'crime_trends' AS table_name, count(*) AS row_count FROM trend_all
+UNION ALL SELECT 'arrest_rates', count(*) FROM rate_all
+UNION ALL SELECT 'violence_stats', count(*) FROM (
+  SELECT 1 FROM violence GROUP BY 'homicide_vs_shooting:' || coalesce(incident_primary, 'UNKNOWN'), district, month
+  UNION ALL SELECT 1 FROM violence GROUP BY community_area
+  UNION ALL SELECT 1 FROM violence GROUP BY district)
+UNION ALL SELECT 'offender_density', count(*) FROM density
+UNION ALL SELECT 'hotspots', 10
+UNION ALL SELECT 'correlations', (SELECT count(*) FROM (
+  SELECT v.district FROM (SELECT DISTINCT district FROM violence) v
+  JOIN (SELECT DISTINCT coalesce(district, 'UNKNOWN') AS district FROM joined) r ON v.district = r.district))
+  + (SELECT count(*) FROM density)""", "trend_all", "rate_all", "violence", "density", "joined"))
+def q_batch_job(spark, d):
+    """The whole batch job (six tables, inputs staged once); rows per table.
+    Offender buckets use the portable hash here so the SQL check can follow."""
+    from .batch import RESULT_TABLES, run
+    paths = run(spark, d, hash_method="md5")
+    parts = [spark.read.parquet(paths[t]).select(F.lit(t).alias("table_name"))
+             for t in RESULT_TABLES]
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), parts).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("row_count"))

@@ -169,3 +169,27 @@ def test_restart_resumes_from_checkpoint(spark):
     runner.run_available(stream().select("case_number"), "append", chk, sink)
     assert sink.read(spark).count() > first
     assert sink.read(spark).count() == sink.read(spark).distinct().count()
+
+
+def test_batch_job_tables(spark):
+    from blotter.plans.batch import RESULT_TABLES, build
+    from blotter.schemas import RESULT_SCHEMAS
+    built = build(spark, SF_SMALL)
+    assert sorted(built) == sorted(RESULT_TABLES)
+    for name, df in built.items():
+        assert [f.name for f in df.schema.fields] == RESULT_SCHEMAS[name].fieldNames()
+    trends = built["crime_trends"]
+    assert trends.filter(F.col("period_value").isNull()).count() == 0
+
+
+def test_alert_stream_append_is_subset_of_batch(spark):
+    from blotter.streaming.alerting import alert_stream
+    path = io_queries.stage_messages(spark, SF_SMALL)
+    alerts = alert_stream(io_queries.message_stream(spark, path), 86400, 21600, 2)
+    sink = runner.AppendTable(scratch_path(spark, "t-alert-append"))
+    runner.run_available(alerts, "append", runner.checkpoint_dir(spark, "t-alert-append"), sink)
+    got = sink.read(spark)
+    acc, _ = ev.split_parsed(io_queries.parsed(spark, SF_SMALL))
+    batch = windows.to_alerts(windows.window_counts(acc, "event_ts", "district", 86400, 21600), 2)
+    assert got.count() > 0
+    assert got.exceptAll(batch).count() == 0
