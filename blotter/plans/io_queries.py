@@ -27,7 +27,7 @@ from .sql import ctes, register_cte
 register_cte("rate_all", " UNION ALL ".join(f"({_rate_sql(g)})" for g in rollups.RATE_GROUPS),
              ["joined"])
 register_cte("msg", """
-SELECT event_id, (primary_type = 'error' AND latitude > 400.0) AS malformed,
+SELECT event_id, (primary_type = 'error' AND latitude > 100.0) AS malformed,
        case_number, date, block, primary_type, district AS district_raw, arrest AS arrest_raw,
        latitude AS lat, longitude AS lon
 FROM event_fields""", ["event_fields"])

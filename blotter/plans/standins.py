@@ -221,7 +221,9 @@ def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(value < 1.0, F.lit("  "))
          .otherwise(F.concat(F.lit("user "), _text(F.col("user_id")))).alias("block"),
         F.col("event_type").alias("primary_type"),
-        F.when(value > 480.0, F.lit("HQ"))
+        F.when(value > 150.0, F.lit("HQ"))
+         .when((F.col("event_type") == "signup") & (value > 140.0),
+               F.concat(F.lit("D"), _text(F.col("event_id")), F.lit("0000000000")))
          .otherwise(F.concat(F.lit("D"), _text(F.array_position(types, F.col("event_type")))))
          .alias("district"),
         F.when(value > 50.0, F.lit("true")).otherwise(F.lit("false")).alias("arrest"),
@@ -233,13 +235,14 @@ def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed JSON messages as a broker would hold them: (key, value, event_id).
 
-    A few messages are cut short (malformed JSON) so the parser's reject path
-    is exercised by real data.
+    Some messages are cut short (malformed JSON), carry a blank block, the
+    ``HQ`` code (no digits) or a code whose digits overflow an int, so every
+    reject path of the parser is exercised by real data.
     """
     f = event_fields(spark, sf_dir)
     body = F.to_json(F.struct("case_number", "date", "block", "primary_type", "district",
                               "arrest", "latitude", "longitude"))
-    broken = (F.col("primary_type") == "error") & (F.col("latitude") > 400.0)
+    broken = (F.col("primary_type") == "error") & (F.col("latitude") > 100.0)
     return f.select(
         F.col("event_id"),
         F.col("district").alias("key"),
@@ -255,7 +258,8 @@ SELECT event_id, ts,
   strftime(ts, '{SQL_TIME_FORMAT}') AS date,
   CASE WHEN value < 1.0 THEN '  ' ELSE 'user ' || CAST(user_id AS VARCHAR) END AS block,
   event_type AS primary_type,
-  CASE WHEN value > 480.0 THEN 'HQ'
+  CASE WHEN value > 150.0 THEN 'HQ'
+       WHEN event_type = 'signup' AND value > 140.0 THEN 'D' || CAST(event_id AS VARCHAR) || '0000000000'
        ELSE 'D' || CAST(list_position({_SQL_TYPES}, event_type) AS VARCHAR) END AS district,
   CASE WHEN value > 50.0 THEN 'true' ELSE 'false' END AS arrest,
   value AS latitude,

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.codes import stream_code, zfill_code
 from ..functions.parse import (first_missing, is_empty, parse_boolean_strict,
                                parse_event_time, to_double, truthy)
-from ..schemas import EVENT_FIELD_ALIASES, EVENT_FIELDS, EVENT_MESSAGE_SCHEMA
+from ..schemas import (CORRUPT_COLUMN, EVENT_FIELD_ALIASES, EVENT_FIELDS,
+                       EVENT_MESSAGE_SCHEMA, text_schema)
 
 ACCEPTED = "accepted"
 
@@ -59,15 +60,21 @@ def accepted_events(rows: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ consumer
+_DECODE_SCHEMA = text_schema(EVENT_FIELDS + ["produced_at"], corrupt=True)
+
+
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text to named text fields (numbers keep their JSON text);
-    ``_malformed`` marks text that is not JSON."""
-    return messages.select(
-        "*",
-        F.try_parse_json(F.col(value)).isNull().alias("_malformed"),
-        F.from_json(F.col(value), EVENT_MESSAGE_SCHEMA).alias("_m"),
-    ).select(*[c for c in messages.columns], "_malformed",
-             *[F.col(f"_m.{f}").alias(f) for f in EVENT_FIELDS])
+    """JSON text to named text fields (numbers keep their JSON text).
+
+    One parse per message: text that is not a JSON object (or is NULL) lands
+    in the corrupt-record field and sets ``_malformed``.
+    """
+    m = F.from_json(F.col(value), _DECODE_SCHEMA,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    return messages.select("*", m.alias("_m")).select(
+        *[c for c in messages.columns],
+        (F.col("_m").isNull() | F.col(f"_m.{CORRUPT_COLUMN}").isNotNull()).alias("_malformed"),
+        *[F.col(f"_m.{f}").alias(f) for f in EVENT_FIELDS])
 
 
 def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:

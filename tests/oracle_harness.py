@@ -29,6 +29,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "float": "FLOAT", "date": "DATE"}
+
+
 def norm(v):
     if v is None:
         return None
@@ -66,7 +71,13 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> dict:
         return out
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
+    otypes = {d[0]: str(d[1]) for d in res.description}
     orows = res.fetchall()
+    stypes = dict(df.dtypes)
+    bad_types = {c: (stypes[c], otypes[c]) for c in cols
+                 if c in otypes and SPARK_TO_DUCK.get(stypes[c], stypes[c]) != otypes[c]}
+    if bad_types:
+        out["types"] = bad_types
     out["oracle_rows"] = len(orows)
     same_cols = sorted(cols) == sorted(ocols)
     same = same_cols and len(rows) == len(orows) and digest(cols, rows) == digest(ocols, orows)
