@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bucket
+from ..session import shared_dir
 from .rollups import UNKNOWN, count_by_key, rate_by
 
 
@@ -48,6 +49,7 @@ def dense_index(df: DataFrame, order_by: list[str], name: str = "index") -> Data
     checkpointed to the shared folder first, which fixes the partition
     boundaries for both uses and cuts the lineage.
     """
+    shared_dir(df.sparkSession)  # checkpoints go to spark.checkpoint.dir
     ordered = [F.col(c).asc_nulls_first() for c in order_by]
     ranged = (df.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
                 .withColumn("_mid", F.monotonically_increasing_id()))
