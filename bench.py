@@ -18,7 +18,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from blotter.operators import rollups, windows  # noqa: E402
+from blotter.operators import rollups  # noqa: E402
 from blotter.plans import catalog  # noqa: E402
 from blotter.plans.catalog import QUERIES  # noqa: E402
 from blotter.session import build_session  # noqa: E402

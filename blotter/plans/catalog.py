@@ -12,16 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import codes, hashing
-from ..functions.parse import (format_event_time, iso_utc, parse_boolean_strict,
-                               parse_event_time, parse_iso_utc, to_bool, to_double,
-                               to_int, truthy)
+from ..functions import codes
+from ..functions.parse import (iso_utc, parse_boolean_strict, parse_event_time,
+                               parse_iso_utc, to_bool, to_double, to_int, truthy)
 from ..operators import cleaning, hotspots, linkage, rollups, windows
 from ..schemas import RESULT_SCHEMAS
 from ..session import pin_utc
 from . import standins as S
-from .sql import (CLEAN_CRIMES, bool_sql, code_sql, ctes, dbl_sql, int_sql,
-                  register_cte, ts_sql)
+from .sql import bool_sql, code_sql, ctes, dbl_sql, int_sql, register_cte, ts_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

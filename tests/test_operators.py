@@ -151,3 +151,18 @@ def test_check_not_null_counts(spark):
                                "trend_type string, period_value string, district string, crime_count long")
     out = {r.column_name: r.null_count for r in cleaning.check_not_null(df, RESULT_SCHEMAS["crime_trends"]).collect()}
     assert out == {"trend_type": 0, "period_value": 1, "crime_count": 1}
+
+
+def test_null_periods_become_unknown(spark):
+    df = spark.createDataFrame([(None, "001"), (dt.datetime(2020, 1, 5, 13), None)],
+                               "event_ts timestamp_ntz, district string")
+    got = {(r.trend_type, r.period_value): r.crime_count for r in rollups.trend_all(df).collect()}
+    assert got[("year", "UNKNOWN")] == 1 and got[("hour", "13")] == 1
+    assert ("district", None) not in got and got[("district", "001")] == 1
+
+
+def test_serving_order_is_lexical(spark):
+    from blotter.operators import serving
+    t = spark.createDataFrame([("month", p, None, 1) for p in ["2", "10", "1", "12", "11"]],
+                              "trend_type string, period_value string, district string, crime_count long")
+    assert [r.period_value for r in serving.trend_lines(t).collect()] == ["1", "10", "11", "12", "2"]
