@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bucket
+from ..schemas import PAIR_DENSITY_COUNT, PAIR_INCIDENT_RATE
 from ..session import shared_dir
 from .rollups import UNKNOWN, count_by_key, rate_by
 
@@ -102,7 +103,7 @@ def bucket_counts(registry: DataFrame, n, method: str = "murmur",
 
 # ------------------------------------------------------------------- pairs
 def pair_incident_vs_rate(violence: DataFrame, joined: DataFrame,
-                          name: str = "violence_rate_vs_arrest_rate") -> DataFrame:
+                          name: str = PAIR_INCIDENT_RATE) -> DataFrame:
     """J3 + P10 + P22: incidents per district against the district arrest rate.
 
     The district rate is computed directly (not filtered out of the unioned
@@ -118,7 +119,7 @@ def pair_incident_vs_rate(violence: DataFrame, joined: DataFrame,
 
 
 def pair_density_vs_count(density: DataFrame, crimes: DataFrame,
-                          name: str = "sex_offender_density_vs_crime_rate") -> DataFrame:
+                          name: str = PAIR_DENSITY_COUNT) -> DataFrame:
     """Offenders per station district against crimes per district (0 if none)."""
     counts = count_by_key(crimes, "district", "crime_count")
     return density.join(counts, "district", "left").select(

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UNKNOWN = "UNKNOWN"
+from ..schemas import METRIC_AREA, METRIC_FLAG, METRIC_MIX_PREFIX, UNKNOWN, YES_FLAGS
 
 # Trend types of the reference, in its order.
 TREND_TYPES = ["year", "month", "day_of_week", "hour", "district"]
@@ -159,7 +159,7 @@ def rate_all(joined: DataFrame, method: str = "stack") -> DataFrame:
 METRIC_COLUMNS = ["metric", "district", "period_value", "community_area", "incident_count", "rate"]
 
 
-def mix_by_key_period(v: DataFrame, prefix: str = "homicide_vs_shooting:",
+def mix_by_key_period(v: DataFrame, prefix: str = METRIC_MIX_PREFIX,
                       label: str = "incident_primary", key: str = "district",
                       period: str = "month") -> DataFrame:
     """Count by (prefixed label, key, period)."""
@@ -173,7 +173,7 @@ def mix_by_key_period(v: DataFrame, prefix: str = "homicide_vs_shooting:",
 
 
 def count_by_area(v: DataFrame, area: str = "community_area",
-                  metric: str = "top_community_area") -> DataFrame:
+                  metric: str = METRIC_AREA) -> DataFrame:
     """A10: full count per area (no sort or limit, as in the reference)."""
     out = v.groupBy(F.col(area).alias("community_area")).agg(
         F.count(F.lit(1)).alias("incident_count"))
@@ -182,12 +182,8 @@ def count_by_area(v: DataFrame, area: str = "community_area",
                       "incident_count", F.lit(None).cast("double").alias("rate"))
 
 
-# Flag spellings counted as "yes" for the gunshot proportion.
-YES_FLAGS = ["YES", "Y"]
-
-
 def flag_proportion(v: DataFrame, flag: str = "gunshot_injury", key: str = "district",
-                    metric: str = "gunshot_proportion", yes=YES_FLAGS) -> DataFrame:
+                    metric: str = METRIC_FLAG, yes=YES_FLAGS) -> DataFrame:
     """Count and share of rows whose flag is a yes (NULL counts as no)."""
     hit = F.when(F.col(flag).isin(*yes), F.lit(1.0)).otherwise(F.lit(0.0))
     out = v.groupBy(F.col(key).alias("district")).agg(

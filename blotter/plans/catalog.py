@@ -16,7 +16,8 @@ from ..functions import codes
 from ..functions.parse import (iso_utc, parse_boolean_strict, parse_event_time,
                                parse_iso_utc, to_bool, to_double, to_int, truthy)
 from ..operators import cleaning, hotspots, linkage, rollups, windows
-from ..schemas import RESULT_SCHEMAS
+from ..schemas import (METRIC_AREA, METRIC_FLAG, METRIC_MIX_PREFIX, PAIR_DENSITY_COUNT,
+                       PAIR_INCIDENT_RATE, RESULT_SCHEMAS)
 from ..session import pin_utc
 from . import standins as S
 from .sql import bool_sql, code_sql, ctes, dbl_sql, int_sql, register_cte, ts_sql
@@ -192,13 +193,13 @@ def q_dedup_key(spark, d):
 
 
 # ----------------------------------------------------------------- metrics
-_MIX_SQL = ("SELECT 'homicide_vs_shooting:' || coalesce(incident_primary, 'UNKNOWN') AS metric, "
+_MIX_SQL = (f"SELECT '{METRIC_MIX_PREFIX}' || coalesce(incident_primary, 'UNKNOWN') AS metric, "
             "district, month AS period_value, CAST(NULL AS VARCHAR) AS community_area, "
             "count(*) AS incident_count, CAST(NULL AS DOUBLE) AS rate FROM violence GROUP BY 1, 2, 3")
-_AREA_SQL = ("SELECT 'top_community_area' AS metric, CAST(NULL AS VARCHAR) AS district, "
+_AREA_SQL = (f"SELECT '{METRIC_AREA}' AS metric, CAST(NULL AS VARCHAR) AS district, "
              "CAST(NULL AS VARCHAR) AS period_value, community_area, count(*) AS incident_count, "
              "CAST(NULL AS DOUBLE) AS rate FROM violence GROUP BY community_area")
-_FLAG_SQL = ("SELECT 'gunshot_proportion' AS metric, district, CAST(NULL AS VARCHAR) AS period_value, "
+_FLAG_SQL = (f"SELECT '{METRIC_FLAG}' AS metric, district, CAST(NULL AS VARCHAR) AS period_value, "
              "CAST(NULL AS VARCHAR) AS community_area, count(*) AS incident_count, "
              "avg(CASE WHEN gunshot_injury IN ('YES', 'Y') THEN 1.0 ELSE 0.0 END)::DOUBLE AS rate "
              "FROM violence GROUP BY district")
@@ -285,16 +286,16 @@ def q_bucket_murmur(spark, d):
 
 
 # ------------------------------------------------------------------ pairs
-_PAIR1_SQL = """
-SELECT 'violence_rate_vs_arrest_rate' AS correlation_name, v.district AS group_key,
+_PAIR1_SQL = f"""
+SELECT '{PAIR_INCIDENT_RATE}' AS correlation_name, v.district AS group_key,
        CAST(v.violence_count AS DOUBLE) AS x_value, CAST(r.arrest_rate AS DOUBLE) AS y_value
 FROM (SELECT district, count(*) AS violence_count FROM violence GROUP BY district) v
 JOIN (SELECT coalesce(district, 'UNKNOWN') AS district,
              count(*) FILTER (WHERE arrest_ts IS NOT NULL) / count(*) AS arrest_rate
       FROM joined GROUP BY 1) r ON v.district = r.district
 """
-_PAIR2_SQL = """
-SELECT 'sex_offender_density_vs_crime_rate' AS correlation_name, o.district AS group_key,
+_PAIR2_SQL = f"""
+SELECT '{PAIR_DENSITY_COUNT}' AS correlation_name, o.district AS group_key,
        CAST(o.offender_count AS DOUBLE) AS x_value, CAST(coalesce(c.crime_count, 0) AS DOUBLE) AS y_value
 FROM density o LEFT JOIN (SELECT district, count(*) AS crime_count FROM crimes GROUP BY district) c
   ON o.district = c.district

@@ -423,7 +423,7 @@ def q_serve_hotspots(spark, d):
 SELECT 'crime_trends' AS table_name, count(*) AS row_count FROM trend_all
 UNION ALL SELECT 'arrest_rates', count(*) FROM rate_all
 UNION ALL SELECT 'violence_stats', count(*) FROM (
-  SELECT 1 FROM violence GROUP BY 'homicide_vs_shooting:' || coalesce(incident_primary, 'UNKNOWN'), district, month
+  SELECT 1 FROM violence GROUP BY coalesce(incident_primary, 'UNKNOWN'), district, month
   UNION ALL SELECT 1 FROM violence GROUP BY community_area
   UNION ALL SELECT 1 FROM violence GROUP BY district)
 UNION ALL SELECT 'offender_density', count(*) FROM density

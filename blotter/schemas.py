@@ -58,6 +58,16 @@ EVENT_FIELD_ALIASES = {
     "longitude": ["Longitude", "LONGITUDE", "longitude"],
 }
 
+# Labels written into the result tables, and the yes-spellings
+# of the gunshot flag.
+UNKNOWN = "UNKNOWN"
+METRIC_MIX_PREFIX = "homicide_vs_shooting:"
+METRIC_AREA = "top_community_area"
+METRIC_FLAG = "gunshot_proportion"
+PAIR_INCIDENT_RATE = "violence_rate_vs_arrest_rate"
+PAIR_DENSITY_COUNT = "sex_offender_density_vs_crime_rate"
+YES_FLAGS = ["YES", "Y"]
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 
