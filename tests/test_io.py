@@ -219,3 +219,10 @@ def test_arrival_time_windows_run(spark):
     out = sink.read(spark)
     assert out.count() > 0
     assert out.filter(F.col("severity") != "HIGH").count() == 0  # threshold 0: always HIGH
+
+
+def test_correlations_from_stored_tables_equal_direct_pairs(spark):
+    from blotter.plans.batch import build
+    built = build(spark, SF_SMALL, hash_method="md5")["correlations"]
+    direct = catalog.pairs(spark, SF_SMALL)
+    assert built.exceptAll(direct).count() == 0 and direct.exceptAll(built).count() == 0
