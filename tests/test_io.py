@@ -226,3 +226,23 @@ def test_correlations_from_stored_tables_equal_direct_pairs(spark):
     built = build(spark, SF_SMALL, hash_method="md5")["correlations"]
     direct = catalog.pairs(spark, SF_SMALL)
     assert built.exceptAll(direct).count() == 0 and direct.exceptAll(built).count() == 0
+
+
+def test_start_alerts_production_path(spark):
+    """The long-running query: processing-time trigger, append mode under a
+    watermark, table + document sinks; drained and stopped for the test."""
+    from blotter.streaming.alerting import start_alerts
+    path = io_queries.stage_messages(spark, SF_SMALL)
+    table, docs = scratch_path(spark, "t-prod-table"), scratch_path(spark, "t-prod-docs")
+    q = start_alerts(io_queries.message_stream(spark, path), table, docs,
+                     runner.checkpoint_dir(spark, "t-prod"), trigger_s=1,
+                     size_s=86400, slide_s=21600, threshold=2)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = tables.read_table(spark, table)
+    acc, _ = ev.split_parsed(io_queries.parsed(spark, SF_SMALL))
+    batch = windows.to_alerts(windows.window_counts(acc, "event_ts", "district", 86400, 21600), 2)
+    assert got.count() > 0 and got.exceptAll(batch).count() == 0
+    assert spark.read.json(docs).count() == got.count()
