@@ -16,9 +16,12 @@ from pyspark.sql import types as T
 BATCH_COLUMN = "batch_id"
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``schema`` in its order, cast to its types (K8 shape)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def conform(df: DataFrame, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
+    """Columns of ``schema`` in its order, cast to its types (K8 shape), then
+    the ``keep`` columns (e.g. partition columns) unchanged."""
+    extra = [c for c in (keep or []) if c not in schema.fieldNames()]
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+                     *[F.col(c) for c in extra])
 
 
 def stamp(df: DataFrame, column: str = "generated_at") -> DataFrame:
@@ -26,15 +29,29 @@ def stamp(df: DataFrame, column: str = "generated_at") -> DataFrame:
     return df.withColumn(column, F.current_timestamp())
 
 
-def overwrite_table(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
+def with_date(df: DataFrame, ts: str, name: str = "event_date") -> DataFrame:
+    """A date column to partition a table by, so reads by time range prune
+    whole folders (the serving store's time index)."""
+    return df.withColumn(name, F.to_date(F.col(ts)))
+
+
+def overwrite_table(df: DataFrame, path: str, schema: T.StructType | None = None,
+                    partition_by: list[str] | None = None) -> None:
     """K1: replace the table contents; the declared schema is kept."""
-    out = conform(df, schema) if schema is not None else df
-    out.write.mode("overwrite").parquet(path)
+    out = conform(df, schema, keep=partition_by) if schema is not None else df
+    w = out.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def append_batch(df: DataFrame, path: str, batch_id: int,
+                 partition_by: list[str] | None = None) -> None:
     """K2: idempotent append of one batch (a replay rewrites the same batch)."""
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH_COLUMN}={int(batch_id)}")
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/{BATCH_COLUMN}={int(batch_id)}")
 
 
 def read_table(spark: SparkSession, path: str, keep_batch: bool = False) -> DataFrame:

@@ -246,3 +246,18 @@ def test_start_alerts_production_path(spark):
     batch = windows.to_alerts(windows.window_counts(acc, "event_ts", "district", 86400, 21600), 2)
     assert got.count() > 0 and got.exceptAll(batch).count() == 0
     assert spark.read.json(docs).count() == got.count()
+
+
+def test_date_partitioned_serving_prunes(spark):
+    from blotter.operators import serving
+    alerts = catalog.flagship_alerts(spark, SF_SMALL)
+    path = scratch_path(spark, "t-alerts-by-date")
+    tables.overwrite_table(tables.with_date(alerts, "alert_timestamp", "alert_date"), path,
+                           partition_by=["alert_date"])
+    stored = spark.read.parquet(path)
+    full = serving.latest(stored, "alert_timestamp", 5, ("district",)).drop("alert_date")
+    newest = full.agg(F.min("alert_timestamp")).first()[0].date().isoformat()
+    pruned = serving.latest(stored, "alert_timestamp", 5, ("district",), "alert_date", newest)
+    text = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(alert_date" in text
+    assert rows(pruned.drop("alert_date")) == rows(full)
