@@ -108,22 +108,19 @@ def parsed(spark, d):
     return ev.parse_messages(messages(spark, d))
 
 
-# Message files staged per stream key and read per micro-batch (two batches,
-# so window state always crosses a batch boundary).
-STAGED_FILES = 8
-
-
-def stage_messages(spark, d, n_files=STAGED_FILES, copies=1):
+def stage_messages(spark, d, copies=1) -> runner.Staged:
+    """The messages as replay files; streams read them in two micro-batches,
+    so window state always crosses a batch boundary."""
     path = scratch_path(spark, "messages")
-    return runner.stage_files(messages(spark, d), path, n_files, "event_id", copies=copies)
+    return runner.stage_files(messages(spark, d), path, "event_id", copies=copies)
 
 
-def message_stream(spark, path):
-    return runner.file_stream(spark, path, runner.MESSAGE_SCHEMA)
+def message_stream(spark, source):
+    return runner.file_stream(spark, source, runner.MESSAGE_SCHEMA)
 
 
-def stream_accepted(spark, path):
-    accepted, _ = ev.split_parsed(ev.parse_messages(message_stream(spark, path)))
+def stream_accepted(spark, source):
+    accepted, _ = ev.split_parsed(ev.parse_messages(message_stream(spark, source)))
     return accepted
 
 
@@ -162,11 +159,11 @@ def q_limit_valid(spark, d):
 @register("stream_replay_events", ctes(
     f"SELECT {_PRODUCED_COLS} FROM produced WHERE reason IS NULL", "produced"))
 def q_stream_replay_events(spark, d):
-    """The crime CSV replayed as a file stream (4 files per micro-batch)
+    """The crime CSV replayed as a file stream (two micro-batches)
     through the producer rules into a file sink."""
     src = scratch_path(spark, "crimes-replay")
-    runner.stage_files(S.raw_crimes(spark, d), src, STAGED_FILES, "ID", fmt="csv")
-    stream = runner.file_stream(spark, src, CRIME_SCHEMA, fmt="csv", header="true")
+    staged = runner.stage_files(S.raw_crimes(spark, d), src, "ID", fmt="csv")
+    stream = runner.file_stream(spark, staged, CRIME_SCHEMA, fmt="csv", header="true")
     out = ev.accepted_events(ev.produce_events(stream))
     sink = runner.AppendTable(scratch_path(spark, "replayed"))
     runner.run_available(out, "append", runner.checkpoint_dir(spark, "replay"), sink)
@@ -215,8 +212,8 @@ def q_quarantine_counts(spark, d):
     "SELECT district, case_number, date, primary_type FROM accepted", "accepted"))
 def q_stream_select(spark, d):
     """P17 + W3/W4: the routed projection of accepted events, as a stream."""
-    path = stage_messages(spark, d)
-    routed = ev.route(stream_accepted(spark, path)).drop("raw_json")
+    staged = stage_messages(spark, d)
+    routed = ev.route(stream_accepted(spark, staged)).drop("raw_json")
     sink = runner.AppendTable(scratch_path(spark, "routed"))
     runner.run_available(routed, "append", runner.checkpoint_dir(spark, "route"), sink)
     return sink.read(spark)
@@ -227,8 +224,8 @@ _STREAM_WC_SQL = _window_sql("accepted", "district", "event_ts", ALERT_SIZE_S, A
 
 
 def _stream_counts(spark, d):
-    path = stage_messages(spark, d)
-    acc = stream_accepted(spark, path)
+    staged = stage_messages(spark, d)
+    acc = stream_accepted(spark, staged)
     return windows.window_counts(acc, "event_ts", "district", ALERT_SIZE_S, ALERT_SLIDE_S)
 
 
@@ -272,8 +269,8 @@ def q_stream_dual_sink(spark, d):
 def q_stream_raw_archive(spark, d):
     """K4 + F20: accepted events archived with their nested payload (the
     load stamp ``ingested_at`` is written but not returned)."""
-    path = stage_messages(spark, d)
-    docs = ev.raw_archive(stream_accepted(spark, path))
+    staged = stage_messages(spark, d)
+    docs = ev.raw_archive(stream_accepted(spark, staged))
     target = scratch_path(spark, "raw-archive")
     runner.run_available(docs, "append", runner.checkpoint_dir(spark, "archive"),
                          path=target, fmt="parquet")
@@ -291,8 +288,8 @@ def q_stream_raw_archive(spark, d):
 def q_stream_dedup(spark, d):
     """Every message delivered twice; duplicates dropped by case number
     within the watermark, so the sink holds each event once."""
-    path = stage_messages(spark, d, copies=2)
-    acc = runner.event_time(stream_accepted(spark, path))
+    staged = stage_messages(spark, d, copies=2)
+    acc = runner.event_time(stream_accepted(spark, staged))
     out = (acc.withWatermark("event_time", "3650 days")
               .dropDuplicatesWithinWatermark(["case_number"])
               .select("case_number", "district", "event_ts"))
@@ -305,8 +302,8 @@ def q_stream_dedup(spark, d):
 def q_stream_late_drop(spark, d):
     """Append-mode window counts under a 10 minute watermark; windows are
     emitted once final and events behind the watermark are dropped."""
-    path = stage_messages(spark, d)
-    acc = runner.event_time(stream_accepted(spark, path))
+    staged = stage_messages(spark, d)
+    acc = runner.event_time(stream_accepted(spark, staged))
     counts = windows.window_counts(acc.withWatermark("event_time", "10 minutes"), "event_time",
                                    "district", ALERT_SIZE_S, ALERT_SLIDE_S)
     sink = runner.AppendTable(scratch_path(spark, "late"))
@@ -317,8 +314,8 @@ def q_stream_late_drop(spark, d):
 @register("stream_arrival_windows")
 def q_stream_arrival_windows(spark, d):
     """Windows by arrival time (the reference's semantics), update mode."""
-    path = stage_messages(spark, d)
-    acc = runner.arrival_stamp(stream_accepted(spark, path))
+    staged = stage_messages(spark, d)
+    acc = runner.arrival_stamp(stream_accepted(spark, staged))
     counts = windows.window_counts(acc, "arrived_at", "district", 300, 60)
     sink = runner.AppendTable(scratch_path(spark, "arrival"))
     runner.run_available(counts, "update", runner.checkpoint_dir(spark, "arrival"), sink)

@@ -8,13 +8,16 @@ sinks see each batch effectively once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from ..sources.files import glob_paths
 from ..sinks.tables import append_batch, append_documents, read_table
 
 MESSAGE_SCHEMA = T.StructType([
@@ -24,25 +27,52 @@ MESSAGE_SCHEMA = T.StructType([
 ])
 
 
-def stage_files(df: DataFrame, path: str, n_files: int, order_by: str | None = None,
-                fmt: str = "parquet", copies: int = 1) -> str:
-    """Write ``df`` as ``n_files`` files (range-ordered by ``order_by``), the
-    way a replayed topic lands in a folder; ``copies`` > 1 writes the same
-    records again, as an at-least-once producer does after a retry."""
-    out = df.repartitionByRange(n_files, F.col(order_by)) if order_by else df.repartition(n_files)
+# Records per staged file: the file count, and with it the write parallelism,
+# grows with the data instead of being a fixed number.
+RECORDS_PER_FILE = 1_000_000
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A folder of replay files and how many data files it holds."""
+    path: str
+    files: int
+
+    def per_trigger(self, batches: int = 2) -> int:
+        """Files per micro-batch so the replay takes ``batches`` triggers."""
+        return max(1, math.ceil(self.files / batches))
+
+
+def stage_files(df: DataFrame, path: str, order_by: str | None = None, fmt: str = "parquet",
+                copies: int = 1, min_files: int = 8,
+                records_per_file: int = RECORDS_PER_FILE) -> Staged:
+    """Write ``df`` as replay files, range-ordered by ``order_by`` (the way a
+    topic lands in a folder). One range partition per shuffle partition (at
+    least ``min_files``) and at most ``records_per_file`` records per file, so
+    large inputs become many files written in parallel. ``copies`` > 1 writes
+    the same records again, as an at-least-once producer does after a retry."""
+    spark = df.sparkSession
+    n = max(min_files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    out = df.repartitionByRange(n, F.col(order_by)) if order_by else df.repartition(n)
     for i in range(copies):
-        w = out.write.mode("overwrite")
+        w = out.write.mode("overwrite").option("maxRecordsPerFile", records_per_file)
         target = f"{path}/copy={i}"
         if fmt == "csv":
             w.option("header", True).csv(target)
         else:
             w.format(fmt).save(target)
-    return path
-
-
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files: int = 4, **options) -> DataFrame:
-    """A folder replayed as a stream, ``max_files`` files per micro-batch."""
+    ext = "csv" if fmt == "csv" else fmt
+    files = len(glob_paths(spark, f"{path}/copy=*/part-*.{ext}*"))
+    return Staged(path, files)
+
+
+def file_stream(spark: SparkSession, source: str | Staged, schema: T.StructType,
+                fmt: str = "parquet", max_files: int | None = None, **options) -> DataFrame:
+    """A folder replayed as a stream, ``max_files`` files per micro-batch
+    (default: half of a staged folder, so it takes two triggers)."""
+    path = source.path if isinstance(source, Staged) else source
+    if max_files is None:
+        max_files = source.per_trigger() if isinstance(source, Staged) else 4
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     r = r.option("recursiveFileLookup", "true")
     for k, v in options.items():

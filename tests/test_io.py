@@ -184,8 +184,8 @@ def test_batch_job_tables(spark):
 
 def test_alert_stream_append_is_subset_of_batch(spark):
     from blotter.streaming.alerting import alert_stream
-    path = io_queries.stage_messages(spark, SF_SMALL)
-    alerts = alert_stream(io_queries.message_stream(spark, path), 86400, 21600, 2)
+    staged = io_queries.stage_messages(spark, SF_SMALL)
+    alerts = alert_stream(io_queries.message_stream(spark, staged), 86400, 21600, 2)
     sink = runner.AppendTable(scratch_path(spark, "t-alert-append"))
     runner.run_available(alerts, "append", runner.checkpoint_dir(spark, "t-alert-append"), sink)
     got = sink.read(spark)
@@ -211,8 +211,8 @@ def test_producer_blank_rule_accepts_spaces(spark):
 
 def test_arrival_time_windows_run(spark):
     from blotter.streaming.alerting import alert_stream
-    path = io_queries.stage_messages(spark, SF_SMALL)
-    alerts = alert_stream(io_queries.message_stream(spark, path), 300, 60, 0,
+    staged = io_queries.stage_messages(spark, SF_SMALL)
+    alerts = alert_stream(io_queries.message_stream(spark, staged), 300, 60, 0,
                           watermark=None, by_arrival=True)
     sink = runner.AppendTable(scratch_path(spark, "t-arrival"))
     runner.run_available(alerts, "update", runner.checkpoint_dir(spark, "t-arrival"), sink)
@@ -232,9 +232,9 @@ def test_start_alerts_production_path(spark):
     """The long-running query: processing-time trigger, append mode under a
     watermark, table + document sinks; drained and stopped for the test."""
     from blotter.streaming.alerting import start_alerts
-    path = io_queries.stage_messages(spark, SF_SMALL)
+    staged = io_queries.stage_messages(spark, SF_SMALL)
     table, docs = scratch_path(spark, "t-prod-table"), scratch_path(spark, "t-prod-docs")
-    q = start_alerts(io_queries.message_stream(spark, path), table, docs,
+    q = start_alerts(io_queries.message_stream(spark, staged), table, docs,
                      runner.checkpoint_dir(spark, "t-prod"), trigger_s=1,
                      size_s=86400, slide_s=21600, threshold=2)
     try:
@@ -261,3 +261,15 @@ def test_date_partitioned_serving_prunes(spark):
     text = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(alert_date" in text
     assert rows(pruned.drop("alert_date")) == rows(full)
+
+
+def test_replay_takes_two_micro_batches_and_files_scale(spark):
+    staged = io_queries.stage_messages(spark, SF_SMALL)
+    assert staged.files >= 8
+    sink = runner.AppendTable(scratch_path(spark, "t-two"))
+    runner.run_available(io_queries.stream_accepted(spark, staged).select("case_number"),
+                         "append", runner.checkpoint_dir(spark, "t-two"), sink)
+    assert sink.batches == [0, 1]
+    small = runner.stage_files(io_queries.messages(spark, SF_SMALL), scratch_path(spark, "t-rpf"),
+                               "event_id", records_per_file=10)
+    assert small.files >= 100  # 1,000 messages at 10 per file
