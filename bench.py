@@ -61,12 +61,16 @@ def main() -> None:
     jobs.update(VARIANTS)
     if only:
         jobs = {k: v for k, v in jobs.items() if k in only}
-    for fn in jobs.values():
-        run_once(spark, fn, sf_dir)  # warm-up
-    samples: dict[str, list[float]] = {name: [] for name in jobs}
+    errors: dict[str, str] = {}
+    for name, fn in jobs.items():
+        try:
+            run_once(spark, fn, sf_dir)  # warm-up
+        except Exception as exc:  # report the key, keep measuring the rest
+            errors[name] = repr(exc)[:300]
+    samples: dict[str, list[float]] = {name: [] for name in jobs if name not in errors}
     for _ in range(runs):
-        for name, fn in jobs.items():
-            samples[name].append(run_once(spark, fn, sf_dir))
+        for name in samples:
+            samples[name].append(run_once(spark, jobs[name], sf_dir))
     timings = {name: round(statistics.median(v), 3) for name, v in samples.items()}
     # Stream keys also as input messages per second (the whole events table
     # passes through the parser, the window state and the sink).
@@ -82,6 +86,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
         "runs": runs,
+        **({"errors": errors} if errors else {}),
     }))
 
 
