@@ -298,6 +298,18 @@ def q_stream_dedup(spark, d):
     return sink.read(spark)
 
 
+@register("stream_dedup_merge", ctes("SELECT case_number, district, event_ts FROM accepted",
+                                     "accepted"))
+def q_stream_dedup_merge(spark, d):
+    """W10, skew-safe form: every message delivered twice; each micro-batch is
+    deduplicated map-side and anti-joined against the keys already written."""
+    staged = stage_messages(spark, d, copies=2)
+    acc = stream_accepted(spark, staged).select("case_number", "district", "event_ts")
+    sink = runner.DedupSink(scratch_path(spark, "dedup-merge"), ["case_number"])
+    runner.run_available(acc, "append", runner.checkpoint_dir(spark, "dedup-merge"), sink)
+    return sink.read(spark)
+
+
 @register("stream_late_drop")
 def q_stream_late_drop(spark, d):
     """Append-mode window counts under a 10 minute watermark; windows are
