@@ -363,6 +363,18 @@ def q_hotspots(spark, d):
     return hotspots.kmeans_hotspots(crimes(spark, d))
 
 
+@register("hotspots_totals", ctes(
+    f"SELECT CAST({hotspots.KMEANS_K} AS BIGINT) AS n_clusters, count(*) AS crime_count "
+    f"FROM crimes WHERE latitude IS NOT NULL AND longitude IS NOT NULL", "crimes"))
+def q_hotspots_totals(spark, d):
+    """M2-M4 invariants: k centres, and every point with both coordinates is
+    counted in exactly one cluster (the centres themselves are checked by
+    the rows-only ``hotspots_kmeans``)."""
+    spots = hotspots.kmeans_hotspots(crimes(spark, d))
+    return spots.agg(F.count(F.lit(1)).alias("n_clusters"),
+                     F.sum("crime_count").alias("crime_count"))
+
+
 # ---------------------------------------------------------- windows/alerts
 def events(spark, d):
     return S.table(spark, d, "events").select("event_id", "ts", "event_type")
