@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import rollups, serving, windows
+from ..operators import cleaning, rollups, serving, windows
 from ..schemas import CRIME_SCHEMA, RESULT_SCHEMAS
 from ..session import scratch_path
 from ..sinks import tables
@@ -131,8 +131,7 @@ def q_src_csv_typed(spark, d):
     22-column text schema (header checked), then cleaned."""
     path = scratch_path(spark, "crimes-csv")
     S.raw_crimes(spark, d).write.option("header", True).csv(path)
-    from ..operators.cleaning import clean_crimes
-    return clean_crimes(files.read_csv(spark, path, CRIME_SCHEMA))
+    return cleaning.clean_crimes(files.read_csv(spark, path, CRIME_SCHEMA))
 
 
 @register("resolve_aliases", ctes(

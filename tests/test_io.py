@@ -287,3 +287,13 @@ def test_dedup_sink_replay_and_hot_key(spark):
     assert out.count() == 12 and out.select("k").distinct().count() == 12
     plan = hot.dropDuplicates(["k"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_first" in plan or "partial" in plan
+
+
+def test_command_line_batch_and_alerts(spark):
+    from blotter.__main__ import main
+    out = main(["batch", "--sf-dir", SF_SMALL, "--out", scratch_path(spark, "t-cli")])
+    assert spark.read.parquet(out["crime_trends"]).count() > 0
+    staged = io_queries.stage_messages(spark, SF_SMALL)
+    res = main(["alerts", "--source", staged.path, "--out", scratch_path(spark, "t-cli-alerts"),
+                "--window", "86400", "--slide", "21600", "--threshold", "2", "--once"])
+    assert tables.read_table(spark, res["alerts"]).count() > 0
