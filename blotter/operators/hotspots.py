@@ -1,11 +1,12 @@
 """K-Means hotspots and nearest-centre assignment.
 
-The model is Spark MLlib's distributed K-Means; only the k centres (bounded by
-k) reach the driver, to be turned back into a k-row table.
+The model is Spark MLlib's distributed K-Means; only the k centres and their
+k sizes reach the driver, to be turned back into a k-row table.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -18,10 +19,11 @@ from .cleaning import filter_geo
 KMEANS_SEED = 4109
 KMEANS_K = 10
 
-CENTRE_SCHEMA = T.StructType([
+HOTSPOT_SCHEMA = T.StructType([
     T.StructField("cluster_id", T.IntegerType(), False),
     T.StructField("latitude", T.DoubleType(), False),
     T.StructField("longitude", T.DoubleType(), False),
+    T.StructField("crime_count", T.LongType(), False),
 ])
 
 
@@ -37,21 +39,22 @@ def kmeans_hotspots(points: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEE
                     max_iter: int = 20) -> DataFrame:
     """M2-M4 + J5: centres with the number of points nearest to each.
 
-    MLlib caches its own copy of the training vectors when the input is not
-    cached, so the input is not persisted here; the assignment pass reads the
-    source once more. Centres with no point get a count of 0; with fewer
+    The vectors are persisted (memory, spilling to disk) for the iterations
+    and for the final assignment, so the source is read once; the cluster
+    sizes come from the training summary. Only the k centres and k sizes
+    reach the driver. Centres with no point get a count of 0; with fewer
     distinct points than k, fewer centres come back.
     """
-    feats = features(points, lat, lon)
-    model = KMeans(k=k, seed=seed, featuresCol="features", maxIter=max_iter).fit(feats)
-    spark = points.sparkSession
-    centres = spark.createDataFrame(
-        [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())],
-        CENTRE_SCHEMA)
-    sizes = model.transform(feats).groupBy(F.col("prediction").cast("int").alias("cluster_id")) \
-        .agg(F.count(F.lit(1)).alias("crime_count"))
-    return centres.join(sizes, "cluster_id", "left").fillna({"crime_count": 0}).select(
-        "cluster_id", "latitude", "longitude", "crime_count")
+    feats = features(points, lat, lon).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = KMeans(k=k, seed=seed, featuresCol="features", maxIter=max_iter).fit(feats)
+        centres = model.clusterCenters()
+        sizes = model.summary.clusterSizes if model.hasSummary else [0] * len(centres)
+    finally:
+        feats.unpersist()
+    rows = [(i, float(c[0]), float(c[1]), int(sizes[i]) if i < len(sizes) else 0)
+            for i, c in enumerate(centres)]
+    return points.sparkSession.createDataFrame(rows, HOTSPOT_SCHEMA)
 
 
 def nearest_centre(lat: str, lon: str, centres: list[tuple[float, float]]):
