@@ -127,3 +127,26 @@ def test_code_properties(spark, values):
     for r in out:
         if r.a is not None:
             assert r.a.isdigit() and len(r.a) >= 3 and r.a == r.b
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=12)), min_size=1, max_size=50),
+       st.integers(min_value=1, max_value=97))
+def test_bucket_properties(spark, values, n):
+    """Both hash rules put every value (NULL included) in [0, n), deterministically."""
+    df = spark.createDataFrame([(v,) for v in values], "b string")
+    out = df.select(bucket("b", n).alias("m"), bucket("b", n, "md5").alias("d"),
+                    bucket("b", n).alias("m2")).collect()
+    for r in out:
+        assert 0 <= r.m < n and 0 <= r.d < n and r.m == r.m2
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.integers(min_value=0, max_value=100), st.lists(st.integers(min_value=0, max_value=500),
+                                                         min_size=2, max_size=30))
+def test_severity_monotone(spark, threshold, counts):
+    """A larger count never gets a lower severity."""
+    rank = {"MEDIUM": 1, "HIGH": 2}
+    df = spark.createDataFrame([(c,) for c in sorted(counts)], "n long")
+    got = [rank[r[0]] for r in df.orderBy("n").select(severity(F.col("n"), threshold)).collect()]
+    assert got == sorted(got)
