@@ -48,3 +48,15 @@ def alert_documents(docs: DataFrame, n: int = 100) -> DataFrame:
     """T5 + P18: newest alert documents without the store's ``_id``."""
     out = docs.drop("_id") if "_id" in docs.columns else docs
     return latest(out, "alert_timestamp", n, ("district",))
+
+
+def sql_over_tables(spark, query: str, tables: dict[str, str]) -> DataFrame:
+    """S7-style reads: run SQL text over stored result tables.
+
+    Each stored table (name -> folder) becomes a temporary view, so the
+    dashboard's SQL runs unchanged on Spark, with its filters pushed into
+    the Parquet scans.
+    """
+    for name, path in tables.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+    return spark.sql(query)

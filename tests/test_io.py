@@ -335,3 +335,20 @@ def test_late_event_dropped_in_append_counted_in_complete(spark):
     assert appended.filter(F.col("window_start") == late_window).count() == 0
     assert complete.filter(F.col("window_start") == late_window).first().event_count == 1
     assert appended.count() > 0  # windows closed by the watermark were emitted
+
+
+def test_sql_over_stored_tables(spark):
+    from blotter.operators import serving
+    from blotter.plans.batch import run
+    paths = run(spark, SF_SMALL, scratch_path(spark, "t-sql"), hash_method="md5")
+    top = serving.sql_over_tables(
+        spark, "SELECT group_type, group_value, arrest_rate, crime_count FROM arrest_rates "
+               "ORDER BY arrest_rate DESC, group_type, group_value LIMIT 20", paths)
+    direct = serving.top_by(spark.read.parquet(paths["arrest_rates"]), "arrest_rate", 20,
+                            ("group_type", "group_value")).select(
+        "group_type", "group_value", "arrest_rate", "crime_count")
+    assert [tuple(r) for r in top.collect()] == [tuple(r) for r in direct.collect()]
+    trends = serving.sql_over_tables(
+        spark, "SELECT trend_type, period_value, crime_count FROM crime_trends "
+               "WHERE trend_type IN ('year', 'month', 'hour') ORDER BY trend_type, period_value", paths)
+    assert trends.count() == serving.trend_lines(spark.read.parquet(paths["crime_trends"])).count()
