@@ -204,11 +204,11 @@ class DedupSink:
         self.path, self.key, self.ts, self.horizon = path, key, ts, horizon
 
     def _prior(self, spark: SparkSession, batch_id: int, low) -> DataFrame | None:
-        try:
-            prior = spark.read.parquet(self.path)
-        except Exception:  # nothing written yet
+        written = [p for p in glob_paths(spark, f"{self.path}/{BATCH_COLUMN}=*")
+                   if int(p.rsplit("=", 1)[1]) < batch_id]
+        if not written:
             return None
-        prior = prior.filter(F.col(BATCH_COLUMN) < batch_id)
+        prior = spark.read.parquet(self.path).filter(F.col(BATCH_COLUMN) < batch_id)
         if low is not None:
             prior = prior.filter(F.col(self.ts) >= F.lit(low))
         return prior.select(*self.key)
