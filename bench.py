@@ -32,7 +32,8 @@ HEADLINE = [
 
 STREAM_KEYS = ["stream_alerts", "stream_raw_archive"]
 
-# Comparison forms that are not separate inventory keys.
+# Comparison forms that are not separate inventory keys (reported apart from
+# the headline sum).
 VARIANTS = {
     "trend_all_union": lambda s, d: rollups.trend_all(catalog.crimes(s, d), method="union"),
     "trend_all_gsets": lambda s, d: rollups.trend_all(catalog.crimes(s, d), method="grouping_sets"),
@@ -77,11 +78,13 @@ def main() -> None:
     n_events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     rates = {k: round(n_events / timings[k], 1) for k in STREAM_KEYS if k in timings}
     sf = os.path.basename(sf_dir).replace("sf", "")
+    headline = {k: v for k, v in timings.items() if k not in VARIANTS}
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(headline.values()), 3),
         "unit": "sec",
-        "queries": timings,
+        "queries": headline,
+        "variants": {k: v for k, v in timings.items() if k in VARIANTS},
         "stream_rows_per_sec": rates,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
