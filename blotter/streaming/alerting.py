@@ -22,12 +22,16 @@ DEFAULT_SIZE_S, DEFAULT_SLIDE_S, DEFAULT_THRESHOLD = 300, 60, 50
 
 def alert_stream(messages: DataFrame, size_s: int = DEFAULT_SIZE_S,
                  slide_s: int = DEFAULT_SLIDE_S, threshold: int = DEFAULT_THRESHOLD,
-                 watermark: str | None = "10 minutes", by_arrival: bool = False) -> DataFrame:
+                 watermark: str | None = "10 minutes", by_arrival: bool = False,
+                 method: str | None = None) -> DataFrame:
     """Parse (key, value) messages, count per district and window, alert.
 
     ``by_arrival=True`` windows by processing time as the reference does;
     the default windows by the event's own time, which is reproducible.
+    With a watermark the counts are pane-summed (one state update per event
+    instead of size/slide); without one, direct windows are used.
     """
+    method = method or ("panes" if watermark else "direct")
     accepted, _ = ev.split_parsed(ev.parse_messages(messages))
     if by_arrival:
         from .runner import arrival_stamp
@@ -36,7 +40,7 @@ def alert_stream(messages: DataFrame, size_s: int = DEFAULT_SIZE_S,
         timed, ts = event_time(accepted), "event_time"
     if watermark:
         timed = timed.withWatermark(ts, watermark)
-    counts = windows.window_counts(timed, ts, "district", size_s, slide_s)
+    counts = windows.window_counts(timed, ts, "district", size_s, slide_s, method=method)
     return windows.to_alerts(counts, threshold)
 
 
