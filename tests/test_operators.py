@@ -166,3 +166,13 @@ def test_serving_order_is_lexical(spark):
     t = spark.createDataFrame([("month", p, None, 1) for p in ["2", "10", "1", "12", "11"]],
                               "trend_type string, period_value string, district string, crime_count long")
     assert [r.period_value for r in serving.trend_lines(t).collect()] == ["1", "10", "11", "12", "2"]
+
+
+def test_serve_hotspots_shape(spark):
+    from blotter.plans.catalog import QUERIES
+    out = QUERIES["serve_hotspots"](spark, SF_SMALL)
+    assert out.columns == ["cluster_id", "lat", "lon", "crime_count"]
+    got = out.collect()
+    assert [r.cluster_id for r in got] == sorted(r.cluster_id for r in got)
+    geo = cleaning.filter_geo(catalog.crimes(spark, SF_SMALL)).count()
+    assert sum(r.crime_count for r in got) == geo
