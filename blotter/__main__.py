@@ -1,5 +1,7 @@
-"""Command line: the batch job and the alert stream.
+"""Command line: the producer, the batch job and the alert stream.
 
+    python -m blotter produce --csv PATH|GLOB --out DIR [--first] [--max-rows N]
+    python -m blotter produce --csv PATH --kafka HOST:PORT --topic T
     python -m blotter batch  --sf-dir DIR [--out DIR] [--hash murmur|md5]
     python -m blotter alerts --source DIR --out DIR [--window 300] [--slide 60]
                              [--threshold 50] [--watermark "10 minutes"] [--once]
@@ -23,6 +25,30 @@ def _batch(args) -> dict:
     return run(spark, args.sf_dir, args.out, hash_method=args.hash)
 
 
+def _produce(args) -> dict:
+    """CSV rows -> producer rules -> keyed JSON messages (folder or topic)."""
+    from pyspark.sql import functions as F
+
+    from .functions.parse import iso_utc
+    from .schemas import EVENT_FIELDS
+    from .sources.connectors import kafka_write_options, keyed_json
+    from .sources.files import resolve_first
+    from .streaming.events import accepted_events, produce_events
+    spark = build_session(app="blotter-produce")
+    path = resolve_first(spark, args.csv) if args.first else args.csv
+    rows = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    events = accepted_events(produce_events(rows))
+    if args.max_rows:
+        events = events.limit(args.max_rows)  # first accepted rows in file order
+    events = events.withColumn("produced_at", iso_utc(F.current_timestamp()))
+    msgs = keyed_json(events, "district", EVENT_FIELDS + ["produced_at"])
+    if args.kafka:
+        msgs.write.format("kafka").options(**kafka_write_options(args.kafka, args.topic)).save()
+        return {"topic": args.topic}
+    msgs.write.mode("append").parquet(args.out)
+    return {"messages": args.out}
+
+
 def _alerts(args) -> dict:
     from .sources.connectors import kafka_stream, kafka_text
     from .streaming.alerting import alert_stream
@@ -38,7 +64,10 @@ def _alerts(args) -> dict:
     table, docs = f"{args.out}/alerts", f"{args.out}/alert_logs"
     chk = args.checkpoint or checkpoint_dir(spark, "alerts")
     ensure_state_store(spark)
-    w = (alerts.writeStream.outputMode("append").option("checkpointLocation", chk)
+    # Append needs a watermark to know when a window is final; without one
+    # every trigger emits the windows it changed (update).
+    mode = "append" if args.watermark else "update"
+    w = (alerts.writeStream.outputMode(mode).option("checkpointLocation", chk)
          .foreachBatch(DualSink(table, docs, ["district", "alert_timestamp"])))
     w = w.trigger(availableNow=True) if args.once else w.trigger(
         processingTime=f"{args.slide} seconds")
@@ -50,6 +79,13 @@ def _alerts(args) -> dict:
 def main(argv: list[str] | None = None) -> dict:
     p = argparse.ArgumentParser(prog="blotter")
     sub = p.add_subparsers(dest="cmd", required=True)
+    r = sub.add_parser("produce", help="publish CSV rows as keyed JSON messages")
+    r.add_argument("--csv", required=True)
+    r.add_argument("--first", action="store_true", help="only the first sorted glob match")
+    r.add_argument("--out")
+    r.add_argument("--kafka")
+    r.add_argument("--topic", default="crime_events")
+    r.add_argument("--max-rows", type=int, default=0)
     b = sub.add_parser("batch", help="write the six result tables")
     b.add_argument("--sf-dir", required=True)
     b.add_argument("--out")
@@ -68,7 +104,7 @@ def main(argv: list[str] | None = None) -> dict:
     a.add_argument("--by-arrival", action="store_true")
     a.add_argument("--once", action="store_true", help="process what is there, then stop")
     args = p.parse_args(argv)
-    out = _batch(args) if args.cmd == "batch" else _alerts(args)
+    out = {"produce": _produce, "batch": _batch, "alerts": _alerts}[args.cmd](args)
     print(json.dumps(out))
     return out
 

@@ -369,3 +369,24 @@ def test_stream_panes_equal_direct_in_append(spark):
     assert out["panes"].count() > 0
     assert out["panes"].exceptAll(out["direct"]).count() == 0
     assert out["direct"].exceptAll(out["panes"]).count() == 0
+
+
+def test_command_line_produce_then_alerts(spark):
+    """Producer CLI over a crime CSV, then the alert stream over its output."""
+    from blotter.__main__ import main
+    from blotter.plans import standins
+    csv_dir = scratch_path(spark, "t-prod-csv")
+    standins.raw_crimes(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(csv_dir)
+    out = scratch_path(spark, "t-prod-msgs")
+    main(["produce", "--csv", f"{csv_dir}/*.csv", "--first", "--out", out])
+    msgs = spark.read.parquet(out)
+    n_ok = ev.accepted_events(ev.produce_events(
+        spark.read.option("header", True).csv(csv_dir))).count()
+    assert msgs.count() == n_ok
+    parsed = ev.parse_messages(msgs)
+    assert parsed.filter(F.col("reason").isNotNull()).count() == 0
+    main(["produce", "--csv", csv_dir, "--out", scratch_path(spark, "t-prod-10"), "--max-rows", "10"])
+    res = main(["alerts", "--source", out, "--out", scratch_path(spark, "t-prod-alerts"),
+                "--window", "86400", "--slide", "86400", "--threshold", "1", "--once",
+                "--watermark", ""])
+    assert "alerts" in res
