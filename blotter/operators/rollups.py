@@ -18,6 +18,23 @@ from ..schemas import METRIC_AREA, METRIC_FLAG, METRIC_MIX_PREFIX, UNKNOWN, YES_
 
 # Trend types of the reference, in its order.
 TREND_TYPES = ["year", "month", "day_of_week", "hour", "district"]
+# Day names as ``date_format(ts, "E")`` writes them, Sunday first
+# (the numbering of ``dayofweek``).
+DAY_NAMES = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
+
+
+def period_order(trend_type: Column, period_value: Column) -> Column:
+    """Numeric sort key of a text period: the number itself
+    for year, month, hour and district codes, 1-7 from Sunday for day names,
+    NULL for ``UNKNOWN``. ``period_value`` stays text, as the table holds it."""
+    day = F.nullif(F.array_position(F.array(*[F.lit(d) for d in DAY_NAMES]), period_value),
+                   F.lit(0)).cast("int")
+    return F.when(trend_type == "day_of_week", day).otherwise(period_value.try_cast("int"))
+
+
+def _with_order(df: DataFrame) -> DataFrame:
+    return df.select("trend_type", "period_value", "district", "crime_count",
+                     period_order(F.col("trend_type"), F.col("period_value")).alias("period_order"))
 
 
 def _period(kind: str, ts: str, key: str) -> Column:
@@ -50,7 +67,8 @@ def trend(df: DataFrame, kind: str, ts: str = "event_ts", key: str = "district")
         out = (df.groupBy(F.coalesce(_period(kind, ts, key), F.lit(UNKNOWN)).alias("period_value"))
                  .agg(F.count(F.lit(1)).alias("crime_count"))
                  .withColumn("district", F.lit(None).cast("string")))
-    return out.select(F.lit(kind).alias("trend_type"), "period_value", "district", "crime_count")
+    return _with_order(out.select(F.lit(kind).alias("trend_type"), "period_value", "district",
+                                  "crime_count"))
 
 
 def trend_all(df: DataFrame, ts: str = "event_ts", key: str = "district",
@@ -74,11 +92,11 @@ def trend_all(df: DataFrame, ts: str = "event_ts", key: str = "district",
             F.col("period_value").isNotNull())  # only the district trend has NULLs; they are dropped
         out = stacked.groupBy("trend_type", "period_value").agg(
             F.count(F.lit(1)).alias("crime_count"))
-        return out.select(
+        return _with_order(out.select(
             "trend_type", "period_value",
             F.when(F.col("trend_type") == "district", F.col("period_value"))
              .otherwise(F.lit(None).cast("string")).alias("district"),
-            "crime_count")
+            "crime_count"))
     cols = {k: F.coalesce(_period(k, ts, key), F.lit(UNKNOWN)) if k != "district"
             else F.col(key) for k in TREND_TYPES}
     keyed = df.select(*[c.alias(f"p_{k}") for k, c in cols.items()])
@@ -92,11 +110,11 @@ def trend_all(df: DataFrame, ts: str = "event_ts", key: str = "district",
     out = agg.select(kind.alias("trend_type"), period.alias("period_value"), "crime_count")
     # The district trend counts non-null keys only; its NULL group is dropped.
     out = out.filter(F.col("period_value").isNotNull())
-    return out.select(
+    return _with_order(out.select(
         "trend_type", "period_value",
         F.when(F.col("trend_type") == "district", F.col("period_value"))
          .otherwise(F.lit(None).cast("string")).alias("district"),
-        "crime_count")
+        "crime_count"))
 
 
 # Group keys of the arrest-rate table: group_type -> column of the joined rows.

@@ -25,11 +25,14 @@ def top_by(df: DataFrame, col: str, n: int = 20, tie: tuple[str, ...] = ()) -> D
     return df.orderBy(F.col(col).desc(), *[F.col(c).asc() for c in tie]).limit(n)
 
 
-def trend_lines(trends: DataFrame, kinds: tuple[str, ...] = ("year", "month", "hour")) -> DataFrame:
-    """T3 + P11: trend rows of the chosen types in (type, period) text order."""
-    return (trends.filter(F.col("trend_type").isin(*kinds))
-            .select("trend_type", "period_value", "crime_count")
-            .orderBy("trend_type", "period_value"))
+def trend_lines(trends: DataFrame, kinds: tuple[str, ...] = ("year", "month", "hour"),
+                natural: bool = False) -> DataFrame:
+    """T3 + P11: trend rows of the chosen types in (type, period) text order,
+    or with ``natural=True`` in numeric period order (``period_order``)."""
+    rows = trends.filter(F.col("trend_type").isin(*kinds))
+    order = (["trend_type", F.col("period_order").asc_nulls_last(), "period_value"] if natural
+             else ["trend_type", "period_value"])
+    return rows.orderBy(*order).select("trend_type", "period_value", "crime_count")
 
 
 def trend_tab(trends: DataFrame, kind: str) -> DataFrame:

@@ -127,12 +127,19 @@ _TREND_SQL = {
 }
 
 
+_DAYS_SQL = "[" + ", ".join(f"'{d}'" for d in rollups.DAY_NAMES) + "]"
+
+
 def _trend_sql(kind: str) -> str:
     if kind == "district":
-        return ("SELECT 'district' AS trend_type, district AS period_value, district, "
+        body = ("SELECT 'district' AS trend_type, district AS period_value, district, "
                 "count(*) AS crime_count FROM crimes WHERE district IS NOT NULL GROUP BY district")
-    return (f"SELECT '{kind}' AS trend_type, coalesce({_TREND_SQL[kind]}, 'UNKNOWN') AS period_value, "
-            f"CAST(NULL AS VARCHAR) AS district, count(*) AS crime_count FROM crimes GROUP BY 2")
+    else:
+        body = (f"SELECT '{kind}' AS trend_type, coalesce({_TREND_SQL[kind]}, 'UNKNOWN') AS period_value, "
+                f"CAST(NULL AS VARCHAR) AS district, count(*) AS crime_count FROM crimes GROUP BY 2")
+    order = (f"CAST(list_position({_DAYS_SQL}, period_value) AS INTEGER)" if kind == "day_of_week"
+             else "TRY_CAST(period_value AS INTEGER)")
+    return f"SELECT *, {order} AS period_order FROM ({body})"
 
 
 for _key, _kind in [("trend_year", "year"), ("trend_month", "month"), ("trend_dow", "day_of_week"),

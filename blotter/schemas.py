@@ -99,7 +99,7 @@ TS = T.TimestampNTZType()
 RESULT_SCHEMAS: dict[str, T.StructType] = {
     "crime_trends": T.StructType([
         _f("trend_type", S, False), _f("period_value", S, False),
-        _f("district", S), _f("crime_count", L, False)]),
+        _f("district", S), _f("crime_count", L, False), _f("period_order", I)]),
     "arrest_rates": T.StructType([
         _f("group_type", S, False), _f("group_value", S, False),
         _f("crime_count", L, False), _f("arrest_count", L, False),

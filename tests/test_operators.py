@@ -161,11 +161,19 @@ def test_null_periods_become_unknown(spark):
     assert ("district", None) not in got and got[("district", "001")] == 1
 
 
-def test_serving_order_is_lexical(spark):
+def test_serving_order_is_lexical_or_natural(spark):
     from blotter.operators import serving
-    t = spark.createDataFrame([("month", p, None, 1) for p in ["2", "10", "1", "12", "11"]],
+    t = spark.createDataFrame([("month", p, None, 1) for p in ["2", "10", "1", "12", "11", "UNKNOWN"]],
                               "trend_type string, period_value string, district string, crime_count long")
-    assert [r.period_value for r in serving.trend_lines(t).collect()] == ["1", "10", "11", "12", "2"]
+    t = t.withColumn("period_order", rollups.period_order(F.col("trend_type"), F.col("period_value")))
+    assert [r.period_value for r in serving.trend_lines(t).collect()] == \
+        ["1", "10", "11", "12", "2", "UNKNOWN"]
+    assert [r.period_value for r in serving.trend_lines(t, natural=True).collect()] == \
+        ["1", "2", "10", "11", "12", "UNKNOWN"]
+    days = spark.createDataFrame([("day_of_week", d) for d in ["Sat", "Sun", "Wed"]],
+                                 "trend_type string, period_value string")
+    got = days.select(rollups.period_order(F.col("trend_type"), F.col("period_value"))).collect()
+    assert [r[0] for r in got] == [7, 1, 4]
 
 
 def test_serve_hotspots_shape(spark):
