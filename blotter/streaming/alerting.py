@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import windows
 from . import events as ev
-from .runner import DualSink, ensure_state_store, event_time
+from .runner import DualSink, arrival_stamp, ensure_state_store, event_time
 
 # The reference's default window, slide and threshold.
 DEFAULT_SIZE_S, DEFAULT_SLIDE_S, DEFAULT_THRESHOLD = 300, 60, 50
@@ -34,7 +34,6 @@ def alert_stream(messages: DataFrame, size_s: int = DEFAULT_SIZE_S,
     method = method or ("panes" if watermark else "direct")
     accepted, _ = ev.split_parsed(ev.parse_messages(messages))
     if by_arrival:
-        from .runner import arrival_stamp
         timed, ts = arrival_stamp(accepted), "arrived_at"
     else:
         timed, ts = event_time(accepted), "event_time"
