@@ -152,6 +152,15 @@ class AppendTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path)
 
+    def read_latest(self, spark: SparkSession, key: list[str]) -> DataFrame:
+        """Upserted view of an ``update``-mode sink: per key, the row of the
+        newest batch (a partial aggregate, not a window over the key)."""
+        df = read_table(spark, self.path, keep_batch=True)
+        rest = [c for c in df.columns if c not in key and c != BATCH_COLUMN]
+        newest = df.groupBy(*key).agg(
+            F.max_by(F.struct(*rest), F.col(BATCH_COLUMN)).alias("_row"))
+        return newest.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+
 
 class DualSink:
     """One batch to a table and a document collection.

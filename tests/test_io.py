@@ -390,3 +390,11 @@ def test_command_line_produce_then_alerts(spark):
                 "--window", "86400", "--slide", "86400", "--threshold", "1", "--once",
                 "--watermark", ""])
     assert "alerts" in res
+
+
+def test_update_sink_reads_latest_version(spark):
+    sink = runner.AppendTable(scratch_path(spark, "t-upsert"))
+    sink(spark.createDataFrame([("a", 1), ("b", 5)], "k string, n long"), 0)
+    sink(spark.createDataFrame([("a", 3)], "k string, n long"), 1)
+    got = {r.k: r.n for r in sink.read_latest(spark, ["k"]).collect()}
+    assert got == {"a": 3, "b": 5}
