@@ -398,3 +398,14 @@ def test_update_sink_reads_latest_version(spark):
     sink(spark.createDataFrame([("a", 3)], "k string, n long"), 1)
     got = {r.k: r.n for r in sink.read_latest(spark, ["k"]).collect()}
     assert got == {"a": 3, "b": 5}
+
+
+def test_stored_tables_respect_not_null(spark):
+    from blotter.plans.batch import not_null_violations, run
+    paths = run(spark, SF_SMALL, scratch_path(spark, "t-nn"))  # validates, raises on NULLs
+    assert not_null_violations(spark, paths) == {}
+    bad = scratch_path(spark, "t-nn-bad")
+    spark.createDataFrame([("year", None, None, 1, None)],
+                          "trend_type string, period_value string, district string, "
+                          "crime_count long, period_order int").write.parquet(bad)
+    assert not_null_violations(spark, {"crime_trends": bad}) == {"crime_trends.period_value": 1}
