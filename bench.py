@@ -14,6 +14,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -54,10 +55,15 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k]
-    spark = build_session(
-        f"local[{cpus}]", app="blotter-bench", shuffle_partitions=max(8, cpus * 4),
-        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "6g"),
-               "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_MEM", "6g"),
+             "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times, read offline
+        log_dir = tempfile.mkdtemp(prefix="blotter-events-")
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                      "spark.eventLog.compress": "false"})
+        print(f"event log: {log_dir}", file=sys.stderr)
+    spark = build_session(f"local[{cpus}]", app="blotter-bench",
+                          shuffle_partitions=max(8, cpus * 4), extra=extra)
     jobs = {k: QUERIES[k] for k in HEADLINE}
     jobs.update(VARIANTS)
     if only:
