@@ -3,6 +3,8 @@
     python -m blotter produce --csv PATH|GLOB --out DIR [--first] [--max-rows N]
     python -m blotter produce --csv PATH --kafka HOST:PORT --topic T
     python -m blotter batch  --sf-dir DIR [--out DIR] [--hash murmur|md5]
+    python -m blotter batch  --crimes GLOB --arrests GLOB --stations GLOB --violence GLOB
+                             --registry GLOB [--out DIR]
     python -m blotter alerts --source DIR --out DIR [--window 300] [--slide 60]
                              [--threshold 50] [--watermark "10 minutes"] [--once]
     python -m blotter alerts --kafka HOST:PORT --topic T --out DIR ...
@@ -20,9 +22,18 @@ from .session import build_session
 
 
 def _batch(args) -> dict:
-    from .plans.batch import run
+    from .plans.batch import RawInputs, run
     spark = build_session(app="blotter-batch")
-    return run(spark, args.sf_dir, args.out, hash_method=args.hash)
+    csvs = [args.crimes, args.arrests, args.stations, args.violence, args.registry]
+    if any(csvs):
+        if not all(csvs):
+            raise SystemExit("give all five of --crimes --arrests --stations --violence --registry")
+        source = RawInputs.from_csv(spark, *csvs, first_match=not args.all_matches)
+    elif args.sf_dir:
+        source = args.sf_dir
+    else:
+        raise SystemExit("give --sf-dir or the five CSV inputs")
+    return run(spark, source, args.out, hash_method=args.hash)
 
 
 def _produce(args) -> dict:
@@ -87,7 +98,10 @@ def main(argv: list[str] | None = None) -> dict:
     r.add_argument("--topic", default="crime_events")
     r.add_argument("--max-rows", type=int, default=0)
     b = sub.add_parser("batch", help="write the six result tables")
-    b.add_argument("--sf-dir", required=True)
+    b.add_argument("--sf-dir", help="driver tables (inputs derived from them)")
+    for name in ("crimes", "arrests", "stations", "violence", "registry"):
+        b.add_argument(f"--{name}", help=f"{name} CSV path or glob (first sorted match)")
+    b.add_argument("--all-matches", action="store_true", help="read every glob match")
     b.add_argument("--out")
     b.add_argument("--hash", default="murmur", choices=["murmur", "md5"])
     a = sub.add_parser("alerts", help="run the sliding-window alert stream")
