@@ -23,16 +23,14 @@ from .session import build_session
 
 def _batch(args) -> dict:
     from .plans.batch import RawInputs, run
-    spark = build_session(app="blotter-batch")
     csvs = [args.crimes, args.arrests, args.stations, args.violence, args.registry]
-    if any(csvs):
-        if not all(csvs):
-            raise SystemExit("give all five of --crimes --arrests --stations --violence --registry")
-        source = RawInputs.from_csv(spark, *csvs, first_match=not args.all_matches)
-    elif args.sf_dir:
-        source = args.sf_dir
-    else:
+    if any(csvs) and not all(csvs):
+        raise SystemExit("give all five of --crimes --arrests --stations --violence --registry")
+    if not any(csvs) and not args.sf_dir:
         raise SystemExit("give --sf-dir or the five CSV inputs")
+    spark = build_session(app="blotter-batch")
+    source = (RawInputs.from_csv(spark, *csvs, first_match=not args.all_matches)
+              if all(csvs) else args.sf_dir)
     return run(spark, source, args.out, hash_method=args.hash)
 
 
@@ -61,6 +59,8 @@ def _produce(args) -> dict:
 
 
 def _alerts(args) -> dict:
+    if not (args.source or args.kafka):
+        raise SystemExit("give --source DIR or --kafka HOST:PORT")
     from .sources.connectors import kafka_stream, kafka_text
     from .streaming.alerting import alert_stream
     from .streaming.runner import (MESSAGE_SCHEMA, DualSink, checkpoint_dir, ensure_state_store,
