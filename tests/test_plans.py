@@ -76,3 +76,19 @@ def test_dense_index_broadcast_is_per_partition(spark):
     text = plan(idx)
     # the only broadcast is the offsets table: one row per partition
     assert text.count("BroadcastExchange") == 1 and "_offset" in text
+
+
+def test_left_join_reuses_dedup_partitioning(spark):
+    """Without broadcast (the large-data shape) the sort-merge join needs one
+    exchange per side on the key: the arrest side's is the dedup's own."""
+    old_bc = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(catalog.joined(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_bc)
+        spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
+    assert "SortMergeJoin" in text and "LeftOuter" in text
+    assert text.count("Exchange hashpartitioning(case_number") == 2
