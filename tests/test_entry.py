@@ -28,3 +28,19 @@ def test_every_oracle_key_is_a_query():
     assert sorted(set(q) - set(o)) == ["bucket_murmur", "hotspots_kmeans", "serve_hotspots",
                                        "stream_arrival_windows", "stream_late_drop"]
     assert all(callable(f) for f in q.values()) and all(isinstance(s, str) for s in o.values())
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    import sys
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_RUNS="1",
+               BENCH_CPUS="2", BENCH_KEYS="trend_all,alerts_batch,trend_all_union")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env,
+                         capture_output=True, text=True, timeout=600, check=True).stdout
+    lines = [line for line in out.splitlines() if line.strip()]
+    assert len(lines) == 1
+    rec = json.loads(lines[0])
+    assert rec["unit"] == "sec" and rec["metric"] and rec["value"] > 0
+    assert set(rec["queries"]) == {"trend_all", "alerts_batch"}
+    assert set(rec["variants"]) == {"trend_all_union"} and rec["sf"] == 0.001
