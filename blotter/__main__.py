@@ -18,7 +18,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from .session import build_session
+from .session import apply_scale_settings, build_session
 
 
 def _batch(args) -> dict:
@@ -29,6 +29,7 @@ def _batch(args) -> dict:
     if not any(csvs) and not args.sf_dir:
         raise SystemExit("give --sf-dir or the five CSV inputs")
     spark = build_session(app="blotter-batch")
+    apply_scale_settings(spark, csvs if all(csvs) else [f"{args.sf_dir}/*.parquet"])
     source = (RawInputs.from_csv(spark, *csvs, first_match=not args.all_matches)
               if all(csvs) else args.sf_dir)
     return run(spark, source, args.out, hash_method=args.hash)

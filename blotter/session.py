@@ -83,3 +83,54 @@ def local_path(path: str) -> str:
 def ensure_local_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+# Bytes per task the sizing aims at, and the cap on initial
+# shuffle partitions (AQE coalesces what turns out small).
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Sizing for an input of ``input_bytes`` on ``total_cores`` task slots.
+
+    Scan splits and the initial shuffle partition count aim at
+    ``target_bytes`` per task, so a task's shuffle block fits in executor
+    memory and spills rarely; at least two waves of tasks keep every core
+    busy; AQE then merges partitions that come out small and splits skewed
+    ones.
+    """
+    by_size = -(-int(input_bytes) // int(target_bytes))
+    shuffle = max(2 * int(total_cores), min(by_size, MAX_SHUFFLE_PARTITIONS))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes below ``paths`` (file metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        for status in fs.globStatus(hp) or []:
+            total += fs.getContentSummary(status.getPath()).getLength()
+    return total
+
+
+def apply_scale_settings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Size the session for the inputs at ``paths`` unless the application set
+    its shuffle partitions itself (spark-submit / spark-defaults win)."""
+    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return {}
+    cores = spark.sparkContext.defaultParallelism
+    settings = scale_settings(input_bytes(spark, paths), cores)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings

@@ -150,3 +150,19 @@ def test_severity_monotone(spark, threshold, counts):
     df = spark.createDataFrame([(c,) for c in sorted(counts)], "n long")
     got = [rank[r[0]] for r in df.orderBy("n").select(severity(F.col("n"), threshold)).collect()]
     assert got == sorted(got)
+
+
+def test_scale_settings():
+    from blotter.session import scale_settings
+    small = scale_settings(10 * 1024 * 1024, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"  # two waves on 8 cores
+    big = scale_settings(100 * 1024 ** 4, 8000)  # 100 TB on 1000 x 8 cores
+    assert big["spark.sql.shuffle.partitions"] == "100000"  # capped; AQE coalesces
+    mid = scale_settings(1024 ** 4, 800)  # 1 TB: 8192 splits of 128 MiB
+    assert mid["spark.sql.shuffle.partitions"] == "8192"
+
+
+def test_input_bytes_reads_metadata(spark):
+    from blotter.session import input_bytes
+    n = input_bytes(spark, ["/root/testdata/sf0.001/*.parquet"])
+    assert n > 100_000
