@@ -52,3 +52,10 @@ def op2_line_dedup(spark, d):
     from .linededup import line_dedup
     return line_dedup(table(spark, d, "documents").select("doc_id", "text"), counts=True) \
         .select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@register("op6_ngram_jaccard_join")
+def op6_ngram_jaccard_join(spark, d):
+    """Five-word shingles, Jaccard 0.75: set size and component per document."""
+    from .jaccard import jaccard_components
+    return jaccard_components(table(spark, d, "documents"))
