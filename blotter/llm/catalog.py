@@ -59,3 +59,11 @@ def op6_ngram_jaccard_join(spark, d):
     """Five-word shingles, Jaccard 0.75: set size and component per document."""
     from .jaccard import jaccard_components
     return jaccard_components(table(spark, d, "documents"))
+
+
+@register("op3_substring_dedup")
+def op3_substring_dedup(spark, d):
+    """Fifty-word repeats of earlier documents: counts and a digest of what is kept."""
+    from .substring import substring_dedup
+    return substring_dedup(table(spark, d, "documents")) \
+        .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
