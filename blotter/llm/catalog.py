@@ -67,3 +67,10 @@ def op3_substring_dedup(spark, d):
     from .substring import substring_dedup
     return substring_dedup(table(spark, d, "documents")) \
         .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op5_html_extraction")
+def op5_html_extraction(spark, d):
+    """Main text of every page by its host's consensus paths."""
+    from .html_text import extract_pages
+    return extract_pages(table(spark, d, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
