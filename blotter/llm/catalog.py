@@ -74,3 +74,11 @@ def op5_html_extraction(spark, d):
     """Main text of every page by its host's consensus paths."""
     from .html_text import extract_pages
     return extract_pages(table(spark, d, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op9_quality_classifier")
+def op9_quality_classifier(spark, d):
+    """Quality score and decision for every document."""
+    from .quality import classify, train
+    documents = table(spark, d, "documents")
+    return classify(documents, train(documents, table(spark, d, "labels")))
