@@ -82,3 +82,13 @@ def op9_quality_classifier(spark, d):
     from .quality import classify, train
     documents = table(spark, d, "documents")
     return classify(documents, train(documents, table(spark, d, "labels")))
+
+
+@register("op4_sentencepiece")
+def op4_sentencepiece(spark, d):
+    """Encode and decode every document: counts, digests and the round trip."""
+    from .pieces import decode, encode
+    coded = decode(encode(table(spark, d, "documents").select("doc_id", "text")), out="decoded")
+    return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                        F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                        F.col("decoded").eqNullSafe(F.translate("text", "▁", " ")).alias("exact"))
