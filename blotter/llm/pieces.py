@@ -30,6 +30,7 @@ from .text import flat, hash_spans, mix, ranges, slices
 
 SPACE = "▁"
 CACHE_WORDS = 1_000_000  # words remembered by a worker; it starts anew beyond
+SLICE_IDS = 1 << 20  # ids decoded at once
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,11 +102,12 @@ class Pieces:
         out = (left == self.unknown) | (right == self.unknown)
         ask = np.flatnonzero(~out)
         code = left[ask] * np.int64(self.size + 2) + right[ask]
-        new = np.unique(code)
+        new = code
         if len(self.pairs):
-            at = np.minimum(np.searchsorted(self.pairs, new), len(self.pairs) - 1)
-            new = new[self.pairs[at] != new]
+            at = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+            new = code[self.pairs[at] != code]
         if len(new):
+            new = np.unique(new)
             text, none = self.text_of, self.none
             good = []
             for c in new.tolist():
@@ -143,18 +145,23 @@ class Pieces:
             best = score[np.arange(n), top]
             back[:, j] = best
             last[:, j] = np.where(best > 0, piece[np.arange(n), top], -1)
-        out = []
-        for i in range(n):
-            ids, j = [], size
-            while j > 0:
-                p = int(last[i, j])
+        back_to, at, rows = np.full(n, size), [], np.arange(n)
+        while back_to.any():  # all words step back together
+            at.append(np.where(back_to > 0, last[rows, back_to], -1))
+            back_to = back_to - back[rows, back_to]
+        steps = np.stack(at[::-1], axis=1)
+        ids = [r[r >= 0] for r in steps.astype(np.int32)]
+        for i in np.flatnonzero((steps == self.unknown).any(axis=1)).tolist():
+            whole, j = [], 0
+            for p in ids[i].tolist():
                 if p == self.unknown:
-                    ids.extend(reversed(self.byte_id[list(chr(int(codes[i, j - 1])).encode())].tolist()))
+                    whole.extend(self.byte_id[list(chr(int(codes[i, j])).encode())].tolist())
+                    j += 1
                 else:
-                    ids.append(p)
-                j -= int(back[i, j])
-            out.append(np.array(ids[::-1], np.int32))
-        return out
+                    whole.append(p)
+                    j += len(self.text_of[p])
+            ids[i] = np.array(whole, np.int32)
+        return ids
 
     def learn(self, keys: np.ndarray, texts: list[str]) -> None:
         """Add words to the ones remembered."""
@@ -237,30 +244,37 @@ def _load(path: str) -> Pieces:
 def _encoder(path: str):
     def run(batches):
         model = _load(path)
-        for b in batches:
-            column = b.column(0)
-            ids, offsets = model.encode(column)
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()),
-                                             mask=column.is_null() if column.null_count else None)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], lists], [*b.schema.names[1:], "ids"])
+        for whole in batches:
+            for i, j in slices(flat(whole.column(0))[1]):
+                b = whole.slice(i, j - i)
+                column = b.column(0)
+                ids, offsets = model.encode(column)
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()),
+                                                 mask=column.is_null() if column.null_count else None)
+                yield pa.RecordBatch.from_arrays([b.column(1), lists], ["_sp_row", "_sp_out"])
     return run
 
 
 def _decoder(path: str):
     def run(batches):
         model = _load(path)
-        for b in batches:
-            column = b.column(0)
-            filled = column.fill_null(pa.scalar([], column.type)) if column.null_count else column
-            offsets = np.asarray(filled.offsets, np.int64)
-            ids = filled.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64)
-            texts = model.decode(ids, offsets - offsets[0])
-            empty = column.is_null().to_pylist()
-            texts = pa.array([None if e else t for e, t in zip(empty, texts)], pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], texts], [*b.schema.names[1:], "out"])
+        for whole in batches:
+            lens = np.cumsum(pc.fill_null(pc.list_value_length(whole.column(0)), 0).to_numpy(zero_copy_only=False))
+            for i, j in slices(np.concatenate([[0], lens]), SLICE_IDS):
+                b = whole.slice(i, j - i)
+                column = b.column(0)
+                yield pa.RecordBatch.from_arrays([b.column(1), _texts(model, column)], ["_sp_row", "_sp_out"])
     return run
 
 
+def _texts(model: Pieces, column: pa.Array) -> pa.Array:
+    filled = column.fill_null(pa.scalar([], column.type)) if column.null_count else column
+    offsets = np.asarray(filled.offsets, np.int64)
+    ids = filled.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64)
+    texts = model.decode(ids, offsets - offsets[0])
+    return pa.array([None if e else t for e, t in zip(column.is_null().to_pylist(), texts)], pa.string())
+
+
 def _through(df: DataFrame, column: str, kind: str, mapper, out: str, made: T.DataType) -> DataFrame:
     ship(df.sparkSession)
     keep = [c for c in df.columns if c != out]
@@ -271,15 +285,9 @@ def _through(df: DataFrame, column: str, kind: str, mapper, out: str, made: T.Da
 
 def encode(df: DataFrame, column: str = "text", out: str = "ids", path: str | None = None) -> DataFrame:
     """``df`` with the piece ids of ``column`` as ``out``."""
-    def named(batches):
-        for b in _encoder(path or default_path())(batches):
-            yield pa.RecordBatch.from_arrays(b.columns, ["_sp_row", "_sp_out"])
-    return _through(df, column, "string", named, out, T.ArrayType(T.IntegerType()))
+    return _through(df, column, "string", _encoder(path or default_path()), out, T.ArrayType(T.IntegerType()))
 
 
 def decode(df: DataFrame, column: str = "ids", out: str = "text", path: str | None = None) -> DataFrame:
     """``df`` with the text of the ids in ``column`` as ``out``."""
-    def named(batches):
-        for b in _decoder(path or default_path())(batches):
-            yield pa.RecordBatch.from_arrays(b.columns, ["_sp_row", "_sp_out"])
-    return _through(df, column, "array<int>", named, out, T.StringType())
+    return _through(df, column, "array<int>", _decoder(path or default_path()), out, T.StringType())
