@@ -92,3 +92,10 @@ def op4_sentencepiece(spark, d):
     return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
                         F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
                         F.col("decoded").eqNullSafe(F.translate("text", "▁", " ")).alias("exact"))
+
+
+@register("op1_benchmark_decontamination")
+def op1_benchmark_decontamination(spark, d):
+    """Every (document, benchmark item) whose question and answer a passage holds."""
+    from .decontam import contaminated
+    return contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))

@@ -7,7 +7,6 @@ separators are single ASCII bytes, so splitting the bytes is exact.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -79,14 +78,14 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Split every document of the buffer into words."""
+def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False, sep: np.ndarray = SEP) -> Words:
+    """Split every document of the buffer into words; ``sep`` marks the bytes between them."""
     if lower:
         raw = _LOWER[raw]
     if len(raw) == 0:
         z = np.zeros(0, np.int64)
         return Words(raw, z, z, np.zeros(len(offsets), np.int64))
-    inside = ~SEP[raw]
+    inside = ~sep[raw]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     cuts = offsets[:-1][np.diff(offsets) > 0]
@@ -130,17 +129,16 @@ def window_hash(h: np.ndarray, k: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     total, used, size, part = None, 0, 1, h
-    base = np.uint64(0xD6E8FEB86659FD93)
-    power = base
+    power = 0xD6E8FEB86659FD93
     while True:
         if k & size:
             piece = part[used:used + n]
-            total = piece.copy() if total is None else total * power + piece
+            total = piece.copy() if total is None else total * np.uint64(power) + piece
             used += size
         if used == k:
             return mix(total ^ np.uint64(k))
-        part = part[:-size] * power + part[size:] if len(part) > size else part[:0]
-        power = power * power
+        part = part[:-size] * np.uint64(power) + part[size:] if len(part) > size else part[:0]
+        power = power * power % (1 << 64)
         size *= 2
 
 
@@ -164,15 +162,3 @@ def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(size)
     return np.arange(total) + np.repeat(start - (ends - size), size)
-
-
-def join_words(w: Words, doc: int, keep: np.ndarray | None = None) -> bytes:
-    """The (kept) words of one document joined by one space."""
-    a, b = w.first[doc], w.first[doc + 1]
-    idx = np.arange(a, b) if keep is None else np.arange(a, b)[keep]
-    raw = w.raw
-    return b" ".join([raw[s:e].tobytes() for s, e in zip(w.start[idx], w.end[idx])])
-
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
