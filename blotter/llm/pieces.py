@@ -30,7 +30,8 @@ from .text import flat, hash_spans, mix, ranges, slices
 
 SPACE = "▁"
 CACHE_WORDS = 1_000_000  # words remembered by a worker; it starts anew beyond
-SLICE_IDS = 1 << 20  # ids decoded at once
+SLICE_TEXT = 1 << 20  # bytes encoded at once
+SLICE_IDS = 1 << 19  # ids decoded at once
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -194,7 +195,7 @@ class Pieces:
         marked = pc.if_else(pc.equal(texts, none), none, pc.binary_join_element_wise(space, texts, none))
         raw, offsets = flat(marked)
         out, count = [], [np.zeros(1, np.int64)]
-        for i, j in slices(offsets):
+        for i, j in slices(offsets, SLICE_TEXT):
             part, at = raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
             space = part == 0x20
             begin = space.copy()
@@ -241,53 +242,69 @@ def _load(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def _encoder(path: str):
+def _encoded(model: Pieces, rows: pa.StructArray, column: str):
+    """(rows, ids) of slices of a batch."""
+    texts = pc.struct_field(rows, column).cast(pa.string())
+    for i, j in slices(flat(texts)[1], SLICE_TEXT):
+        part = texts.slice(i, j - i)
+        ids, offsets = model.encode(part)
+        yield rows.slice(i, j - i), pa.ListArray.from_arrays(
+            pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()), mask=part.is_null() if part.null_count else None)
+
+
+def _texts(model: Pieces, column: pa.Array) -> pa.Array:
+    filled = column.fill_null(pa.scalar([], column.type)) if column.null_count else column
+    offsets = np.asarray(filled.offsets, np.int64)
+    ids = filled.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64)
+    texts = model.decode(ids, offsets - offsets[0])
+    return pa.array([None if e else t for e, t in zip(column.is_null().to_pylist(), texts)], pa.string())
+
+
+def _encoder(path: str, column: str, back: bool):
     def run(batches):
         model = _load(path)
-        for whole in batches:
-            for i, j in slices(flat(whole.column(0))[1]):
-                b = whole.slice(i, j - i)
-                column = b.column(0)
-                ids, offsets = model.encode(column)
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()),
-                                                 mask=column.is_null() if column.null_count else None)
-                yield pa.RecordBatch.from_arrays([b.column(1), lists], ["_sp_row", "_sp_out"])
+        for b in batches:
+            for rows, ids in _encoded(model, b.column(0), column):
+                more = [_texts(model, ids)] if back else []
+                yield pa.RecordBatch.from_arrays([rows, ids, *more], ["_sp_row", "_sp_ids", "_sp_text"][:2 + back])
     return run
 
 
-def _decoder(path: str):
+def _decoder(path: str, column: str):
     def run(batches):
         model = _load(path)
-        for whole in batches:
-            lens = np.cumsum(pc.fill_null(pc.list_value_length(whole.column(0)), 0).to_numpy(zero_copy_only=False))
+        for b in batches:
+            lists = pc.struct_field(b.column(0), column).cast(pa.list_(pa.int32()))
+            lens = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
             for i, j in slices(np.concatenate([[0], lens]), SLICE_IDS):
-                b = whole.slice(i, j - i)
-                column = b.column(0)
-                yield pa.RecordBatch.from_arrays([b.column(1), _texts(model, column)], ["_sp_row", "_sp_out"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), _texts(model, lists.slice(i, j - i))],
+                                                 ["_sp_row", "_sp_text"])
     return run
 
 
-def _texts(model: Pieces, column: pa.Array) -> pa.Array:
-    filled = column.fill_null(pa.scalar([], column.type)) if column.null_count else column
-    offsets = np.asarray(filled.offsets, np.int64)
-    ids = filled.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64)
-    texts = model.decode(ids, offsets - offsets[0])
-    return pa.array([None if e else t for e, t in zip(column.is_null().to_pylist(), texts)], pa.string())
+def _through(df: DataFrame, mapper, made: dict[str, tuple[str, T.DataType]]) -> DataFrame:
+    """All columns travel once, as one struct; ``made`` names what the mapper adds."""
+    ship(df.sparkSession)
+    sent = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_sp_row"))
+    schema = T.StructType([sent.schema["_sp_row"], *[T.StructField(c, kind) for c, (_, kind) in made.items()]])
+    names = {out for out, _ in made.values()}
+    keep = [F.col(f"_sp_row.`{c}`") for c in df.columns if c not in names]
+    return sent.mapInArrow(mapper, schema).select(*keep, *[F.col(c).alias(out) for c, (out, _) in made.items()])
 
 
-def _through(df: DataFrame, column: str, kind: str, mapper, out: str, made: T.DataType) -> DataFrame:
-    ship(df.sparkSession)
-    keep = [c for c in df.columns if c != out]
-    sent = df.select(F.col(column).cast(kind).alias("_sp_in"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_sp_row"))
-    schema = T.StructType([sent.schema["_sp_row"], T.StructField("_sp_out", made)])
-    return sent.mapInArrow(mapper, schema).select("_sp_row.*", F.col("_sp_out").alias(out))
+_IDS, _TEXT = T.ArrayType(T.IntegerType()), T.StringType()
 
 
 def encode(df: DataFrame, column: str = "text", out: str = "ids", path: str | None = None) -> DataFrame:
     """``df`` with the piece ids of ``column`` as ``out``."""
-    return _through(df, column, "string", _encoder(path or default_path()), out, T.ArrayType(T.IntegerType()))
+    return _through(df, _encoder(path or default_path(), column, False), {"_sp_ids": (out, _IDS)})
 
 
 def decode(df: DataFrame, column: str = "ids", out: str = "text", path: str | None = None) -> DataFrame:
     """``df`` with the text of the ids in ``column`` as ``out``."""
-    return _through(df, column, "array<int>", _decoder(path or default_path()), out, T.StringType())
+    return _through(df, _decoder(path or default_path(), column), {"_sp_text": (out, _TEXT)})
+
+
+def encode_decode(df: DataFrame, column: str = "text", out: str = "ids", back: str = "decoded", path: str | None = None) -> DataFrame:
+    """Both in one pass: the ids of ``column``, and the text of those ids."""
+    return _through(df, _encoder(path or default_path(), column, True), {"_sp_ids": (out, _IDS), "_sp_text": (back, _TEXT)})

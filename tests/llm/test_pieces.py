@@ -46,4 +46,6 @@ def test_edge_cases(spark):
     got = sorted(((r.doc_id, r.text, r.ids is None, r.back) for r in out.collect()), key=str)
     want = sorted(((i, t, t is None, t.replace("▁", " ") if t else t) for i, t in rows), key=str)
     assert got == want
+    both = pieces.encode_decode(docs, back="back")
+    assert sorted(((r.doc_id, r.text, r.ids is None, r.back) for r in both.collect()), key=str) == want
     assert pieces.encode(docs.limit(0)).count() == 0
