@@ -87,8 +87,8 @@ def op9_quality_classifier(spark, d):
 @register("op4_sentencepiece")
 def op4_sentencepiece(spark, d):
     """Encode and decode every document: counts, digests and the round trip."""
-    from .pieces import decode, encode
-    coded = decode(encode(table(spark, d, "documents").select("doc_id", "text")), out="decoded")
+    from .pieces import encode_decode
+    coded = encode_decode(table(spark, d, "documents").select("doc_id", "text"))
     return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
                         F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
                         F.col("decoded").eqNullSafe(F.translate("text", "▁", " ")).alias("exact"))
@@ -99,3 +99,30 @@ def op1_benchmark_decontamination(spark, d):
     """Every (document, benchmark item) whose question and answer a passage holds."""
     from .decontam import contaminated
     return contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@register("op8_token_output")
+def op8_token_output(spark, d):
+    """Write every document's ids, read the files back: place, length, digest."""
+    from . import tokenfile as t
+    folder = t.output_folder(spark)
+    t.write(table(spark, d, "documents"), folder)
+    docs = t.read(spark, folder).withColumn("ids", F.crc32("ids"))
+    return t.positions(docs).select("doc_id", "start", "n_tokens", F.col("ids").alias("ids_crc32"))
+
+
+@register("op7_secret_scan")
+def op7_secret_scan(spark, d):
+    """Base findings by kind, their digest, and all spans of every document."""
+    from .secrets import scan, spans_text
+    found = scan(table(spark, d, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex", "cnn")],
+                        F.sha2(spans_text(F.col("spans"), True), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))
+
+
+@register("op10_embedding_near_dedup")
+def op10_embedding_near_dedup(spark, d):
+    """Cosine 0.98 within a label: links, component and representative per vector."""
+    from .neardup import near_dedup
+    return near_dedup(table(spark, d, "embeddings"))
