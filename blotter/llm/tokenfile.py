@@ -1,18 +1,19 @@
 """Token-ID output: a binary format with static range asymmetric numeral coding.
 
 Documents are put in ascending doc_id order by a range shuffle; each task
-writes one shard. A shard is self-contained: one shared frequency table, then
-blocks of ``BLOCK`` ids that are coded independently. Within a block ``LANES``
-interleaved coders take every LANES-th id, so all lanes of all blocks advance
-together in numpy. Every block row carries its number of ids, a checkpoint (the
-lanes' states and byte counts), its document ends, and a CRC-32 of the ids; so
-blocks decode in parallel and a damaged one is found.
+writes one shard. A shard is cut into cells of about ``CELL`` blocks at document
+ends, and a cell row is all that decoding needs: the shard's shared frequency
+table, the blocks of ``BLOCK`` ids, which are coded independently, per block a
+checkpoint (the coders' states and word counts) and a CRC-32 of its ids, and the
+documents with their lengths. Within a block ``LANES`` interleaved coders take
+every LANES-th id; all lanes of a cell advance together in numpy. Cells are read
+in parallel, without a shuffle, and a damaged block is found.
 
 Coding: 63-bit states, 32-bit renormalisation, frequencies scaled to
 2**``SCALE`` with at least 1 for every id of the shard.
 
-The rows are written as Parquet (columns below), which Spark reads from any
-store: ``shard, block, first_id, n_ids, table, payload, states, docs, counts, crc``.
+Cells are rows of Parquet files, which Spark reads from any store: ``shard,
+cell, table, lens, payloads, states, crcs, docs, counts``.
 
 Null text is empty: a document of the end id alone. Rows with a null doc_id are
 left out. Rows that share a doc_id are written one after another, ordered by
@@ -34,10 +35,19 @@ from .text import flat, hash_spans, ranges, slices, words
 
 END = 2
 SCALE = 18
-LANES = 8
+LANES = 32
 BLOCK = 16384
-CACHE_WORDS = 500_000
+CELL = 64
+CACHE_WORDS = 1_500_000
+LEARN = 5000  # words given to the tokenizer at once
 LOW = 1 << 31  # a state stays within [LOW, LOW << 32)
+_ALNUM = np.zeros(256, bool)
+_MARK = np.zeros(256, bool)  # ASCII punctuation but for the apostrophe
+_MARK[33:127] = True
+for _a, _z in (("0", "9"), ("A", "Z"), ("a", "z")):
+    _ALNUM[ord(_a):ord(_z) + 1] = True
+_MARK &= ~_ALNUM
+_MARK[ord("'")] = False
 
 
 def default_path() -> str:
@@ -45,10 +55,27 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def parts(raw: np.ndarray, w):
+    """(start, end, first) of the words with marks at their end taken apart;
+    ``first`` is each document's first part."""
+    if not len(w.start):
+        return w.start, w.end, w.first
+    stem = np.maximum.accumulate(np.where(_MARK[raw], -1, np.arange(len(raw))))[w.end - 1] + 1
+    cut = (stem > w.start) & (stem < w.end) & _ALNUM[raw[np.maximum(stem - 1, 0)]]
+    tail = raw[np.minimum(stem, len(raw) - 1)], raw[np.minimum(stem + 1, len(raw) - 1)]
+    cut &= (tail[0] != ord("|")) | (tail[1] != ord(">"))  # special tokens stay whole
+    at = np.concatenate([[0], np.cumsum(1 + cut)])
+    start, end = np.repeat(w.start, 1 + cut), np.repeat(w.end, 1 + cut)
+    end[at[:-1][cut]] = stem[cut]
+    start[at[1:][cut] - 1] = stem[cut]
+    return start, end, at[w.first]
+
+
 class Encoder:
-    """Ids of texts. The tokenizer splits at white space before it merges, so
-    the ids of a text are those of its words (``[^\\x20\\x09-\\x0D]+``); each
-    worker remembers words it has met, up to ``CACHE_WORDS``."""
+    """Ids of texts. The tokenizer splits at white space, and between letters
+    or digits and punctuation, before it merges. So the ids of a text are those
+    of its words (``[^\\x20\\x09-\\x0D]+``), with marks at a word's end taken
+    apart; each worker remembers up to ``CACHE_WORDS`` that it has met."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -60,7 +87,10 @@ class Encoder:
         self.at, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, keys, check, texts):
-        got = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        got = []
+        for i in range(0, len(texts), LEARN):
+            for e in self.tokenizer.encode_batch_fast(texts[i:i + LEARN], add_special_tokens=False):
+                got.append(np.array(e.ids, np.int32))
         size = np.array([len(g) for g in got], np.int64)
         at = len(self.pool) + np.cumsum(size) - size
         self.pool = np.concatenate([self.pool, *got])
@@ -74,9 +104,10 @@ class Encoder:
         for i, j in slices(offsets):
             part = raw[offsets[i]:offsets[j]]
             w = words(part, offsets[i:j + 1] - offsets[i])
-            h = hash_spans(part, w.start, w.end, seed=21)
+            start, end, first_of = parts(part, w)
+            h = hash_spans(part, start, end, seed=21)
             keys, first, which = np.unique(h, return_index=True, return_inverse=True)
-            check = hash_spans(part, w.start[first], w.end[first], seed=22)
+            check = hash_spans(part, start[first], end[first], seed=22)
             place = np.searchsorted(self.word, keys)
             at = np.minimum(place, max(0, len(self.word) - 1))
             known = (self.word[at] == keys) if len(self.word) else np.zeros(len(keys), bool)
@@ -89,11 +120,11 @@ class Encoder:
                     known[:] = False
                 new = np.flatnonzero(~known)
                 blob = part.tobytes()
-                self._learn(keys[new], check[new], [blob[a:b].decode() for a, b in zip(w.start[first[new]].tolist(), w.end[first[new]].tolist())])
+                self._learn(keys[new], check[new], [blob[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
                 at = np.searchsorted(self.word, keys)
             size, from_ = self.size[at][which], self.at[at][which]
             total = np.concatenate([[0], np.cumsum(size)])
-            count = np.diff(total[w.first])
+            count = np.diff(total[first_of])
             body = self.pool[ranges(from_, size)]
             out = np.full(len(body) + len(count), END, np.int32)
             mask = np.ones(len(out), bool)
@@ -193,10 +224,11 @@ def rans_decode(payloads: list[bytes], states: list[np.ndarray], lens: np.ndarra
     return out
 
 
-ROW = ("shard int, block int, n_ids int, table binary, payload binary, states binary, docs binary, counts binary, crc long")
-_ROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int32()), ("table", pa.binary()),
-                  ("payload", pa.binary()), ("states", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()),
-                  ("crc", pa.int64())])
+ROW = ("shard int, cell int, table binary, lens array<int>, payloads array<binary>, states array<binary>, crcs array<long>, "
+       "docs binary, counts binary")
+_ROW = pa.schema([("shard", pa.int32()), ("cell", pa.int32()), ("table", pa.binary()), ("lens", pa.list_(pa.int32())),
+                  ("payloads", pa.list_(pa.binary())), ("states", pa.list_(pa.binary())), ("crcs", pa.list_(pa.int64())),
+                  ("docs", pa.binary()), ("counts", pa.binary())])
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -217,26 +249,29 @@ def _writer(path: str):
             return
         ids, counts = np.concatenate(ids), np.concatenate(counts)
         freq = scaled(np.bincount(ids))
-        lens = np.full(-(-len(ids) // BLOCK), BLOCK)
-        lens[-1] = len(ids) - BLOCK * (len(lens) - 1)
-        ends = np.cumsum(counts)
         used = np.flatnonzero(freq)
         table = np.array([len(freq), *used, *freq[used]], "<u4").tobytes()
-        group = 512  # blocks coded together
-        for g in range(0, len(lens), group):
-            part = lens[g:g + group]
-            base = g * BLOCK
-            coded = rans_encode(ids[base:base + int(part.sum())], freq, part)
-            rows = []
-            for k, (payload, states) in enumerate(coded):
-                lo = base + k * BLOCK
-                hi = lo + int(part[k])
-                a, z = np.searchsorted(ends, [lo, hi], side="right")
-                # documents that end in this block, and where
-                rows.append((shard, g + k, int(part[k]), table if g + k == 0 else None, payload, states.tobytes(),
-                             docs[a:z].astype("<i8").tobytes(), (ends[a:z] - lo).astype("<u4").tobytes(),
-                             zlib.crc32(ids[lo:hi].astype("<u4").tobytes())))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], _ROW.field(i).type) for i in range(9)], schema=_ROW)
+        ends = np.cumsum(counts)
+        # cells end with the document that fills them
+        cell = (ends - counts) // (CELL * BLOCK)
+        cut = np.append(np.flatnonzero(np.diff(cell)) + 1, len(docs))
+        a = at = 0
+        for number, z in enumerate(cut.tolist()):
+            part = ids[at:int(ends[z - 1])]
+            lens = np.full(-(-len(part) // BLOCK), BLOCK)
+            lens[-1] = len(part) - BLOCK * (len(lens) - 1)
+            payloads, states, crcs = [], [], []
+            for g in range(0, len(lens), CELL):  # a very long document makes a longer cell
+                some, base = lens[g:g + CELL], g * BLOCK
+                for payload, state in rans_encode(part[base:base + int(some.sum())], freq, some):
+                    payloads.append(payload)
+                    states.append(state.tobytes())
+            for i in range(0, len(part), BLOCK):
+                crcs.append(zlib.crc32(part[i:i + BLOCK].astype("<u4").tobytes()))
+            row = (shard, number, table, lens.tolist(), payloads, states, crcs, docs[a:z].astype("<i8").tobytes(),
+                   counts[a:z].astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _ROW)], schema=_ROW)
+            a, at = z, int(ends[z - 1])
     return run
 
 
@@ -259,61 +294,41 @@ def _table(data: bytes) -> np.ndarray:
     return freq
 
 
-_PIECE = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()),
-                    ("last", pa.bool_()), ("ids", pa.binary())])
-
-
-def _reader(table: pa.Table) -> pa.Table:
-    """A group of a shard's blocks: the pieces of documents in them."""
-    table = table.sort_by("block")
-    freq = _table(next(t for t in table.column("table").to_pylist() if t is not None))
-    col = {c: table.column(c).to_pylist() for c in ("shard", "block", "n_ids", "payload", "states", "docs", "counts", "crc", "own")}
-    own = [i for i, o in enumerate(col["own"]) if o]
-    out = []
-    for g in range(0, len(own), 64):
-        part = own[g:g + 64]
-        lens = np.array([col["n_ids"][i] for i in part])
-        ids = rans_decode([col["payload"][i] for i in part], [np.frombuffer(col["states"][i], "<u8") for i in part], lens, freq)
-        base = 0
-        for i, n in zip(part, lens.tolist()):
-            raw = ids[base:base + n].astype("<u4")
-            base += n
-            if zlib.crc32(raw.tobytes()) != col["crc"][i]:
-                raise ValueError(f"checksum of shard {col['shard'][i]}, block {col['block'][i]}")
-            ends = np.frombuffer(col["counts"][i], "<u4").tolist()
-            names = np.frombuffer(col["docs"][i], "<i8").tolist()
-            begin = 0
-            for k, (doc, end) in enumerate(zip(names, ends)):
-                out.append((col["shard"][i], col["block"][i], k, doc, True, raw[begin:end].tobytes()))
-                begin = end
-            if begin < n:  # ends in a later block
-                out.append((col["shard"][i], col["block"][i], len(names), None, False, raw[begin:].tobytes()))
-    return pa.Table.from_arrays([pa.array([r[i] for r in out], _PIECE.field(i).type) for i in range(6)], schema=_PIECE)
-
-
-def read(spark, folder: str, blocks: int = 256) -> DataFrame:
-    """(shard, at, doc_id, n_tokens, ids) per document, in parallel by groups of
-    ``blocks`` blocks; ``at`` orders a shard's documents, ``ids`` are
-    little-endian unsigned 32-bit integers."""
+_DOC = pa.schema([("shard", pa.int32()), ("cell", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
+                  ("ids", pa.binary())])
+
+
+def _reader(batches):
+    for b in batches:
+        for r in b.to_pylist():
+            freq, lens, out = _table(r["table"]), np.array(r["lens"]), []
+            for g in range(0, len(lens), CELL):
+                ids = rans_decode(r["payloads"][g:g + CELL], [np.frombuffer(x, "<u8") for x in r["states"][g:g + CELL]],
+                                  lens[g:g + CELL], freq).astype("<u4")
+                for k in range(0, len(ids), BLOCK):
+                    if zlib.crc32(ids[k:k + BLOCK].tobytes()) != r["crcs"][g + k // BLOCK]:
+                        raise ValueError(f"checksum of shard {r['shard']}, cell {r['cell']}, block {g + k // BLOCK}")
+                out.append(ids)
+            ids = np.concatenate(out)
+            docs, counts = np.frombuffer(r["docs"], "<i8"), np.frombuffer(r["counts"], "<i8")
+            at = np.concatenate([[0], np.cumsum(counts)])
+            for i in range(0, len(docs), 2000):
+                j = min(len(docs), i + 2000)
+                n = j - i
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(n, r["shard"]), pa.int32()), pa.array(np.full(n, r["cell"]), pa.int32()), pa.array(np.arange(i, j), pa.int32()),
+                    pa.array(docs[i:j], pa.int64()), pa.array(counts[i:j], pa.int64()),
+                    pa.array([ids[at[k]:at[k + 1]].tobytes() for k in range(i, j)], pa.binary())], schema=_DOC)
+
+
+def read(spark, folder: str) -> DataFrame:
+    """(shard, at, doc_id, n_tokens, ids) per document, cell by cell in
+    parallel; ``at`` orders a shard's documents, ``ids`` are little-endian
+    unsigned 32-bit integers."""
     ship(spark)
-    rows = spark.read.schema(ROW).parquet(folder)
-    cell = F.floor(F.col("block") / blocks).cast("int")
-    groups = rows.groupBy("shard").agg(F.max(cell).alias("top"))
-    tables = rows.where("table is not null").join(groups, "shard") \
-        .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("top")))).drop("top")
-    own = rows.withColumn("cell", cell).withColumn("own", F.lit(True))
-    extra = tables.where("cell > 0").withColumn("own", F.lit(False)).withColumn("payload", F.lit(None).cast("binary"))
-    pieces = own.unionByName(extra).groupBy("shard", "cell") \
-        .applyInArrow(_reader, "shard int, block int, place int, doc_id long, last boolean, ids binary")
-    # a document's pieces lie in neighbouring blocks; the one that ends it names it
-    order = Window.partitionBy("shard").orderBy("block", "place")
-    at = F.struct("block", "place")
-    named = pieces.withColumn("at", F.min(F.when(F.col("last"), at)).over(order.rowsBetween(0, Window.unboundedFollowing)))
-    return named.groupBy("shard", "at").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.array_sort(F.collect_list(F.struct("block", "ids"))).alias("p")) \
-        .withColumn("ids", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x.ids))) \
-        .select("shard", "at", "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    return spark.read.schema(ROW).parquet(folder) \
+        .mapInArrow(_reader, "shard int, cell int, place int, doc_id long, n_tokens long, ids binary") \
+        .select("shard", F.struct("cell", "place").alias("at"), "doc_id", "n_tokens", "ids")
 
 
 def positions(documents: DataFrame) -> DataFrame:

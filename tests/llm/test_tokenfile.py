@@ -27,19 +27,21 @@ def test_whole_small_table_against_the_tokenizer(spark):
     assert sorted(tuple(r) for r in QUERIES["op8_token_output"](spark, SF_MID).collect()) == expected(rows)
 
 
-def round_trip(spark, docs, blocks=256):
+def round_trip(spark, docs):
     folder = t.output_folder(spark)
     t.write(docs, folder)
-    got = t.positions(t.read(spark, folder, blocks)).collect()
+    got = t.positions(t.read(spark, folder)).collect()
     return sorted((r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) for r in got)
 
 
 def test_edge_cases(spark):
-    rows = [(1, None), (2, ""), (3, " \n\x0b\x1c\x85 "), (5, "Don't  STOP it's é́ <|endoftext|> ﬁ"), (5, "b"), (7, "word " * 70000),
+    rows = [(1, None), (2, ""), (3, " \n\x0b\x1c\x85 "), (5, "Don't  STOP it's é́ <|endoftext|> x<|endoftext|>.. <|startoftext|>a ﬁ"), (5, "b"), (7, "word " * 70000),
             (8, "x" * 5000), (None, "none"), (-4, "first　漢字 \U0001F600"), (9, "a b​c\x1fd")]
     docs = docs_of(spark, rows).selectExpr("*", "1 as ids", "2 as shard", "3 as start")
     assert round_trip(spark, docs) == expected(rows)
-    assert round_trip(spark, docs.repartition(1), blocks=1) == expected(rows)
+    many = rows + [(1000 + i, f"{'Word, ' * 9000}{i}.") for i in range(150)]  # several cells, one long document
+    many += [(5000, "long " * 1200000)]
+    assert round_trip(spark, docs_of(spark, many).coalesce(1)) == expected(many)
     assert round_trip(spark, docs.limit(0)) == []
 
 
@@ -66,7 +68,7 @@ def test_damage_is_found(spark):
     folder = t.output_folder(spark)
     t.write(docs_of(spark, [(1, "some words here " * 50)]), folder)
     bad = t.output_folder(spark)
-    spark.read.parquet(folder).selectExpr("shard", "block", "n_ids", "table", "payload", "states", "docs", "counts", "crc + 1 as crc") \
+    spark.read.parquet(folder).selectExpr("shard", "cell", "table", "lens", "payloads", "states", "transform(crcs, x -> x + 1) as crcs", "docs", "counts") \
         .write.parquet(bad)
     with pytest.raises(Exception, match="checksum"):
         t.read(spark, bad).collect()
