@@ -62,6 +62,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="blotter-ckpt-")
         spark.sparkContext.setCheckpointDir(configured)
     else:
