@@ -39,6 +39,7 @@ LANES = 32
 BLOCK = 16384
 CELL = 64
 CACHE_WORDS = 1_500_000
+SLICE = 1 << 21  # bytes of text encoded at once
 LEARN = 5000  # words given to the tokenizer at once
 LOW = 1 << 31  # a state stays within [LOW, LOW << 32)
 _ALNUM = np.zeros(256, bool)
@@ -101,9 +102,11 @@ class Encoder:
     def encode(self, texts: pa.Array):
         """Slices of (ids with the end id, number of ids of each document)."""
         raw, offsets = flat(texts)
-        for i, j in slices(offsets):
+        for i, j in slices(offsets, SLICE):
             part = raw[offsets[i]:offsets[j]]
-            w = words(part, offsets[i:j + 1] - offsets[i])
+            # the tokenizer lower-cases, but finds special tokens before it does
+            w = words(part, offsets[i:j + 1] - offsets[i], lower=b"<|" not in part.tobytes())
+            part = w.raw
             start, end, first_of = parts(part, w)
             h = hash_spans(part, start, end, seed=21)
             keys, first, which = np.unique(h, return_index=True, return_inverse=True)

@@ -35,7 +35,7 @@ def round_trip(spark, docs):
 
 
 def test_edge_cases(spark):
-    rows = [(1, None), (2, ""), (3, " \n\x0b\x1c\x85 "), (5, "Don't  STOP it's é́ <|endoftext|> x<|endoftext|>.. <|startoftext|>a ﬁ"), (5, "b"), (7, "word " * 70000),
+    rows = [(1, None), (2, ""), (3, " \n\x0b\x1c\x85 "), (5, "Don't  STOP it's é́ <|endoftext|> x<|endoftext|>.. <|startoftext|>a <|ENDOFTEXT|> ÀÉ K ﬁ"), (5, "b"), (7, "word " * 70000),
             (8, "x" * 5000), (None, "none"), (-4, "first　漢字 \U0001F600"), (9, "a b​c\x1fd")]
     docs = docs_of(spark, rows).selectExpr("*", "1 as ids", "2 as shard", "3 as start")
     assert round_trip(spark, docs) == expected(rows)
