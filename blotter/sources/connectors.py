@@ -14,11 +14,12 @@ from pyspark.sql.streaming import DataStreamReader
 
 
 def kafka_options(servers: str, topic: str, starting: str = "latest",
-                  group_id: str | None = None) -> dict[str, str]:
+                  group_id: str | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
     """Subscribe to one topic; a new query starts at the latest offset,
-    a restarted one resumes from its checkpoint."""
+    a restarted one resumes from its checkpoint and fails if offsets it has not
+    read are gone, unless ``fail_on_data_loss`` is off."""
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+            "failOnDataLoss": str(fail_on_data_loss).lower()}
     if group_id:
         opts["kafka.group.id"] = group_id
     return opts
