@@ -22,7 +22,9 @@ their text, and read back as one row each. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ LANES = 32
 BLOCK = 16384
 CELL = 64
 CACHE_WORDS = 1_500_000
+CACHE_IDS = 16_000_000
 SLICE = 1 << 21  # bytes of text encoded at once
 LEARN = 5000  # words given to the tokenizer at once
 LOW = 1 << 31  # a state stays within [LOW, LOW << 32)
@@ -61,7 +64,11 @@ def parts(raw: np.ndarray, w):
     ``first`` is each document's first part."""
     if not len(w.start):
         return w.start, w.end, w.first
-    stem = np.maximum.accumulate(np.where(_MARK[raw], -1, np.arange(len(raw))))[w.end - 1] + 1
+    # a stem ends after the last byte that is no mark
+    solid = np.flatnonzero(~_MARK[raw])
+    marked = np.flatnonzero(_MARK[raw[w.end - 1]])
+    stem = w.end.copy()
+    stem[marked] = np.append(-1, solid)[np.searchsorted(solid, w.end[marked])] + 1
     cut = (stem > w.start) & (stem < w.end) & _ALNUM[raw[np.maximum(stem - 1, 0)]]
     tail = raw[np.minimum(stem, len(raw) - 1)], raw[np.minimum(stem + 1, len(raw) - 1)]
     cut &= (tail[0] != ord("|")) | (tail[1] != ord(">"))  # special tokens stay whole
@@ -72,13 +79,29 @@ def parts(raw: np.ndarray, w):
     return start, end, at[w.first]
 
 
+def distinct(h: np.ndarray):
+    """(sorted values, a place of each, each element's value); any place will do,
+    so the sort need not be stable."""
+    order = np.argsort(h)
+    ranked = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(h), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], which
+
+
 class Encoder:
     """Ids of texts. The tokenizer splits at white space, and between letters
     or digits and punctuation, before it merges. So the ids of a text are those
     of its words (``[^\\x20\\x09-\\x0D]+``), with marks at a word's end taken
-    apart; each worker remembers up to ``CACHE_WORDS`` that it has met."""
+    apart; each worker remembers up to ``CACHE_WORDS`` words that it has met,
+    of about ``CACHE_IDS`` ids together."""
 
     def __init__(self, path: str):
+        # Spark gives a task one core: the library's threads would only add their
+        # own memory and hand-over time.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.forget()
@@ -88,13 +111,14 @@ class Encoder:
         self.at, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, keys, check, texts):
-        got = []
+        pools, sizes = [self.pool], []
         for i in range(0, len(texts), LEARN):
-            for e in self.tokenizer.encode_batch_fast(texts[i:i + LEARN], add_special_tokens=False):
-                got.append(np.array(e.ids, np.int32))
-        size = np.array([len(g) for g in got], np.int64)
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + LEARN], add_special_tokens=False)]
+            pools.append(np.fromiter(chain.from_iterable(got), np.int32))
+            sizes += map(len, got)
+        size = np.array(sizes, np.int64)
         at = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate([self.pool, *got])
+        self.pool = np.concatenate(pools)
         place = np.searchsorted(self.word, keys)
         self.word, self.check = np.insert(self.word, place, keys), np.insert(self.check, place, check)
         self.at, self.size = np.insert(self.at, place, at), np.insert(self.size, place, size)
@@ -109,7 +133,7 @@ class Encoder:
             part = w.raw
             start, end, first_of = parts(part, w)
             h = hash_spans(part, start, end, seed=21)
-            keys, first, which = np.unique(h, return_index=True, return_inverse=True)
+            keys, first, which = distinct(h)
             check = hash_spans(part, start[first], end[first], seed=22)
             place = np.searchsorted(self.word, keys)
             at = np.minimum(place, max(0, len(self.word) - 1))
@@ -118,7 +142,7 @@ class Encoder:
                 self.forget()  # two words of one hash: start anew
                 known[:] = False
             if not known.all():
-                if len(self.word) + int((~known).sum()) > CACHE_WORDS:
+                if len(self.word) + int((~known).sum()) > CACHE_WORDS or len(self.pool) > CACHE_IDS:
                     self.forget()
                     known[:] = False
                 new = np.flatnonzero(~known)
@@ -241,17 +265,20 @@ def _writer(path: str):
         shard = TaskContext.get().partitionId()
         if path not in _LOADED:
             _LOADED[path] = Encoder(path)
-        ids, docs, counts = [], [], []
+        ids, docs, counts, seen = [], [], [], np.zeros(0, np.int64)
         for b in batches:
             docs.append(b.column(0).to_numpy(zero_copy_only=False))
             for body, count in _LOADED[path].encode(b.column(1)):
                 ids.append(body.astype("<u4" if len(body) and body.max() > 0xFFFF else "<u2"))
                 counts.append(count)
+                more = np.bincount(body, minlength=len(seen))
+                more[:len(seen)] += seen
+                seen = more
         docs = np.concatenate(docs) if docs else np.zeros(0, np.int64)
         if not len(docs):
             return
         ids, counts = np.concatenate(ids), np.concatenate(counts)
-        freq = scaled(np.bincount(ids))
+        freq = scaled(seen)
         used = np.flatnonzero(freq)
         table = np.array([len(freq), *used, *freq[used]], "<u4").tobytes()
         ends = np.cumsum(counts)
@@ -303,7 +330,8 @@ _DOC = pa.schema([("shard", pa.int32()), ("cell", pa.int32()), ("place", pa.int3
 
 def _reader(batches):
     for b in batches:
-        for r in b.to_pylist():
+        for row in range(b.num_rows):  # one cell at a time
+            r = b.slice(row, 1).to_pylist()[0]
             freq, lens, out = _table(r["table"]), np.array(r["lens"]), []
             for g in range(0, len(lens), CELL):
                 ids = rans_decode(r["payloads"][g:g + CELL], [np.frombuffer(x, "<u8") for x in r["states"][g:g + CELL]],
