@@ -108,7 +108,7 @@ def op8_token_output(spark, d):
     folder = t.output_folder(spark)
     t.write(table(spark, d, "documents"), folder)
     docs = t.read(spark, folder).withColumn("ids", F.crc32("ids"))
-    return t.positions(docs).select("doc_id", "start", "n_tokens", F.col("ids").alias("ids_crc32"))
+    return t.positions(docs, folder).select("doc_id", "start", "n_tokens", F.col("ids").alias("ids_crc32"))
 
 
 @register("op7_secret_scan")

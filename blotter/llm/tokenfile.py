@@ -43,7 +43,8 @@ CELL = 64
 CACHE_WORDS = 1_500_000
 CACHE_IDS = 16_000_000
 SLICE = 1 << 21  # bytes of text encoded at once
-LEARN = 5000  # words given to the tokenizer at once
+LEARN = 10000  # words given to the tokenizer at once
+MARK, RUN = "<|startoftext|>", 200  # a special token of the file; words of a run that it ends
 LOW = 1 << 31  # a state stays within [LOW, LOW << 32)
 _ALNUM = np.zeros(256, bool)
 _MARK = np.zeros(256, bool)  # ASCII punctuation but for the apostrophe
@@ -104,21 +105,33 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self.tokenizer.token_to_id(MARK)
         self.forget()
 
     def forget(self):
         self.word, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.at, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def _learn(self, keys, check, texts):
-        pools, sizes = [self.pool], []
-        for i in range(0, len(texts), LEARN):
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + LEARN], add_special_tokens=False)]
-            pools.append(np.fromiter(chain.from_iterable(got), np.int32))
-            sizes += map(len, got)
-        size = np.array(sizes, np.int64)
+    def _ids(self, texts, joined):
+        """(ids of all ``texts``, number of ids of each). Where no text holds a
+        special token, runs of texts go to the library as one, each ended by
+        ``MARK``, which splits a text as its end does; that saves its cost a call."""
+        if joined and self.mark is not None:
+            runs = ["".join(t + MARK for t in texts[i:i + RUN]) for i in range(0, len(texts), RUN)]
+        else:
+            runs = texts
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(got), np.int32)
+        if runs is texts:
+            return ids, np.array([len(g) for g in got], np.int64)
+        ends = np.flatnonzero(ids == self.mark)
+        return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
+
+    def _learn(self, keys, check, texts, joined):
+        got = [self._ids(texts[i:i + LEARN], joined) for i in range(0, len(texts), LEARN)]
+        size = np.concatenate([n for _, n in got])
         at = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate(pools)
+        self.pool = np.concatenate([self.pool, *[ids for ids, _ in got]])
         place = np.searchsorted(self.word, keys)
         self.word, self.check = np.insert(self.word, place, keys), np.insert(self.check, place, check)
         self.at, self.size = np.insert(self.at, place, at), np.insert(self.size, place, size)
@@ -129,7 +142,8 @@ class Encoder:
         for i, j in slices(offsets, SLICE):
             part = raw[offsets[i]:offsets[j]]
             # the tokenizer lower-cases, but finds special tokens before it does
-            w = words(part, offsets[i:j + 1] - offsets[i], lower=b"<|" not in part.tobytes())
+            plain = b"<|" not in part.tobytes()
+            w = words(part, offsets[i:j + 1] - offsets[i], lower=plain)
             part = w.raw
             start, end, first_of = parts(part, w)
             h = hash_spans(part, start, end, seed=21)
@@ -147,7 +161,7 @@ class Encoder:
                     known[:] = False
                 new = np.flatnonzero(~known)
                 blob = part.tobytes()
-                self._learn(keys[new], check[new], [blob[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+                self._learn(keys[new], check[new], [blob[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())], plain)
                 at = np.searchsorted(self.word, keys)
             size, from_ = self.size[at][which], self.at[at][which]
             total = np.concatenate([[0], np.cumsum(size)])
@@ -180,28 +194,44 @@ def scaled(counts: np.ndarray) -> np.ndarray:
     return freq
 
 
+def lane_order(lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lanes from the longest to the shortest, lanes with an id at each step,
+    that id's place): the lanes that still run are then the first ones."""
+    block, number = np.divmod(np.arange(len(lens) * LANES), LANES)
+    size = np.maximum(0, (lens[block] - number + LANES - 1) // LANES)
+    by_length = np.argsort(-size, kind="stable")
+    steps = np.arange(int(size.max(initial=0)))
+    live = np.searchsorted(-size[by_length], -steps, side="left")
+    first = ((np.cumsum(lens) - lens)[block] + number)[by_length]
+    places = np.minimum(first + steps[:, None] * LANES, max(0, int(lens.sum()) - 1))
+    return by_length, live, places
+
+
 def rans_encode(ids: np.ndarray, freq: np.ndarray, lens: np.ndarray) -> list[tuple[bytes, np.ndarray]]:
     """(payload, states) of every block; ``lens`` are the blocks' ids. Lanes of
     all blocks run together, from the last id to the first."""
     start = np.concatenate([[0], np.cumsum(freq)])
     blocks = len(lens)
-    first = np.cumsum(lens) - lens
     lanes = blocks * LANES
-    lane_block, lane_no = np.divmod(np.arange(lanes), LANES)
-    lane_len = np.maximum(0, (lens[lane_block] - lane_no + LANES - 1) // LANES)
+    by_length, live, places = lane_order(lens)
     state = np.full(lanes, LOW, np.uint64)
     out_lane, out_word = [], []
-    for t in range(int(lane_len.max(initial=0)) - 1, -1, -1):
-        live = np.flatnonzero(lane_len > t)
-        s = ids[first[lane_block[live]] + t * LANES + lane_no[live]]
+    symbols = ids[places]
+    shift, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    for t in range(len(live) - 1, -1, -1):
+        s = symbols[t, :live[t]]
         f, c = freq[s].astype(np.uint64), start[s].astype(np.uint64)
-        x = state[live]
-        full = x >= (f << np.uint64(63 - SCALE))
-        if full.any():
-            out_lane.append(live[full])
-            out_word.append((x[full] & np.uint64(0xFFFFFFFF)).astype("<u4"))
-            x = np.where(full, x >> np.uint64(32), x)
-        state[live] = ((x // f) << np.uint64(SCALE)) + (x % f) + c
+        x = state[:live[t]]
+        full = np.flatnonzero(x >= (f << np.uint64(63 - SCALE)))
+        if len(full):
+            y = x[full]
+            out_lane.append(by_length[full])
+            out_word.append((y & low).astype("<u4"))
+            x[full] = y >> shift
+        q = x // f
+        state[:live[t]] = (q << np.uint64(SCALE)) + (x - q * f) + c
+    ranked, state = state, np.empty(lanes, np.uint64)
+    state[by_length] = ranked
     lane = np.concatenate(out_lane) if out_lane else np.zeros(0, np.int64)
     word = np.concatenate(out_word) if out_word else np.zeros(0, "<u4")
     order = np.argsort(lane, kind="stable")
@@ -220,32 +250,28 @@ def rans_decode(payloads: list[bytes], states: list[np.ndarray], lens: np.ndarra
     """The ids of blocks that share a frequency table, one after another."""
     start = np.concatenate([[0], np.cumsum(freq)])
     of = np.repeat(np.arange(len(freq)), freq)
-    blocks = len(lens)
-    first = np.cumsum(lens) - lens
-    lanes = blocks * LANES
-    lane_block, lane_no = np.divmod(np.arange(lanes), LANES)
-    lane_len = np.maximum(0, (lens[lane_block] - lane_no + LANES - 1) // LANES)
+    by_length, live, places = lane_order(lens)
     both = np.stack(states).astype(np.int64)
     x = both[:, :LANES].reshape(-1).astype(np.uint64)
     size = both[:, LANES:].reshape(-1)
     word = np.frombuffer(b"".join(payloads), "<u4").astype(np.uint64)
     base = np.cumsum(size) - size
-    at = base + size  # words come back last first
+    x, base, at = x[by_length], base[by_length], (base + size)[by_length]  # words come back last first
     out = np.zeros(int(lens.sum()), np.int32)
     mask = np.uint64((1 << SCALE) - 1)
-    for t in range(int(lane_len.max(initial=0))):
-        live = np.flatnonzero(lane_len > t)
-        y = x[live]
-        slot = (y & mask).astype(np.int64)
+    scale, wide, least = np.uint64(SCALE), np.uint64(32), np.uint64(LOW)
+    weight, offset = freq.astype(np.uint64), start.astype(np.uint64)
+    for t in range(len(live)):
+        y = x[:live[t]]
+        slot = y & mask
         s = of[slot]
-        out[first[lane_block[live]] + t * LANES + lane_no[live]] = s
-        y = freq[s].astype(np.uint64) * (y >> np.uint64(SCALE)) + (slot - start[s]).astype(np.uint64)
-        low = y < np.uint64(LOW)
-        if low.any():
-            who = live[low]
-            at[who] -= 1
-            y[low] = (y[low] << np.uint64(32)) | word[at[who]]
-        x[live] = y
+        out[places[t, :live[t]]] = s
+        y = weight[s] * (y >> scale) + slot - offset[s]
+        low = np.flatnonzero(y < least)
+        if len(low):
+            at[low] -= 1
+            y[low] = (y[low] << wide) | word[at[low]]
+        x[:live[t]] = y
     if not (np.array_equal(at, base) and (x == np.uint64(LOW)).all()):
         raise ValueError("a block does not end in its first state")
     return out
@@ -324,7 +350,7 @@ def _table(data: bytes) -> np.ndarray:
     return freq
 
 
-_DOC = pa.schema([("shard", pa.int32()), ("cell", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
+_DOC = pa.schema([("shard", pa.int32()), ("cell", pa.int32()), ("inside", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                   ("ids", pa.binary())])
 
 
@@ -343,33 +369,38 @@ def _reader(batches):
             ids = np.concatenate(out)
             docs, counts = np.frombuffer(r["docs"], "<i8"), np.frombuffer(r["counts"], "<i8")
             at = np.concatenate([[0], np.cumsum(counts)])
+            if at[-1] != len(ids):
+                raise ValueError(f"documents of shard {r['shard']}, cell {r['cell']} do not fill its blocks")
             for i in range(0, len(docs), 2000):
                 j = min(len(docs), i + 2000)
                 n = j - i
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, r["shard"]), pa.int32()), pa.array(np.full(n, r["cell"]), pa.int32()), pa.array(np.arange(i, j), pa.int32()),
+                    pa.array(np.full(n, r["shard"]), pa.int32()), pa.array(np.full(n, r["cell"]), pa.int32()), pa.array(at[i:j], pa.int64()),
                     pa.array(docs[i:j], pa.int64()), pa.array(counts[i:j], pa.int64()),
                     pa.array([ids[at[k]:at[k + 1]].tobytes() for k in range(i, j)], pa.binary())], schema=_DOC)
 
 
 def read(spark, folder: str) -> DataFrame:
-    """(shard, at, doc_id, n_tokens, ids) per document, cell by cell in
-    parallel; ``at`` orders a shard's documents, ``ids`` are little-endian
-    unsigned 32-bit integers."""
+    """(shard, cell, inside, doc_id, n_tokens, ids) per document, cell by cell in
+    parallel; ``inside`` counts the ids of its cell before it, ``ids`` are
+    little-endian unsigned 32-bit integers."""
     ship(spark)
     return spark.read.schema(ROW).parquet(folder) \
-        .mapInArrow(_reader, "shard int, cell int, place int, doc_id long, n_tokens long, ids binary") \
-        .select("shard", F.struct("cell", "place").alias("at"), "doc_id", "n_tokens", "ids")
-
-
-def positions(documents: DataFrame) -> DataFrame:
-    """``read``'s rows with ``start``, the ids of all documents before. Shards
-    are few and summed first; within a shard a window sums in order."""
-    per = documents.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-    before = per.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("base"))
-    inside = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("at")) - F.col("n_tokens")
-    return documents.withColumn("inside", inside).join(before, "shard") \
-        .withColumn("start", F.col("base") + F.col("inside")).drop("base", "inside")
+        .mapInArrow(_reader, "shard int, cell int, inside long, doc_id long, n_tokens long, ids binary")
+
+
+def positions(documents: DataFrame, folder: str) -> DataFrame:
+    """``read``'s rows of ``folder`` with ``start``, the ids of all documents
+    before. The cells' block lengths are summed by shard, then in order, so
+    nothing is decoded for it; decoding checks them."""
+    cells = documents.sparkSession.read.schema(ROW).parquet(folder) \
+        .select("shard", "cell", F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
+    per = cells.groupBy("shard").agg(F.sum("n").alias("n"))
+    shards = per.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("base"))
+    earlier = F.sum("n").over(Window.partitionBy("shard").orderBy("cell")) - F.col("n")
+    begin = cells.select("shard", "cell", earlier.alias("earlier")).join(shards, "shard") \
+        .select("shard", "cell", (F.col("base") + F.col("earlier")).alias("base"))
+    return documents.join(begin, ["shard", "cell"]).withColumn("start", F.col("base") + F.col("inside")).drop("base", "inside")
 
 
 def output_folder(spark) -> str:

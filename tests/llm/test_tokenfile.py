@@ -30,7 +30,7 @@ def test_whole_small_table_against_the_tokenizer(spark):
 def round_trip(spark, docs):
     folder = t.output_folder(spark)
     t.write(docs, folder)
-    got = t.positions(t.read(spark, folder)).collect()
+    got = t.positions(t.read(spark, folder), folder).collect()
     return sorted((r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) for r in got)
 
 
