@@ -4,7 +4,7 @@
     python -m blotter produce --csv PATH --kafka HOST:PORT --topic T
     python -m blotter batch  --sf-dir DIR [--out DIR] [--hash murmur|md5]
     python -m blotter batch  --crimes GLOB --arrests GLOB --stations GLOB --violence GLOB
-                             --registry GLOB [--out DIR]
+                             --registry GLOB [--out DIR] [--first]
     python -m blotter alerts --source DIR --out DIR [--window 300] [--slide 60]
                              [--threshold 50] [--watermark "10 minutes"] [--once]
     python -m blotter alerts --kafka HOST:PORT --topic T --out DIR ...
@@ -30,7 +30,7 @@ def _batch(args) -> dict:
         raise SystemExit("give --sf-dir or the five CSV inputs")
     spark = build_session(app="blotter-batch")
     apply_scale_settings(spark, csvs if all(csvs) else [f"{args.sf_dir}/*.parquet"])
-    source = (RawInputs.from_csv(spark, *csvs, first_match=not args.all_matches)
+    source = (RawInputs.from_csv(spark, *csvs, first_match=args.first)
               if all(csvs) else args.sf_dir)
     return run(spark, source, args.out, hash_method=args.hash)
 
@@ -62,10 +62,10 @@ def _produce(args) -> dict:
 def _alerts(args) -> dict:
     if not (args.source or args.kafka):
         raise SystemExit("give --source DIR or --kafka HOST:PORT")
+    from .operators.windows import alert_payload
     from .sources.connectors import kafka_stream, kafka_text
     from .streaming.alerting import alert_stream
-    from .streaming.runner import (MESSAGE_SCHEMA, DualSink, checkpoint_dir, ensure_state_store,
-                                   file_stream)
+    from .streaming.runner import MESSAGE_SCHEMA, DualSink, ensure_state_store, file_stream
     spark = build_session(app="blotter-alerts")
     if args.kafka:
         messages = kafka_text(kafka_stream(spark, args.kafka, args.topic).load())
@@ -74,13 +74,16 @@ def _alerts(args) -> dict:
     alerts = alert_stream(messages, args.window, args.slide, args.threshold,
                           watermark=args.watermark or None, by_arrival=args.by_arrival)
     table, docs = f"{args.out}/alerts", f"{args.out}/alert_logs"
-    chk = args.checkpoint or checkpoint_dir(spark, "alerts")
+    # The checkpoint belongs to the output: a later run goes on with its batch ids
+    # instead of writing over the first run's batches.
+    chk = args.checkpoint or f"{args.out}/_checkpoint"
     ensure_state_store(spark)
     # Append needs a watermark to know when a window is final; without one
     # every trigger emits the windows it changed (update).
     mode = "append" if args.watermark else "update"
     w = (alerts.writeStream.outputMode(mode).option("checkpointLocation", chk)
-         .foreachBatch(DualSink(table, docs, ["district", "alert_timestamp"])))
+         .foreachBatch(DualSink(table, docs, ["district", "alert_timestamp"],
+                                table_form=alert_payload)))
     w = w.trigger(availableNow=True) if args.once else w.trigger(
         processingTime=f"{args.slide} seconds")
     q = w.start()
@@ -101,8 +104,8 @@ def main(argv: list[str] | None = None) -> dict:
     b = sub.add_parser("batch", help="write the six result tables")
     b.add_argument("--sf-dir", help="driver tables (inputs derived from them)")
     for name in ("crimes", "arrests", "stations", "violence", "registry"):
-        b.add_argument(f"--{name}", help=f"{name} CSV path or glob (first sorted match)")
-    b.add_argument("--all-matches", action="store_true", help="read every glob match")
+        b.add_argument(f"--{name}", help=f"{name} CSV path or glob")
+    b.add_argument("--first", action="store_true", help="only the first sorted match of each glob")
     b.add_argument("--out")
     b.add_argument("--hash", default="murmur", choices=["murmur", "md5"])
     a = sub.add_parser("alerts", help="run the sliding-window alert stream")

@@ -40,7 +40,9 @@ def to_int(col: Column | str) -> Column:
 
 
 def to_double(col: Column | str) -> Column:
-    return _c(col).try_cast("double")
+    """Finite numbers only: NaN and the infinities are NULL, as other non-numbers."""
+    d = _c(col).try_cast("double")
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
 def truthy(col: Column | str) -> Column:

@@ -1,7 +1,7 @@
 """Rename + typed projection of the five raw inputs.
 
 Each function takes a text-typed frame with the raw header names and returns
-the cleaned frame. Only the listed columns are read, so a columnar source is
+the cleaned frame. Codes longer than three digits are kept whole. Only the listed columns are read, so a columnar source is
 pruned to them; name columns never leave the projection.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import batch_code
+from ..functions.codes import normalize_code
 from ..functions.parse import parse_event_time, to_bool, to_double, to_int
 
 
@@ -22,7 +22,7 @@ def clean_crimes(raw: DataFrame) -> DataFrame:
         F.col("Block").alias("block"),
         F.col("Primary Type").alias("primary_type"),
         to_bool("Arrest").alias("arrest"),
-        batch_code("District").alias("district"),
+        normalize_code("District").alias("district"),
         F.col("Community Area").alias("community_area"),
         to_int("Year").alias("year"),
         to_double("Latitude").alias("latitude"),
@@ -42,7 +42,7 @@ def clean_arrests(raw: DataFrame) -> DataFrame:
 def clean_stations(raw: DataFrame, sentinel: str = "000") -> DataFrame:
     """P3 + P8: stations; the sentinel filter also drops NULL codes (3-valued)."""
     return raw.select(
-        batch_code("DISTRICT").alias("district"),
+        normalize_code("DISTRICT").alias("district"),
         F.col("DISTRICT NAME").alias("station_name"),
         to_double("LATITUDE").alias("station_latitude"),
         to_double("LONGITUDE").alias("station_longitude"),
@@ -54,7 +54,7 @@ def clean_violence(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("CASE_NUMBER").alias("case_number"),
         parse_event_time("DATE").alias("event_ts"),
-        batch_code("DISTRICT").alias("district"),
+        normalize_code("DISTRICT").alias("district"),
         F.col("COMMUNITY_AREA").alias("community_area"),
         F.col("MONTH").alias("month"),
         F.col("DAY_OF_WEEK").alias("day_of_week"),
@@ -84,6 +84,8 @@ def check_not_null(df: DataFrame, schema) -> DataFrame:
     be written to a table with that DDL.
     """
     required = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
+    if not required:
+        return df.sparkSession.createDataFrame([], "column_name string, null_count long")
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
     stack = ", ".join(f"'{c}', `{c}`" for c in required)
     return counts.selectExpr(f"stack({len(required)}, {stack}) AS (column_name, null_count)")

@@ -28,10 +28,11 @@ HOTSPOT_SCHEMA = T.StructType([
 
 
 def features(points: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """M1: (lat, lon) rows with both values as a vector column."""
+    """M1: (lat, lon) rows with both values as a vector column; a NaN is an
+    error, not a dropped row."""
     geo = filter_geo(points, lat, lon).select(lat, lon)
     return VectorAssembler(inputCols=[lat, lon], outputCol="features",
-                           handleInvalid="skip").transform(geo)
+                           handleInvalid="error").transform(geo).select("features")
 
 
 def kmeans_hotspots(points: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED,

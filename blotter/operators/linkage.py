@@ -79,19 +79,20 @@ def bucket_density(registry: DataFrame, index: DataFrame, method: str = "murmur"
     """J2 + A14 + F16: assign each registry row a bucket, map buckets to
     stations through the dense index, count rows and flagged rows per station.
 
-    N is the size of the index, used as a scalar subquery (no collect). The
-    index is a dimension; the join runs as a broadcast when the planner sees
-    it is small and as a shuffle join otherwise. ``keep_empty=True`` keeps
+    N is the size of the index, used as a scalar subquery (no collect). Rows
+    are counted per bucket first, so the join takes at most N rows on each side
+    and the bucket of all blank blocks is no hot key. ``keep_empty=True`` keeps
     stations that get no rows (reported with zero counts).
     """
     n = index.select(F.count(F.lit(1))).scalar()
     tagged = registry.select(bucket(F.col(block), n, method).alias(index_col),
-                             F.lit(1).alias("_row"),
                              (F.col(flag) == F.lit(yes)).alias("_hit"))
-    joined = tagged.join(index, index_col, "right" if keep_empty else "inner")
+    per = tagged.groupBy(index_col).agg(F.count(F.lit(1)).alias("_rows"),
+                                        F.count_if(F.col("_hit")).alias("_hits"))
+    joined = per.join(index, index_col, "right" if keep_empty else "inner")
     return joined.groupBy("district", "station_name").agg(
-        F.count(F.col("_row")).alias("offender_count"),
-        F.count_if(F.coalesce(F.col("_hit"), F.lit(False))).alias("priority_minor_victim_count"))
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("offender_count"),
+        F.coalesce(F.sum("_hits"), F.lit(0)).alias("priority_minor_victim_count"))
 
 
 def bucket_counts(registry: DataFrame, n, method: str = "murmur",

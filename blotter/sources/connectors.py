@@ -54,7 +54,10 @@ def jdbc_reader(spark: SparkSession, url: str, *, table: str | None = None,
     r = spark.read.format("jdbc").option("url", url)
     if (table is None) == (query is None):
         raise ValueError("give exactly one of table or query")
-    r = r.option("dbtable", table) if table is not None else r.option("query", query)
+    if query is not None and partition_column:  # Spark splits tables only
+        r = r.option("dbtable", f"({query}) AS q")
+    else:
+        r = r.option("dbtable", table) if table is not None else r.option("query", query)
     if partition_column:
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
              .option("upperBound", upper).option("numPartitions", num_partitions))

@@ -48,7 +48,8 @@ def start_alerts(messages: DataFrame, table_path: str, docs_path: str, checkpoin
     """Start the alert stream into a table and a document collection; one
     trigger per slide; replays are absorbed by the batch-id keyed sinks."""
     ensure_state_store(messages.sparkSession)
-    sink = DualSink(table_path, docs_path, ["district", "alert_timestamp"])
+    sink = DualSink(table_path, docs_path, ["district", "alert_timestamp"],
+                    table_form=windows.alert_payload)
     return (alert_stream(messages, **kw).writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint).foreachBatch(sink)
             .trigger(processingTime=f"{int(trigger_s)} seconds").start())

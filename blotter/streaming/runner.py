@@ -167,11 +167,14 @@ class DualSink:
 
     The batch is persisted once and written to both; each write is keyed by
     the batch id, so a replay after a failure between the two writes leaves
-    both sinks with exactly one copy.
+    both sinks with exactly one copy. ``table_form`` shapes the table's rows
+    (for alerts: the payload column).
     """
 
     def __init__(self, table_path: str, docs_path: str, id_cols: list[str] | None = None,
-                 complete: bool = False):
+                 complete: bool = False,
+                 table_form: Callable[[DataFrame], DataFrame] = lambda df: df):
+        self.table_form = table_form
         self.table_path, self.docs_path = table_path, docs_path
         self.id_cols = id_cols
         self.complete = complete
@@ -181,7 +184,7 @@ class DualSink:
         batch.persist()
         try:
             append_documents(batch, self.docs_path, batch_id, self.id_cols)
-            append_batch(batch, self.table_path, batch_id)
+            append_batch(self.table_form(batch), self.table_path, batch_id)
         finally:
             batch.unpersist()
         self.last = batch_id

@@ -166,3 +166,14 @@ def test_input_bytes_reads_metadata(spark):
     from blotter.session import input_bytes
     n = input_bytes(spark, ["/root/testdata/sf0.001/*.parquet"])
     assert n > 100_000
+
+
+def test_numbers_must_be_finite(spark):
+    assert col_values(spark, ["NaN", "Infinity", "-Infinity", "1e400", "-2.5"], to_double) == [None] * 4 + [-2.5]
+
+
+def test_cleaned_codes_longer_than_three_digits_stay_apart(spark):
+    from blotter.operators.cleaning import clean_stations
+    raw = spark.createDataFrame([("1234", "a", "1", "2"), ("123", "b", "1", "2"), ("7", "c", "1", "2")],
+                                "DISTRICT string, `DISTRICT NAME` string, LATITUDE string, LONGITUDE string")
+    assert [r.district for r in clean_stations(raw).orderBy("station_name").collect()] == ["1234", "123", "007"]

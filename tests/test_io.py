@@ -392,6 +392,45 @@ def test_command_line_produce_then_alerts(spark):
     assert "alerts" in res
 
 
+def test_two_alert_runs_keep_both_runs_alerts(spark):
+    """A second command-line run on the same output goes on with the first run's
+    checkpoint: its batches add to the table, whose rows carry the payload."""
+    from blotter.__main__ import main
+    source, out = scratch_path(spark, "t-runs-msgs"), scratch_path(spark, "t-runs-out")
+    ev_json = ('{{"case_number":"{c}","date":"01/0{d}/2024 10:00:00 AM","block":"b","primary_type":"p",'
+               '"district":"{k}","arrest":"true","latitude":"1.5","longitude":"2.5"}}')
+
+    def send(day, key):
+        rows = [(i, key, ev_json.format(c=f"{key}{i}", d=day, k=key)) for i in range(3)]
+        spark.createDataFrame(rows, runner.MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+
+    args = ["alerts", "--source", source, "--out", out, "--window", "86400", "--slide", "86400",
+            "--threshold", "1", "--once", "--watermark", ""]
+    send(1, "001")
+    main(args)
+    first = tables.read_table(spark, f"{out}/alerts").select("district").distinct().collect()
+    send(2, "002")
+    main(args)
+    got = tables.read_table(spark, f"{out}/alerts")
+    assert [r.district for r in first] == ["001"]
+    assert {r.district for r in got.collect()} == {"001", "002"}
+    assert got.filter("payload is null").count() == 0
+    assert got.filter(F.get_json_object("payload", "$.threshold") != "1").count() == 0
+
+
+def test_glob_reads_every_match_unless_first_is_asked(spark):
+    from blotter.plans import standins
+    from blotter.plans.batch import RawInputs
+    base = scratch_path(spark, "t-globs")
+    for name, fn in {"crimes": standins.raw_crimes, "arrests": standins.raw_arrests, "stations": standins.raw_stations,
+                     "violence": standins.raw_violence, "registry": standins.raw_registry}.items():
+        fn(spark, SF_SMALL).repartition(2).write.option("header", True).csv(f"{base}/{name}")
+    globs = [f"{base}/{n}/*.csv" for n in ("crimes", "arrests", "stations", "violence", "registry")]
+    n = standins.raw_crimes(spark, SF_SMALL).count()
+    assert RawInputs.from_csv(spark, *globs).crimes.count() == n
+    assert 0 < RawInputs.from_csv(spark, *globs, first_match=True).crimes.count() < n
+
+
 def test_update_sink_reads_latest_version(spark):
     sink = runner.AppendTable(scratch_path(spark, "t-upsert"))
     sink(spark.createDataFrame([("a", 1), ("b", 5)], "k string, n long"), 0)
