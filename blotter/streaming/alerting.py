@@ -44,12 +44,13 @@ def alert_stream(messages: DataFrame, size_s: int = DEFAULT_SIZE_S,
 
 
 def start_alerts(messages: DataFrame, table_path: str, docs_path: str, checkpoint: str,
-                 trigger_s: int = DEFAULT_SLIDE_S, **kw) -> StreamingQuery:
+                 trigger_s: int = DEFAULT_SLIDE_S, payload: bool = False, **kw) -> StreamingQuery:
     """Start the alert stream into a table and a document collection; one
-    trigger per slide; replays are absorbed by the batch-id keyed sinks."""
+    trigger per slide; replays are absorbed by the batch-id keyed sinks.
+    ``payload`` adds the JSON payload column to the table's rows."""
     ensure_state_store(messages.sparkSession)
     sink = DualSink(table_path, docs_path, ["district", "alert_timestamp"],
-                    table_form=windows.alert_payload)
+                    **({"table_form": windows.alert_payload} if payload else {}))
     return (alert_stream(messages, **kw).writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint).foreachBatch(sink)
             .trigger(processingTime=f"{int(trigger_s)} seconds").start())
