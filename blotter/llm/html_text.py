@@ -9,7 +9,11 @@
    gives its text; a page with none of them uses its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out by element and by class or id word. Character
+reader comments are left out by element, role and class or id word. What such a
+word (or an element like form) stands on is decided from the whole page: an
+element that holds the page's main text (``_settle``) is its wrapper and stays,
+parts like has-sidebar or article-header are layout words, and headings and
+paragraphs go by fewer words (``TEXT_BOILERPLATE``). Character
 references are decoded, white space inside a block becomes one space, blocks
 are joined by ``\\n`` in page order.
 
@@ -32,18 +36,29 @@ from .common import cut, ship
 
 PATHS = 5
 # HTML element kinds.
-SKIP = frozenset("script style noscript template iframe svg math object nav footer aside form select button textarea "
-                 "dialog head title".split())
+SKIP = frozenset("script style noscript template iframe object select textarea head title".split())
+SOFT = frozenset("nav footer aside form".split())  # left out unless they wrap the main text
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote dt dd td th figcaption caption".split())
 BOXES = frozenset("html body main article section div header ul ol dl table tbody thead tfoot tr figure details center "
-                  "fieldset address nav aside footer form".split())
+                  "fieldset address nav aside footer form dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|side|sidebar\w*|menu\w*|nav\w*|breadcrumbs?|footer|header|"
     r"masthead|cookies?|notices?|consent|popup|modal|newsletter|subscri\w*|share|sharing|social|related|recommend\w*|"
     r"comments?|replies|reply|respond|disqus|login|signup|search|widgets?|copyright|disclaimer)(?:$|[\s_-])", re.I)
+# Kinds whose text is often long and never the article: their size says nothing.
+ASIDES = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|promo\w*|sponsor\w*|cookies?|notices?|consent|popup|modal|newsletter|subscri\w*|related|"
+    r"recommend\w*|comments?|replies|reply|respond|disqus|copyright|disclaimer)(?:$|[\s_-])", re.I)
+# Words that leave out a heading, or a paragraph inside an article or main.
+TEXT_BOILERPLATE = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|promo\w*|sponsor\w*|cookies?|consent|newsletter|subscri\w*|breadcrumbs?|related|"
+    r"recommend\w*|comments?|replies|reply|disqus|copyright|widgets?|menu\w*|nav\w*|sidebar\w*)(?:$|[\s_-])", re.I)
+LAYOUT = re.compile(
+    r"(?:(?<=[\s_-])|^)(?:(?:has|with|without|no|not|hide|hides|show|shows)[_-][^\s_-]+"
+    r"|(?:article|post|entry|story|content|page|section|title|main|news)[_-]header)(?=$|[\s_-])", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)"
                     r"|<(?=/?[a-zA-Z])[^>]*(>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
@@ -51,12 +66,14 @@ _DIGITS = re.compile(r"\d+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "path", "skip", "own", "items", "order", "links")
+    __slots__ = ("tag", "parent", "path", "skip", "own", "items", "order", "links", "words", "soft")
 
     def __init__(self, tag, parent, path, skip, order):
         self.tag, self.parent, self.path, self.skip, self.order = tag, parent, path, skip, order
         self.own = 0
         self.links = 0
+        self.words = ""
+        self.soft = 0  # 1: left out unless it holds the main text, 2: the same, of a kind in ASIDES
         self.items: list = []  # text, or child nodes
 
 
@@ -101,15 +118,22 @@ def parse(page: str) -> list[_Node]:
         attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(m.group(3))} if m.group(3) else {}
         cls = " ".join(sorted(attrs.get("class", "").split()))
         step = name + ("." + _DIGITS.sub("#", cls.replace(" ", ".")) if cls else "")
-        words = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+        words = LAYOUT.sub("", f"{attrs.get('class', '')} {attrs.get('id', '')}").strip()
         inside = at
         while inside is not None and inside.tag not in ("article", "main"):
             inside = inside.parent
-        skip = at.skip or name in SKIP or (name == "header" and inside is None) or attrs.get("role", "") in (
-            "navigation", "banner", "contentinfo", "complementary", "search") or (
-            name not in ("html", "body", "article", "main") and bool(words.strip()) and bool(BOILERPLATE.search(words)))
+        skip = at.skip or name in SKIP
+        soft = 0
+        if name not in ("html", "body", "article", "main"):
+            text = name in HEADINGS or (name in ("p", "pre", "blockquote") and inside is not None)
+            if words and (TEXT_BOILERPLATE if text else BOILERPLATE).search(words):
+                soft = 2 if ASIDES.search(words) else 1
+            elif name in SOFT or (name == "header" and inside is None) or attrs.get("role", "") in (
+                    "navigation", "banner", "contentinfo", "complementary", "search"):
+                soft = 1
         inline = name not in BOXES and name not in BLOCKS
         child = _Node(name, at, at.path if inline else f"{at.path}/{step}", skip, len(nodes))
+        child.words, child.soft = words, soft
         nodes.append(child)
         if not skip:
             at.items.append(child)
@@ -121,6 +145,76 @@ def parse(page: str) -> list[_Node]:
             at = child
     if pos < len(page) and not at.skip:
         at.items.append(page[pos:])
+    return _settle(nodes)
+
+
+def _settle(nodes: list[_Node]) -> list[_Node]:
+    """Decide the soft elements, outermost first, those of a kind in ASIDES
+    last. While no article or main stands outside them, one stays if it holds
+    it, or most of the page's text outside links and ASIDES; one of a kind in
+    ASIDES only if nothing else is left, or if it holds it and most text."""
+    if not any(n.soft for n in nodes):
+        return nodes
+    size, asides, articles, mains = ([0] * len(nodes) for _ in range(4))
+    link = [False] * len(nodes)
+    for n in nodes:
+        link[n.order] = n.tag == "a" or (n.parent is not None and link[n.parent.order])
+    for n in reversed(nodes):
+        if n.skip:
+            continue
+        i = n.order
+        if not link[i]:
+            size[i] += sum(len(x.strip()) for x in n.items if isinstance(x, str))
+        if n.parent is not None:
+            up = n.parent.order
+            size[up] += size[i]
+            asides[up] += size[i] if n.soft == 2 else asides[i]
+            # the outermost ones count; an article of a reader comment or teaser does not
+            articles[up] += 1 if n.tag == "article" and not BOILERPLATE.search(n.words) else articles[i]
+            mains[up] += n.tag == "main" or mains[i]
+    total = size[0] - asides[0]
+    # what stands outside every soft element
+    outer = []
+    covered = [False] * len(nodes)
+    for n in nodes:
+        covered[n.order] = n.parent is not None and (covered[n.parent.order] or n.parent.soft > 0)
+        if n.soft and not covered[n.order] and not n.skip:
+            outer.append(n)
+    clean = size[0] - sum(size[n.order] for n in outer)
+    clean_articles = articles[0] - sum(articles[n.order] for n in outer)
+    clean_mains = mains[0] - sum(mains[n.order] for n in outer)
+    below: dict[int, list[_Node]] = {}  # nearest soft elements inside each soft element
+    near: list[int] = [-1] * len(nodes)
+    for n in nodes:
+        if n.parent is not None:
+            near[n.order] = n.parent.order if n.parent.soft else near[n.parent.order]
+            if n.soft and not n.skip and near[n.order] >= 0:
+                below.setdefault(near[n.order], []).append(n)
+    drop = [False] * len(nodes)
+    queue = outer
+    while queue:
+        after: list[_Node] = []
+        for n in sorted(queue, key=lambda x: (x.soft, -size[x.order], x.order)):
+            i = n.order
+            here = size[i]
+            first = not clean_mains and (mains[i] > 0 or not clean_articles)  # no article or main stands outside
+            holds = mains[i] > 0 or articles[i] > 0
+            if n.soft == 2:
+                stays = here > 0 and (first and holds and here > clean or clean == 0)
+            else:
+                stays = first and (mains[i] > 0 or articles[i] == 1 or holds and here > clean or (here - asides[i]) * 2 > total)
+            if not stays:
+                drop[i] = True
+                continue
+            inner = below.get(i, [])
+            clean += here - sum(size[x.order] for x in inner)
+            clean_articles += articles[i] - sum(articles[x.order] for x in inner)
+            clean_mains += mains[i] - sum(mains[x.order] for x in inner)
+            after += inner
+        queue = after
+    for n in nodes:
+        n.skip = n.skip or drop[n.order] or (n.parent is not None and n.parent.skip)
+        n.items = [x for x in n.items if isinstance(x, str) or not drop[x.order]]
     return nodes
 
 

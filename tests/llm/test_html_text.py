@@ -46,6 +46,30 @@ def test_split_article_meets_in_its_parent():
     assert extract(page, None).split("\n") == [("a " * 50).strip(), ("b " * 50).strip()]
 
 
+def test_wrappers_with_boilerplate_words_keep_the_article():
+    story = "<h1>Title</h1><p>" + "Story words. " * 20 + "</p>"
+    want = "Title\n" + ("Story words. " * 20).strip()
+    rest = "<div class=sidebar><p>Side</p></div><section class=comments><p>Reader</p></section>"
+    for tag in ("div class='layout with-sidebar'", "div class=has-sidebar", "div class=no-sidebar", "div id='main-nav-open'",
+                "section class='search-result'", "form id=aspnetForm"):
+        for inner in (f"<article>{story}</article>", f"<div class=post>{story}</div>"):
+            name = tag.split()[0]
+            assert extract(f"<body><p>Tagline</p><{tag}>{inner}{rest}</{name}><footer><p>Foot</p></footer></body>", None) == want, tag
+    short = "<body><div class=text><p>Short.</p></div><div class=cookie-notice><p>" + "We use cookies. " * 40 + "</p></div></body>"
+    assert extract(short, None) == "Short."
+    both = ("<body><div id=main-nav-open><p>Short.</p></div><section class=comments><p>" + "Reader. " * 40 + "</p></section></body>")
+    assert extract(both, None) == "Short."
+    replies = "<body><article><p>Short.</p></article><section class=comments><article><p>" + "Reader. " * 40 + "</p></article></section></body>"
+    assert extract(replies, None) == "Short."
+
+
+def test_heading_classes_paragraph_words_and_inline_elements_stay():
+    page = ("<article><h1 class='page-header'>One</h1><div class='article-header'><h2>Two</h2></div><p class=notice>Three</p>"
+            "<p class=share>Four</p><p>Five <math><mi>x</mi></math> <svg><text>six</text></svg> <button>seven</button></p>"
+            "<dialog><p>Eight</p></dialog><p class=ad>Buy</p><div class=share><p>Share</p></div></article>")
+    assert extract(page, None) == "One\nTwo\nThree\nFour\nFive x six seven\nEight"
+
+
 def test_edge_cases(spark):
     long_page = "<article>" + "<p>word</p>" * 20000 + "</article>"
     deep = "<div>" * 3000 + "<p>in</p>"
