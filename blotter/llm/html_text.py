@@ -1,8 +1,10 @@
 """HTML extraction by consensus host paths.
 
 1. Every page's containers are scored by the text of their block children;
-   the best one's generalised path (tag and class from the root, digits as #)
-   is the page's vote.
+   from the best one the page climbs to the article or main around it and to
+   parents that add nothing but block text (``_climb``). That container's
+   generalised path (tag and class from the root, digits as #) is the page's
+   vote.
 2. Votes are summed per host and path in Spark; a host keeps its ``PATHS``
    strongest paths.
 3. Every page is read again: the first of its host's winning paths that it has
@@ -276,7 +278,73 @@ def best(nodes: list[_Node]) -> _Node:
         else:
             node.own += text
     boxes = [n for n in nodes if not n.skip and (n.tag in BOXES or n.parent is None)]
-    return max(boxes, key=lambda n: (n.own, n.order))
+    return _climb(max(boxes, key=lambda n: (n.own, n.order)))
+
+
+def _climb(node: _Node) -> _Node:
+    """The article (or else main) around the container, then parents as long
+    as all that they add is block text that is neither links nor boilerplate."""
+    for tag in ("article", "main"):
+        up = node
+        while up is not None and up.tag != tag:
+            up = up.parent
+        if up is not None:
+            node = up
+            break
+    at, up, waiting = node, node.parent, False
+    while up is not None and up.tag not in ("html", "#root"):
+        adds = _adds(up, at)
+        if adds is None:
+            break
+        waiting = waiting or adds
+        if waiting and (up.tag in BOXES):
+            node, waiting = up, False
+        at, up = up, up.parent
+    return node
+
+
+def _adds(up: _Node, at: _Node) -> bool | None:
+    """Whether ``up`` adds block text around its child ``at``; None if it adds
+    other things too: links, or in body boxes or texts that lack the title."""
+    found = named = False
+    for item in up.items:
+        if item is at:
+            continue
+        if isinstance(item, str):
+            if item.strip():
+                if up.tag == "body":
+                    return None
+                found = True
+            continue
+        total, linked, title = _weigh(item)
+        if not total:
+            continue
+        if linked * 2 > total or (up.tag == "body" and item.tag not in BLOCKS and not title):
+            return None
+        found = True
+        named = named or title
+    if found and up.tag == "body" and (not named or _weigh(at)[2]):
+        return None
+    return found
+
+
+def _weigh(node: _Node) -> tuple[int, int, bool]:
+    """(text, text in links, holds an h1) below ``node``."""
+    total = linked = 0
+    title = False
+    stack = [(node, False)]
+    while stack:
+        here, link = stack.pop()
+        link = link or here.tag == "a"
+        title = title or here.tag == "h1"
+        for x in here.items:
+            if isinstance(x, str):
+                n = len(x.strip())
+                total += n
+                linked += n if link else 0
+            else:
+                stack.append((x, link))
+    return total, linked, title
 
 
 def vote(page: str | None) -> tuple[str, int] | None:

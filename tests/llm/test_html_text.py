@@ -70,6 +70,20 @@ def test_heading_classes_paragraph_words_and_inline_elements_stay():
     assert extract(page, None) == "One\nTwo\nThree\nFour\nFive x six seven\nEight"
 
 
+def test_title_and_body_box_give_the_whole_article():
+    body = "<p>" + "Long text here. " * 200 + "</p>"
+    want = "Title\nLead\n" + ("Long text here. " * 200).strip() + "\nClosing"
+    for tag in ("article", "main", "div class=post", "body"):
+        inner = f"<{tag}><h1>Title</h1><p>Lead</p><div class=text>{body}</div><p>Closing</p></{tag.split()[0]}>"
+        page = inner if tag == "body" else f"<body><nav><a href=/>Home</a></nav>{inner}<div class=box><p>Other</p></div></body>"
+        assert extract(page, None) == want, tag
+        assert vote(page)[0].split("/")[-1] == tag.replace(" class=", ".")
+    split = f"<body><div class=post><div class=top><h1>Title</h1><p>Lead</p></div><div class=text>{body}</div><div><p>Closing</p></div></div></body>"
+    assert extract(split, None) == want
+    links = f"<body><div class=wrap><ul><li><a href=/a>Home page</a></li></ul><div class=text>{body}</div></div></body>"
+    assert extract(links, None) == ("Long text here. " * 200).strip()
+
+
 def test_edge_cases(spark):
     long_page = "<article>" + "<p>word</p>" * 20000 + "</article>"
     deep = "<div>" * 3000 + "<p>in</p>"
