@@ -5,10 +5,15 @@
    parents that add nothing but block text (``_climb``). That container's
    generalised path (tag and class from the root, digits as #) is the page's
    vote.
-2. Votes are summed per host and path in Spark; a host keeps its ``PATHS``
-   strongest paths.
-3. Every page is read again: the first of its host's winning paths that it has
-   gives its text; a page with none of them uses its own best container.
+2. Votes (weighted by the text behind them) are summed per host and path in
+   Spark, next to the weight of all pages that hold the path; every path keeps
+   its sums.
+3. A page's own containers meet their paths' sums. A path's support is the
+   share of the other pages holding it that vote for it; a page's own choice
+   counts as supported by half at least, so another path of the page overrules
+   it only with a larger support (ties: the page's own, then the larger text).
+4. Every page is read again and gives the text of its path, or of its own best
+   container where nothing overruled it.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by element, role and class or id word. What such a
@@ -31,12 +36,11 @@ import html as _html
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, ship
 
-PATHS = 5
 # HTML element kinds.
 SKIP = frozenset("script style noscript template iframe object select textarea head title".split())
 SOFT = frozenset("nav footer aside form".split())  # left out unless they wrap the main text
@@ -354,6 +358,21 @@ def vote(page: str | None) -> tuple[str, int] | None:
     return (node.path, node.own) if node.own > 0 else None
 
 
+def candidates(page: str | None) -> list[tuple[str, int, bool, int]]:
+    """(path, text size, is the page's vote, the vote's score) of the page's containers."""
+    if not page:
+        return []
+    nodes = parse(page)
+    node = best(nodes)
+    if node.own <= 0:
+        return []
+    sizes: dict[str, int] = {node.path: 0}
+    for n in nodes:
+        if not n.skip and n.own > 0 and (n.tag in BOXES or n is node):
+            sizes[n.path] = sizes.get(n.path, 0) + n.own
+    return [(path, size, path == node.path, node.own) for path, size in sizes.items()]
+
+
 def extract(page: str | None, paths: list[str] | None) -> str:
     """Text of the page by the first of ``paths`` it has, or its best container."""
     if not page:
@@ -376,36 +395,44 @@ def _nested(node: _Node, found: list[_Node]) -> bool:
     return False
 
 
-def _votes(batches):
+_CANDIDATES = pa.schema([("host", pa.string()), ("key", pa.binary()), ("path", pa.string()), ("size", pa.int64()),
+                         ("own", pa.bool_()), ("score", pa.int64())])
+
+
+def _candidates(batches):
     for b in batches:
-        got = [(h, vote(p)) for h, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-        got = [(h, v[0], v[1]) for h, v in got if v]
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.string()),
-                                          pa.array([x[2] for x in got], pa.int64())], ["host", "path", "score"])
+        rows = [(h, k, *c) for h, k, p in zip(*(b.column(i).to_pylist() for i in range(3))) for c in candidates(p)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_CANDIDATES)], schema=_CANDIDATES)
 
 
 def _texts(batches):
     for b in batches:
-        paths, pages = b.column("paths").to_pylist(), b.column("html").to_pylist()
-        text = pa.array([extract(p, w) for p, w in zip(pages, paths)], pa.string())
+        paths, pages = b.column("path").to_pylist(), b.column("html").to_pylist()
+        text = pa.array([extract(p, None if w is None else [w]) for p, w in zip(pages, paths)], pa.string())
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("host"), text],
                                          ["page_id", "url", "host", "text"])
 
 
-def extract_pages(pages: DataFrame, paths: int = PATHS) -> DataFrame:
-    """(page_id, url, host, text) for every row of ``pages``. The winners of a
-    host are a few short strings; Spark broadcasts that table only below its
-    threshold, else it joins by host, where both sides are plain shuffles that
-    can be split on a hot host."""
+def extract_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url, host, text) for every row of ``pages``. Only pages whose
+    own choice is overruled need a row in the last join; a page is known by the
+    hash of its host and html. Every join has tables or plain shuffles on both
+    sides, so it can be split on a hot host, path or page."""
     ship(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     base = pages.select("page_id", "url", "html", host.alias("host"))
-    votes = base.select("host", "html").mapInArrow(_votes, "host string, path string, score long") \
-        .groupBy("host", "path").agg(F.sum("score").alias("score"))
-    order = Window.partitionBy("host").orderBy(F.desc("score"), "path")
-    won = votes.withColumn("r", F.row_number().over(order)).where(F.col("r") <= paths) \
-        .groupBy("host").agg(F.array_sort(F.collect_list(F.struct("r", "path"))).alias("w")) \
-        .select("host", F.col("w.path").alias("paths"))
+    key = F.unhex(F.md5(F.concat("host", F.lit("\n"), "html")))
+    found = cut(base.select("host", key.alias("key"), "html").mapInArrow(
+        _candidates, "host string, key binary, path string, size long, own boolean, score long"), "containers")
+    sums = cut(found.groupBy("host", "path").agg(F.sum(F.when(F.col("own"), F.col("score")).otherwise(0)).alias("votes"),
+                                                 F.sum("score").alias("holders")).where("votes > 0"), "votes")
+    mine = F.when(F.col("own"), F.col("score")).otherwise(0)
+    support = F.coalesce(F.try_divide(F.col("votes") - mine, F.col("holders") - F.col("score")), F.lit(0.0))
+    rated = found.join(sums, ["host", "path"]).withColumn(
+        "support", F.when(F.col("own"), F.greatest(support, F.lit(0.5))).otherwise(support)).where("own or support > 0.5")
+    overruled = rated.groupBy("key").agg(F.max(F.struct("support", "own", "size", "path")).alias("w")) \
+        .where("not w.own").select("key", F.col("w.path").alias("path"))
     kind = pages.schema["page_id"].dataType.simpleString()
-    return base.join(cut(won, "hosts"), "host", "left") \
+    return base.withColumn("key", key).join(cut(overruled, "overruled"), "key", "left") \
+        .select("page_id", "url", "html", "host", "path") \
         .mapInArrow(_texts, f"page_id {kind}, url string, host string, text string")

@@ -106,3 +106,19 @@ def test_host_consensus_overrules_one_odd_page(spark):
     rows = [(i, "http://h/" + str(i), normal) for i in range(5)] + [(9, "http://h/9", odd), (10, "http://other/9", odd)]
     got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
     assert got[9] == "Short story." and got[10].startswith("Listing")
+
+
+def test_every_template_of_a_host_keeps_its_votes(spark):
+    side = "<div class=teaser><p>Teaser text on every page.</p></div>"
+    names = "red blue green gold pink grey black white".split()
+    rows, want = [], {}
+    for k, name in enumerate(names):
+        for i in range(3 + 4 * (len(names) - k)):
+            text = f"{name} story words. " * 20
+            rows.append((len(rows), "http://h/x", f"<body><div class='text category-{name}'><p>{text}</p><p>{i}</p></div>{side}</body>"))
+            want[rows[-1][0]] = f"{text.strip()}\n{i}"
+    for i in range(60):  # a generic winner, and the shared side box
+        rows.append((len(rows), "http://h/y", f"<body><p>Loose {i} {'words ' * 30}</p>{'<p>more</p>' * 5}{side}</body>"))
+        rows.append((len(rows), "http://h/z", f"<body>{side}<p>{i}</p></body>"))
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
+    assert {k: got[k] for k in want} == want
