@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 def latest(df: DataFrame, ts: str, n: int = 100, tie: tuple[str, ...] = (),
            date_col: str | None = None, since: str | None = None) -> DataFrame:
     """The ``n`` newest rows. On a table partitioned by ``date_col``,
-    ``since`` (a date) limits the read to the newest partitions."""
+    ``since`` (a date) limits the read to the newest partitions, unless they
+    hold fewer than ``n`` rows; then the whole table is read."""
     if date_col and since:
-        df = df.filter(F.col(date_col) >= F.to_date(F.lit(since)))
+        recent = df.filter(F.col(date_col) >= F.to_date(F.lit(since)))
+        df = recent if recent.limit(n).count() == n else df
     return df.orderBy(F.col(ts).desc(), *[F.col(c).asc() for c in tie]).limit(n)
 
 

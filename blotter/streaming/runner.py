@@ -206,33 +206,24 @@ class DedupSink:
     copies holding a third of the batch never reaches one task whole. Keys
     already written by earlier batches are then removed with a left anti
     join against the sink's own key column (only earlier batch folders are
-    read, so a replayed batch is rewritten with the same rows). ``horizon``
-    (seconds, with ``ts``) limits that read to recent rows, as a watermark
-    limits state.
+    read, so a replayed batch is rewritten with the same rows). All of them
+    are read, so an old key never enters again.
     """
 
-    def __init__(self, path: str, key: list[str], ts: str | None = None,
-                 horizon: int | None = None):
-        self.path, self.key, self.ts, self.horizon = path, key, ts, horizon
+    def __init__(self, path: str, key: list[str]):
+        self.path, self.key = path, key
 
-    def _prior(self, spark: SparkSession, batch_id: int, low) -> DataFrame | None:
+    def _prior(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         written = [p for p in glob_paths(spark, f"{self.path}/{BATCH_COLUMN}=*")
                    if int(p.rsplit("=", 1)[1]) < batch_id]
         if not written:
             return None
         prior = spark.read.parquet(self.path).filter(F.col(BATCH_COLUMN) < batch_id)
-        if low is not None:
-            prior = prior.filter(F.col(self.ts) >= F.lit(low))
         return prior.select(*self.key)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         fresh = batch.dropDuplicates(self.key)
-        low = None
-        if self.ts and self.horizon:
-            first = fresh.agg(F.min(self.ts)).first()[0]
-            low = None if first is None else F.timestamp_add(
-                "SECOND", F.lit(-int(self.horizon)), F.lit(first))
-        prior = self._prior(batch.sparkSession, batch_id, low)
+        prior = self._prior(batch.sparkSession, batch_id)
         out = fresh if prior is None else fresh.join(prior, self.key, "left_anti")
         append_batch(out, self.path, batch_id)
 

@@ -473,3 +473,25 @@ def test_batch_job_from_csv_files_equals_tables(spark):
             assert a.agg(F.sum("crime_count")).first()[0] == b.agg(F.sum("crime_count")).first()[0]
             continue
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_command_line_alerts_count_every_event_of_an_unordered_replay(spark):
+    from blotter.__main__ import main
+    src = scratch_path(spark, "t-unordered")
+    msgs = io_queries.messages(spark, SF_SMALL)
+    for i in range(3):
+        part = F.pmod(F.xxhash64("event_id"), F.lit(3)) == i
+        msgs.filter(part).coalesce(1).write.parquet(f"{src}/part={i}")
+    res = main(["alerts", "--source", src, "--out", scratch_path(spark, "t-unordered-out"), "--window", "86400",
+                "--slide", "86400", "--threshold", "0", "--max-files", "1", "--once"])
+    versions = tables.read_table(spark, res["alerts"]).groupBy("district", "alert_timestamp").agg(F.max("event_count").alias("n"))
+    accepted = ev.split_parsed(io_queries.parsed(spark, SF_SMALL))[0].count()
+    assert accepted > 0 and versions.agg(F.sum("n")).first()[0] == accepted
+
+
+def test_latest_widens_a_short_since(spark):
+    from blotter.operators import serving
+    df = spark.createDataFrame([(i, f"2024-01-{i + 1:02d}") for i in range(9)], "ts int, day string") \
+        .withColumn("day", F.to_date("day"))
+    assert [r.ts for r in serving.latest(df, "ts", 5, (), "day", "2024-01-08").collect()] == [8, 7, 6, 5, 4]
+    assert [r.ts for r in serving.latest(df, "ts", 2, (), "day", "2024-01-08").collect()] == [8, 7]
