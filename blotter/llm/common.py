@@ -3,6 +3,7 @@ packed exchanges, connected components."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -74,14 +75,30 @@ def ints(table: pa.Table, name: str) -> np.ndarray:
 
 
 def copies_of(docs: DataFrame, name: str, key: str = "doc_id", content=None) -> DataFrame:
-    """(doc_id, rep): rows whose content equals that of a row with a smaller
-    key, which is ``rep``. Contents meet by their MD5, counted map-side first;
-    the groups are written out so the join back can be split on a hot content."""
+    """(doc_id, hash, rep): rows whose content equals that of a row with a
+    smaller key, which is ``rep``. Contents meet by their MD5, counted map-side
+    first; the groups are written out so the join back can be split on a hot
+    content. A key may stand on rows of several contents: (key, hash) names
+    the copy."""
     content = F.md5(F.col("text")) if content is None else content
-    keyed = docs.select(F.col(key), content.alias("_h")).where(F.col("_h").isNotNull())
-    groups = cut(keyed.groupBy("_h").agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("_n"))
-                 .where("_n > 1").select("_h", "rep"), name)
-    return keyed.join(groups, "_h").where(F.col(key) != F.col("rep")).select(key, "rep")
+    keyed = docs.select(F.col(key), content.alias("hash")).where(F.col("hash").isNotNull())
+    groups = cut(keyed.groupBy("hash").agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("_n"))
+                 .where("_n > 1").select("hash", "rep"), name)
+    return keyed.join(groups, "hash").where(F.col(key) != F.col("rep")).select(key, "hash", "rep")
+
+
+def is_copy(docs: pa.Table, drop: set[tuple[int, bytes]]) -> np.ndarray:
+    """Rows whose (doc_id, MD5 of the text) is in ``drop``; only texts of
+    doc_ids in there are hashed."""
+    ids = ints(docs, "doc_id").tolist()
+    known = {i for i, _ in drop}
+    out = np.zeros(len(ids), bool)
+    texts = column(docs, "text")
+    for at, i in enumerate(ids):
+        if i in known:
+            text = texts[at].as_py()
+            out[at] = text is not None and (i, hashlib.md5(text.encode()).digest()) in drop
+    return out
 
 
 def _forest(batches):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, copies_of, cut, ints, layout, ship, with_chunk
+from .common import column, copies_of, cut, ints, is_copy, layout, ship, with_chunk
 from .packed import ROW, bucket_edges, distinct, rows
 from .text import flat, hash_spans, mix, slices, window_hash, window_starts, words
 
@@ -46,9 +46,10 @@ class _Chunk:
     def __init__(self, docs: pa.Table, side: pa.Table, window: int):
         bucket = np.asarray(side.column("bucket").to_pylist(), np.int64)
         ref = side.column("ref").to_pylist()
-        self.drop = {ref[i] for i in np.flatnonzero(bucket == -1)}
+        payload = side.column("payload")
+        self.drop = {(ref[i], payload[i].as_py()) for i in np.flatnonzero(bucket == -1).tolist()}
         ids = ints(docs, "doc_id")
-        copy = np.array([x in self.drop for x in ids.tolist()], bool)
+        copy = is_copy(docs, self.drop)
         order = np.argsort(ids, kind="stable")
         self.docs = docs.take(pa.array(order[~copy[order]]))
         self.copies = docs.take(pa.array(order[copy[order]]))
@@ -245,7 +246,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     base = with_chunk(docs, "doc_id", chunks)
     copies = cut(copies_of(docs, "copies"), "copies")
     dropped = with_chunk(copies, "doc_id", chunks).select(
-        "chunk", F.lit(-1).alias("bucket"), F.col("doc_id").alias("ref"), F.lit(None).cast("binary").alias("payload"))
+        "chunk", F.lit(-1).alias("bucket"), F.col("doc_id").alias("ref"), F.unhex("hash").alias("payload"))
     probes = base.groupBy("chunk").cogroup(dropped.groupBy("chunk")).applyInArrow(_probe(window, buckets), ROW)
     side = dropped.unionByName(probes.groupBy("bucket").applyInArrow(_hits, ROW))
     near = base.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(_extend(window, buckets), ROW)

@@ -63,3 +63,9 @@ def test_repeated_rows_do_not_remove_each_other(spark):
     t = " ".join(f"a{i}" for i in range(70))
     rows = [(1, t), (1, t + " b"), (2, t)]
     assert [(i, n, g) for i, n, g, _ in digest(substring_dedup(docs_of(spark, rows)))] == [(1, 70, 0), (1, 71, 0), (2, 70, 70)]
+
+
+def test_a_copy_is_a_row_not_a_doc_id(spark):
+    a, b = (" ".join(f"{k}{i}" for i in range(60)) for k in "ab")
+    got = substring_dedup(docs_of(spark, [(1, a), (5, a), (5, b)])).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == sorted([(1, 60, 0, a), (5, 60, 60, ""), (5, 60, 0, b)])
