@@ -126,3 +126,10 @@ def op10_embedding_near_dedup(spark, d):
     """Cosine 0.98 within a label: links, component and representative per vector."""
     from .neardup import near_dedup
     return near_dedup(table(spark, d, "embeddings"))
+
+
+@register("op11_token_counts")
+def op11_token_counts(spark, d):
+    """Bytes and tokens of every document, and whether it exceeds 4096 tokens."""
+    from .tokencount import count_tokens
+    return count_tokens(table(spark, d, "documents"))
