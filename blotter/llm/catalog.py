@@ -128,6 +128,48 @@ def op10_embedding_near_dedup(spark, d):
     return near_dedup(table(spark, d, "embeddings"))
 
 
+def crc32_sql(codes: str) -> str:
+    """CRC-32 of a list of byte values: each byte is followed by eight shifts (-1)."""
+    steps = f"flatten(list_transform({codes}, lambda b: [b::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {steps}),
+        lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+
+TRIE_SQL = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base,
+             {crc32_sql("list_transform(string_split(conv_id::VARCHAR, ''), lambda s: unicode(s))")} % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+a AS (SELECT c.conv_id, 0 AS own, t.pos, r, x FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.h
+      UNION ALL SELECT c.conv_id, 1, t.pos, r, x FROM c JOIN t USING (conv_id) WHERE t.pos >= c.h),
+s AS (SELECT conv_id, x, row_number() OVER w AS depth,
+             md5(string_agg(sha256(length(r) || ':' || r || x), '') OVER w) AS pid
+      FROM a WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)),
+p AS (SELECT conv_id, x, depth, depth || pid AS pid FROM s UNION ALL SELECT conv_id, '', 0, '0' FROM c),
+l AS (SELECT conv_id, max(depth) AS len FROM p GROUP BY conv_id),
+n AS (SELECT pid, min(conv_id) AS conv_id, min(depth) AS depth, count(*) AS n_convs, min(strlen(x)) AS size,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len), '')) AS ends_sha256
+      FROM p JOIN l USING (conv_id) GROUP BY pid),
+u AS (SELECT n.*, q.pid AS up FROM n LEFT JOIN p q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1),
+k AS (SELECT up AS pid, count(*) AS n_children FROM u WHERE up IS NOT NULL GROUP BY up),
+f AS (SELECT u.*, coalesce(n_children, 0) AS n_children FROM u LEFT JOIN k USING (pid)),
+g AS (SELECT q.pid, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+      FROM f JOIN p q ON q.conv_id = f.conv_id AND q.depth <= f.depth GROUP BY q.pid)
+SELECT f.conv_id, f.depth, m.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN g USING (pid) LEFT JOIN n m ON m.pid = f.up
+"""
+
+
+@register("op12_conversation_trie", TRIE_SQL)
+def op12_conversation_trie(spark, d):
+    """Nodes of the rebuilt conversations' prefix trie, with subtree totals."""
+    from .convtrie import trie
+    return trie(table(spark, d, "conversations"))
+
+
 @register("op11_token_counts")
 def op11_token_counts(spark, d):
     """Bytes and tokens of every document, and whether it exceeds 4096 tokens."""
