@@ -170,6 +170,35 @@ def op12_conversation_trie(spark, d):
     return trie(table(spark, d, "conversations"))
 
 
+_CODES = "flatten(list_transform(string_split({}, ''), lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)] ELSE [195, unicode(s) - 64] END))"
+SPELLING_SQL = f"""
+WITH RECURSIVE r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+h AS (SELECT w, {crc32_sql(_CODES.format("coalesce(doc_id::VARCHAR, '') || ':' || w"))} AS h FROM r WHERE length(w) >= 6),
+c AS (SELECT CASE WHEN h % 199 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word FROM h),
+words AS (SELECT word, count(*) AS n FROM c WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+d AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+      FROM (SELECT word, n, unnest(generate_series(1, length(word)))::INT AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n AS m FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT d.word, w.word, w.n FROM d JOIN words w ON w.word = d.rest
+         UNION SELECT w.word, d.word, d.n FROM d JOIN words w ON w.word = d.rest),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY word),
+f AS (SELECT words.word, n, n_near, CASE WHEN m >= 5 * n THEN m END AS form_n,
+             CASE WHEN m >= 5 * n THEN (SELECT min(other) FROM near x WHERE x.word = words.word AND x.m = best.m) END AS form
+      FROM words LEFT JOIN best USING (word)),
+up AS (SELECT word, word AS root FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL),
+last AS (SELECT up.word, up.root FROM up JOIN f ON f.word = up.root WHERE f.form IS NULL)
+SELECT f.word, f.form, last.root, f.n, coalesce(f.n_near, 0) AS n_near, f.form_n FROM f JOIN last USING (word)
+"""
+
+
+@register("op13_spelling_variants", SPELLING_SQL)
+def op13_spelling_variants(spark, d):
+    """Counted words with their near words, form and root."""
+    from .spelling import spelling_groups
+    return spelling_groups(table(spark, d, "documents"))
+
+
 @register("op11_token_counts")
 def op11_token_counts(spark, d):
     """Bytes and tokens of every document, and whether it exceeds 4096 tokens."""
