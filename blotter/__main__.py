@@ -62,36 +62,26 @@ def _produce(args) -> dict:
 def _alerts(args) -> dict:
     if not (args.source or args.kafka):
         raise SystemExit("give --source DIR or --kafka HOST:PORT")
-    from .operators.windows import alert_payload
+    from .operators.windows import _seconds
     from .sources.connectors import kafka_stream, kafka_text
-    from .streaming.alerting import alert_stream
-    from .streaming.runner import MESSAGE_SCHEMA, DualSink, ensure_state_store, file_stream
+    from .streaming.runner import MESSAGE_SCHEMA, file_stream
+    from .streaming.topology import start
     spark = build_session(app="blotter-alerts")
     if args.kafka:
         messages = kafka_text(kafka_stream(spark, args.kafka, args.topic).load())
     else:
         messages = file_stream(spark, args.source, MESSAGE_SCHEMA, max_files=args.max_files)
-    # Windows by arrival, as in the reference: no event is ever late. Each trigger
-    # emits the windows it changed (update); event time needs a watermark and
-    # append, where later events than that are dropped.
-    by_arrival = not args.event_time
-    mode = "update" if by_arrival or not args.watermark else "append"
-    alerts = alert_stream(messages, args.window, args.slide, args.threshold,
-                          watermark=args.watermark or None, by_arrival=by_arrival,
-                          method="direct" if mode == "update" else None)
-    table, docs = f"{args.out}/alerts", f"{args.out}/alert_logs"
-    # The checkpoint belongs to the output: a later run goes on with its batch ids
-    # instead of writing over the first run's batches.
-    chk = args.checkpoint or f"{args.out}/_checkpoint"
-    ensure_state_store(spark)
-    w = (alerts.writeStream.outputMode(mode).option("checkpointLocation", chk)
-         .foreachBatch(DualSink(table, docs, ["district", "alert_timestamp"],
-                                table_form=alert_payload)))
-    w = w.trigger(availableNow=True) if args.once else w.trigger(
-        processingTime=f"{args.slide} seconds")
-    q = w.start()
+    # Windows by arrival, as in the reference: no event is ever late. By event time,
+    # events later than the watermark go to the late table.
+    q, sink = start(messages, args.out, args.window, args.slide, args.threshold, by_arrival=not args.event_time,
+                    delay_s=_seconds(args.watermark) if args.event_time else 0, checkpoint=args.checkpoint, once=args.once)
     q.awaitTermination()
-    return {"alerts": table, "alert_logs": docs, "checkpoint": chk}
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    if args.once:  # nothing more comes in this run: send the windows that are still open
+        sink.close(spark, str(q.id))
+    return {"alerts": f"{args.out}/alerts", "alert_logs": f"{args.out}/alert_logs", "archive": f"{args.out}/archive",
+            "quarantine": f"{args.out}/quarantine", "late": f"{args.out}/late", "checkpoint": args.checkpoint or f"{args.out}/_checkpoint"}
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -111,7 +101,7 @@ def main(argv: list[str] | None = None) -> dict:
     b.add_argument("--first", action="store_true", help="only the first sorted match of each glob")
     b.add_argument("--out")
     b.add_argument("--hash", default="murmur", choices=["murmur", "md5"])
-    a = sub.add_parser("alerts", help="run the sliding-window alert stream")
+    a = sub.add_parser("alerts", help="run the stream: archive, quarantine, late events, window alerts")
     a.add_argument("--source")
     a.add_argument("--kafka")
     a.add_argument("--topic", default="crime_events")
@@ -125,7 +115,7 @@ def main(argv: list[str] | None = None) -> dict:
     when = a.add_mutually_exclusive_group()
     when.add_argument("--by-arrival", action="store_true", help="windows by arrival time (the default)")
     when.add_argument("--event-time", action="store_true",
-                      help="windows by the events' own time; events behind the watermark are dropped")
+                      help="windows by the events' own time; events behind the watermark go to the late table")
     a.add_argument("--once", action="store_true", help="process what is there, then stop")
     args = p.parse_args(argv)
     out = {"produce": _produce, "batch": _batch, "alerts": _alerts}[args.cmd](args)

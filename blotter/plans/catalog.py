@@ -584,4 +584,4 @@ def flagship_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Source, stream, sink and serving keys register themselves on import.
-from . import io_queries  # noqa: E402,F401
+from . import io_queries, topology_queries  # noqa: E402,F401

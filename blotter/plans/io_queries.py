@@ -15,6 +15,7 @@ from ..schemas import CRIME_SCHEMA, RESULT_SCHEMAS
 from ..session import scratch_path
 from ..sinks import tables
 from ..sources import files
+from ..sources.connectors import keyed_json
 from ..streaming import events as ev
 from ..streaming import runner
 from . import standins as S
@@ -176,9 +177,7 @@ def q_stream_replay_events(spark, d):
     "event_fields"))
 def q_kv_json_encode(spark, d):
     """K5 + F19: keyed JSON records (key = district code text)."""
-    f = S.event_fields(spark, d)
-    return f.select("event_id", F.col("district").alias("key"),
-                    F.to_json(F.struct(*[F.col(c) for c in ev.EVENT_FIELDS])).alias("value"))
+    return keyed_json(S.event_fields(spark, d), "district", ev.EVENT_FIELDS, keep=["event_id"])
 
 
 # ------------------------------------------------------- event parsing
@@ -310,32 +309,6 @@ def q_stream_dedup_merge(spark, d):
     return sink.read(spark)
 
 
-@register("stream_late_drop")
-def q_stream_late_drop(spark, d):
-    """Append-mode window counts under a 10 minute watermark; windows are
-    emitted once final and events behind the watermark are dropped."""
-    staged = stage_messages(spark, d)
-    acc = runner.event_time(stream_accepted(spark, staged))
-    counts = windows.window_counts(acc.withWatermark("event_time", "10 minutes"), "event_time",
-                                   "district", ALERT_SIZE_S, ALERT_SLIDE_S)
-    sink = runner.AppendTable(scratch_path(spark, "late"))
-    runner.run_available(counts, "append", runner.checkpoint_dir(spark, "late"), sink)
-    return sink.read(spark)
-
-
-@register("stream_arrival_windows")
-def q_stream_arrival_windows(spark, d):
-    """Windows by arrival time (the reference's semantics), update mode;
-    the sink is read upserted (the newest count per window)."""
-    staged = stage_messages(spark, d)
-    acc = runner.arrival_stamp(stream_accepted(spark, staged)) \
-        .withWatermark("arrived_at", "10 minutes")  # bounds window state
-    counts = windows.window_counts(acc, "arrived_at", "district", 300, 60)
-    sink = runner.AppendTable(scratch_path(spark, "arrival"))
-    runner.run_available(counts, "update", runner.checkpoint_dir(spark, "arrival"), sink)
-    return sink.read_latest(spark, ["district", "window_start", "window_end"])
-
-
 # -------------------------------------------------------------- sinks
 @register("sink_table_overwrite", _RATE_ALL_SQL)
 def q_sink_table_overwrite(spark, d):
@@ -365,18 +338,20 @@ def q_sink_table_append(spark, d):
 
 
 ALERT_DOC_SCHEMA = "district STRING, alert_timestamp STRING, event_count BIGINT, " \
-                   "threshold_value BIGINT, severity STRING, _id STRING"
+                   "threshold BIGINT, severity STRING, _id STRING"
+_ALERT_DOCS_SQL = f"SELECT * RENAME (threshold_value AS threshold) FROM ({_ALERTS_SQL})"
 
 
 def _alert_docs(spark, d):
     path = scratch_path(spark, "alert-docs")
-    tables.append_documents(batch_alerts(spark, d), path, 0, ["district", "alert_timestamp"])
+    alerts = batch_alerts(spark, d).withColumnRenamed("threshold_value", "threshold")
+    tables.append_documents(alerts, path, 0, ["district", "alert_timestamp"])
     docs = files.read_documents(spark, path, ALERT_DOC_SCHEMA).drop(tables.BATCH_COLUMN)
     return docs.withColumn("alert_timestamp", F.try_to_timestamp(F.col("alert_timestamp"))
                            .cast("timestamp_ntz"))
 
 
-@register("sink_json_alerts", _ALERTS_SQL)
+@register("sink_json_alerts", _ALERT_DOCS_SQL)
 def q_sink_json_alerts(spark, d):
     """K3 + S8: alerts to a document collection, read back under a schema."""
     return _alert_docs(spark, d).drop("_id")
@@ -384,7 +359,7 @@ def q_sink_json_alerts(spark, d):
 
 # ------------------------------------------------------------ serving
 @register("serve_alert_docs", ctes(
-    f"SELECT * FROM ({_ALERTS_SQL}) ORDER BY alert_timestamp DESC, district LIMIT 100"))
+    f"SELECT * FROM ({_ALERT_DOCS_SQL}) ORDER BY alert_timestamp DESC, district LIMIT 100"))
 def q_serve_alert_docs(spark, d):
     """T5 + P18: newest 100 alert documents without ``_id``."""
     return serving.alert_documents(_alert_docs(spark, d))

@@ -35,9 +35,10 @@ def kafka_text(records: DataFrame) -> DataFrame:
                           F.col("value").cast("string").alias("value"))
 
 
-def keyed_json(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(key, value) records, the value a JSON object of ``fields``."""
-    return df.select(F.col(key).cast("string").alias("key"),
+def keyed_json(df: DataFrame, key: str, fields: list[str], keep: list[str] | None = None) -> DataFrame:
+    """(key, value) records, the value a JSON object of ``fields``;
+    ``keep`` columns go before them."""
+    return df.select(*(keep or []), F.col(key).cast("string").alias("key"),
                      F.to_json(F.struct(*[F.col(c) for c in fields])).alias("value"))
 
 

@@ -125,10 +125,10 @@ def route(accepted: DataFrame) -> DataFrame:
     return accepted.select("district", "case_number", "date", "primary_type", "raw_json")
 
 
-def raw_archive(accepted: DataFrame, stamp: bool = True) -> DataFrame:
-    """K4 + F20: archive document with the nested payload and load time."""
+def raw_archive(accepted: DataFrame, stamp: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """K4 + F20: archive document with the nested payload and load time (the
+    ``stamp`` column's, or the current time); ``keep`` columns are carried along."""
     payload = F.from_json(F.col("raw_json"), EVENT_MESSAGE_SCHEMA)
-    out = accepted.select(
-        "case_number", F.col("date").alias("event_timestamp"), "district", "primary_type",
-        payload.alias("payload"))
-    return out.withColumn("ingested_at", F.current_timestamp()) if stamp else out
+    return accepted.select(
+        *(keep or []), "case_number", F.col("date").alias("event_timestamp"), "district", "primary_type",
+        payload.alias("payload"), (F.col(stamp) if stamp else F.current_timestamp()).alias("ingested_at"))

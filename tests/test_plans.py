@@ -15,7 +15,7 @@ EAGER = {"src_csv_typed", "stream_replay_events", "stream_select", "stream_windo
          "stream_alerts", "stream_dual_sink", "stream_raw_archive", "stream_dedup",
          "stream_late_drop", "stream_arrival_windows", "sink_table_overwrite",
          "sink_table_append", "sink_json_alerts", "serve_alert_docs", "batch_job",
-         "hotspots_kmeans", "serve_hotspots"}
+         "hotspots_kmeans", "serve_hotspots"} | {k for k in QUERIES if k.startswith("stream_topology_")}
 
 
 def plan(df) -> str:
