@@ -42,14 +42,14 @@ def _produce(args) -> dict:
     from .functions.parse import iso_utc
     from .schemas import EVENT_FIELDS
     from .sources.connectors import kafka_write_options, keyed_json
-    from .sources.files import resolve_first
+    from .sources.files import PLACE, first_rows, resolve_first, with_place
     from .streaming.events import accepted_events, produce_events
     spark = build_session(app="blotter-produce")
     path = resolve_first(spark, args.csv) if args.first else args.csv
     rows = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    events = accepted_events(produce_events(rows))
-    if args.max_rows:
-        events = events.limit(args.max_rows)  # first accepted rows in file order
+    events = accepted_events(produce_events(with_place(rows), keep=PLACE))
+    # the first accepted rows in file order
+    events = first_rows(events, args.max_rows) if args.max_rows else events.drop(*PLACE)
     events = events.withColumn("produced_at", iso_utc(F.current_timestamp()))
     msgs = keyed_json(events, "district", EVENT_FIELDS + ["produced_at"])
     if args.kafka:

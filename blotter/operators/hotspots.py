@@ -79,3 +79,24 @@ def assign_nearest(points: DataFrame, centres: list[tuple[float, float]],
     geo = filter_geo(points, lat, lon)
     return geo.groupBy(nearest_centre(lat, lon, centres).alias("cluster_id")).agg(
         F.count(F.lit(1)).alias("crime_count"))
+
+
+def invariants(points: DataFrame, stored: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """(item, n): what holds for centres that K-Means has settled on. Counts
+    centres whose size is the number of points nearest to them, centres at the
+    mean of those points (within a thousandth of the points' extent), centres in
+    id order as served, and all points. Only the k centres reach the driver."""
+    from .serving import hotspot_map
+    centres = stored.orderBy("cluster_id").collect()
+    geo = filter_geo(points, lat, lon)
+    near = geo.groupBy(nearest_centre(lat, lon, [(c.latitude, c.longitude) for c in centres]).alias("cluster_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(lat).alias("lat_mean"), F.avg(lon).alias("lon_mean"))
+    width = geo.agg(F.greatest(F.max(lat) - F.min(lat), F.max(lon) - F.min(lon)) / 1000).scalar()
+    both = stored.join(near, "cluster_id", "left")
+    at_mean = (F.abs(F.col("latitude") - F.col("lat_mean")) <= width) & (F.abs(F.col("longitude") - F.col("lon_mean")) <= width)
+    served = [r.cluster_id for r in hotspot_map(stored).collect()]
+    counts = both.agg(
+        F.count(F.lit(1)).alias("centres"), F.count_if(F.col("crime_count") == F.coalesce("n", F.lit(0))).alias("sizes_of_nearest"),
+        F.count_if(at_mean).alias("at_mean_of_nearest"), F.sum("crime_count").alias("points"),
+        F.lit(sum(a == b for a, b in zip(served, range(len(served))))).cast("long").alias("served_in_order"))
+    return counts.unpivot([], counts.columns, "item", "n")

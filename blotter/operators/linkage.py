@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import bucket
 from ..schemas import PAIR_DENSITY_COUNT, PAIR_INCIDENT_RATE
 from ..session import shared_dir
-from .rollups import UNKNOWN, count_by_key, rate_by
+from .rollups import count_by_key, rate_by
 
 
 def dedup_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
@@ -35,11 +35,46 @@ def join_left_dedup(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
     The planner picks the strategy from sizes: AQE turns it into a broadcast
     join when the deduplicated side proves small at run time and otherwise
-    keeps a sort-merge join, splitting skewed left partitions.
+    keeps a sort-merge join. A key with many facts stays in one task here, as
+    the right side's aggregate shares the join's exchange;
+    ``join_left_split`` deals such keys over many tasks.
     """
     return facts.join(dim, key, "left")
 
 
+HEAVY_KEYS = 64
+HEAVY_TRACKED = 4096
+
+
+def heavy_keys(facts: DataFrame, key: str, parts: int, k: int = HEAVY_KEYS) -> list:
+    """The at most ``k`` keys that hold more rows than an average one of
+    ``parts`` partitions, from a frequent-items sketch (one bounded sketch a
+    task, merged; NULLs left out). The sketch misses no key with more than
+    1 of ``HEAVY_TRACKED`` rows."""
+    top = facts.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {int(k)}, {HEAVY_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [t["item"] for t in top.top or [] if t["count"] * parts > top.n]
+
+
+def join_left_split(facts: DataFrame, dim: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """J1 with frequent keys split: the left equi-join of ``join_left_dedup``.
+
+    Facts of a heavy key, or of no key, are dealt over ``parts`` salts (default:
+    the shuffle partitions); the at most ``HEAVY_KEYS`` rows of the unique right
+    side for heavy keys are repeated per salt. All other rows have salt 0, so
+    nothing else moves more than in the plain join, and no task gets a hot key
+    whole. One aggregate over the key column finds the heavy keys first.
+    """
+    parts = parts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(facts, key, parts)
+    is_heavy = F.col(key).isin(heavy) if heavy else F.lit(False)
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(parts))
+    salted = facts.withColumn("_salt", F.when(F.col(key).isNull() | is_heavy, spread).otherwise(F.lit(0)).cast("long"))
+    salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = dim.withColumn("_salt", F.explode(salts.cast("array<bigint>")))
+    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+
+
 def dense_index(df: DataFrame, order_by: list[str], name: str = "index") -> DataFrame:
     """Number the rows ``0..N-1`` in ``order_by`` order, distributed.
 
@@ -103,30 +138,47 @@ def bucket_counts(registry: DataFrame, n, method: str = "murmur",
 
 
 # ------------------------------------------------------------------- pairs
-def pair_incident_vs_rate(violence: DataFrame, joined: DataFrame,
-                          name: str = PAIR_INCIDENT_RATE) -> DataFrame:
+def paired(name: str, xs: DataFrame, x: str, ys: DataFrame, y: str, how: str = "inner") -> DataFrame:
+    """M5 + P22: one series of (x, y) per district; with ``how="left"`` a district
+    without a y has 0."""
+    both = xs.join(ys, "district", how)
+    return both.select(F.lit(name).alias("correlation_name"), F.col("district").alias("group_key"),
+                       F.col(x).cast("double").alias("x_value"), F.coalesce(F.col(y).cast("double"), F.lit(0.0)).alias("y_value"))
+
+
+def district_rates(joined: DataFrame) -> DataFrame:
+    """(district, crime_count, arrest_rate) in one aggregate over the joined rows."""
+    return rate_by(joined, "district").select(F.col("group_value").alias("district"), "crime_count", "arrest_rate")
+
+
+def pair_incident_vs_rate(violence: DataFrame, joined: DataFrame, name: str = PAIR_INCIDENT_RATE) -> DataFrame:
     """J3 + P10 + P22: incidents per district against the district arrest rate.
 
     The district rate is computed directly (not filtered out of the unioned
     rate table), which keeps the one scan the filter needs.
     """
-    incidents = count_by_key(violence, "district", "violence_count")
-    rates = rate_by(joined, "district").select(F.col("group_value").alias("district"),
-                                               "arrest_rate")
-    return incidents.join(rates, "district").select(
-        F.lit(name).alias("correlation_name"), F.col("district").alias("group_key"),
-        F.col("violence_count").cast("double").alias("x_value"),
-        F.col("arrest_rate").cast("double").alias("y_value"))
+    return paired(name, count_by_key(violence, "district", "violence_count"), "violence_count", district_rates(joined), "arrest_rate")
 
 
-def pair_density_vs_count(density: DataFrame, crimes: DataFrame,
-                          name: str = PAIR_DENSITY_COUNT) -> DataFrame:
+def pair_density_vs_count(density: DataFrame, crimes: DataFrame, name: str = PAIR_DENSITY_COUNT) -> DataFrame:
     """Offenders per station district against crimes per district (0 if none)."""
-    counts = count_by_key(crimes, "district", "crime_count")
-    return density.join(counts, "district", "left").select(
-        F.lit(name).alias("correlation_name"), F.col("district").alias("group_key"),
-        F.col("offender_count").cast("double").alias("x_value"),
-        F.coalesce(F.col("crime_count"), F.lit(0)).cast("double").alias("y_value"))
+    return paired(name, density, "offender_count", count_by_key(crimes, "district", "crime_count"), "crime_count", "left")
+
+
+def pairs_all(incidents: DataFrame, density: DataFrame, districts: DataFrame) -> DataFrame:
+    """U4: both series against one frame of districts.
+
+    ``districts`` (``district_rates``: crimes and arrest rate) is joined once,
+    to the union of the two left sides, so its inputs are read and aggregated
+    once. ``incidents``: district, violence_count; ``density``: district,
+    offender_count.
+    """
+    left = incidents.select(F.lit(PAIR_INCIDENT_RATE).alias("correlation_name"), "district", F.col("violence_count").alias("x_value")) \
+        .unionByName(density.select(F.lit(PAIR_DENSITY_COUNT).alias("correlation_name"), "district", F.col("offender_count").alias("x_value")))
+    inner = F.col("correlation_name") == PAIR_INCIDENT_RATE  # needs a rate; the other has 0 without crimes
+    return left.join(districts, "district", "left").where(~inner | F.col("crime_count").isNotNull()).select(
+        "correlation_name", F.col("district").alias("group_key"), F.col("x_value").cast("double").alias("x_value"),
+        F.when(inner, F.col("arrest_rate")).otherwise(F.coalesce("crime_count", F.lit(0)).cast("double")).alias("y_value"))
 
 
 def pairs_corr(pairs: DataFrame, digits: int = 9) -> DataFrame:
@@ -134,7 +186,3 @@ def pairs_corr(pairs: DataFrame, digits: int = 9) -> DataFrame:
     return pairs.groupBy("correlation_name").agg(
         F.round(F.corr("x_value", "y_value"), digits).alias("corr"),
         F.count(F.lit(1)).alias("n_pairs"))
-
-
-def coalesce_unknown(col: str):
-    return F.coalesce(F.col(col), F.lit(UNKNOWN))

@@ -72,14 +72,15 @@ def trend(df: DataFrame, kind: str, ts: str = "event_ts", key: str = "district")
 
 
 def trend_all(df: DataFrame, ts: str = "event_ts", key: str = "district",
-              method: str = "stack") -> DataFrame:
+              method: str = "grouping_sets") -> DataFrame:
     """The five trend rollups as one table.
 
-    ``stack`` (default): each row becomes five (type, value) pairs inside the
+    ``grouping_sets`` (default): one scan, one Expand, one aggregate.
+    ``stack``: each row becomes five (type, value) pairs inside the
     scan stage and one partial aggregate on those two columns combines them,
     so one scan feeds all five rollups and the shuffle carries about one row
     per distinct (type, value) per task, whatever the input size.
-    ``grouping_sets`` is the Expand-based form, ``union`` one scan per rollup.
+    ``union`` is one scan per rollup.
     """
     if method == "union":
         return reduce(DataFrame.unionByName, [trend(df, k, ts, key) for k in TREND_TYPES])
@@ -212,10 +213,28 @@ def flag_proportion(v: DataFrame, flag: str = "gunshot_injury", key: str = "dist
                       F.lit(None).cast("string").alias("community_area"), "incident_count", "rate")
 
 
-def metrics_all(v: DataFrame) -> DataFrame:
-    """The three violence metric sets, NULL-padded to one schema."""
-    parts = [mix_by_key_period(v), count_by_area(v), flag_proportion(v)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+def metrics_all(v: DataFrame, method: str = "grouping_sets") -> DataFrame:
+    """The three violence metric sets, NULL-padded to one schema.
+
+    One scan and one aggregate over three grouping sets: (label, district,
+    month), (area) and (district), the last with its share of yes flags.
+    ``union`` is one scan per set.
+    """
+    if method == "union":
+        parts = [mix_by_key_period(v), count_by_area(v), flag_proportion(v)]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    label, area, district, month = (F.col(c) for c in ("incident_primary", "community_area", "district", "month"))
+    flagged = v.select(F.coalesce(label, F.lit(UNKNOWN)).alias("label"), district, month.alias("period_value"), area,
+                       F.when(F.col("gunshot_injury").isin(*YES_FLAGS), F.lit(1.0)).otherwise(F.lit(0.0)).alias("hit"))
+    names = ["label", "district", "period_value", "community_area"]
+    keys = [F.col(n) for n in names]
+    agg = flagged.groupingSets([keys[:3], [keys[3]], [keys[1]]], *names).agg(
+        F.count(F.lit(1)).alias("incident_count"), F.avg("hit").alias("share"),
+        F.grouping("label").alias("no_label"), F.grouping("community_area").alias("no_area"))
+    mix, by_area = F.col("no_label") == 0, F.col("no_area") == 0
+    return agg.select(
+        F.when(mix, F.concat(F.lit(METRIC_MIX_PREFIX), "label")).when(by_area, F.lit(METRIC_AREA)).otherwise(F.lit(METRIC_FLAG)).alias("metric"),
+        "district", "period_value", "community_area", "incident_count", F.when(~mix & ~by_area, F.col("share")).alias("rate"))
 
 
 def count_by_key(df: DataFrame, key: str = "district", name: str = "crime_count") -> DataFrame:

@@ -7,9 +7,11 @@ remaining key columns so the answer is deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import glob_paths
+
 
 def latest(df: DataFrame, ts: str, n: int = 100, tie: tuple[str, ...] = (),
            date_col: str | None = None, since: str | None = None) -> DataFrame:
@@ -22,6 +24,25 @@ def latest(df: DataFrame, ts: str, n: int = 100, tie: tuple[str, ...] = (),
     return df.orderBy(F.col(ts).desc(), *[F.col(c).asc() for c in tie]).limit(n)
 
 
+def newest(spark: SparkSession, path: str, ts: str, date_col: str, n: int = 100, tie: tuple[str, ...] = ()) -> DataFrame:
+    """T1/T5 on a stored table partitioned by the date of ``ts``: the ``n`` newest
+    rows, from the newest partitions alone.
+
+    Partitions are taken newest first, twice as many each time, until they hold
+    ``n`` rows; counts come from the files' footers. The read lists and scans
+    those partitions only, however old the table is.
+    """
+    days = sorted((p for p in glob_paths(spark, f"{path}/{date_col}=*")), key=lambda p: p.rsplit("=", 1)[1], reverse=True)
+    if not days:
+        raise FileNotFoundError(f"no {date_col} partitions below {path}")
+    take = 1
+    while True:
+        rows = spark.read.option("basePath", path).parquet(*days[:take])
+        if take >= len(days) or rows.count() >= n:
+            return latest(rows, ts, n, tie)
+        take *= 2
+
+
 def top_by(df: DataFrame, col: str, n: int = 20, tie: tuple[str, ...] = ()) -> DataFrame:
     """The ``n`` largest by ``col``."""
     return df.orderBy(F.col(col).desc(), *[F.col(c).asc() for c in tie]).limit(n)

@@ -72,7 +72,7 @@ def station_index(spark, d):
 
 
 # Hash method of the registry buckets in oracle-checked keys: MD5 is portable
-# to DuckDB; the reference's Murmur3 rule is the rows-only ``bucket_murmur``.
+# to DuckDB; the Murmur3 rule has its own key, ``bucket_murmur``.
 ORACLE_HASH = "md5"
 
 # Alert window, slide and threshold of the batch alert keys
@@ -193,6 +193,14 @@ def q_join_left_dedup(spark, d):
     return joined(spark, d).select("case_number", "primary_type", "district", "arrest_ts", "race")
 
 
+@register("join_left_split", ctes(
+    "SELECT case_number, primary_type, district, arrest_ts, race FROM joined", "joined"))
+def q_join_left_split(spark, d):
+    """J1 with heavy case numbers dealt over many tasks."""
+    return linkage.join_left_split(crimes(spark, d), arrests(spark, d), "case_number").select(
+        "case_number", "primary_type", "district", "arrest_ts", "race")
+
+
 @register("dedup_key", ctes("SELECT * FROM arrests", "arrests"))
 def q_dedup_key(spark, d):
     """One arrest per case (earliest parsable time, then race)."""
@@ -230,7 +238,10 @@ def q_flag_proportion(spark, d):
     return rollups.flag_proportion(violence(spark, d))
 
 
-@register("metrics_all", ctes(f"({_MIX_SQL}) UNION ALL ({_AREA_SQL}) UNION ALL ({_FLAG_SQL})",
+_METRICS_SQL = f"({_MIX_SQL}) UNION ALL ({_AREA_SQL}) UNION ALL ({_FLAG_SQL})"
+
+
+@register("metrics_all", ctes(_METRICS_SQL,
                               "violence"))
 def q_metrics_all(spark, d):
     """The three metric sets with NULL padding."""
@@ -285,9 +296,32 @@ def q_bucket_md5(spark, d):
     return linkage.bucket_counts(registry(spark, d), n, "md5")
 
 
-@register("bucket_murmur")
+def _rotl(x: str, r: int) -> str:
+    return f"(({x} << {r}) | ({x} >> {32 - r})) & 4294967295"
+
+
+# Murmur3 (32 bits, seed 42) of UTF-8 text: words of four bytes, then the bytes
+# that are left one by one, as signed numbers. Its constants.
+_BYTE = "('0x' || substr(x, (2 * ({}) + 1)::BIGINT, 2))::UBIGINT"
+_MURMUR_SQL = f"""
+b AS (SELECT block, hex(coalesce(block, '')) AS x, (length(hex(coalesce(block, ''))) // 2)::BIGINT AS n FROM registry),
+k AS (SELECT block, n, list_concat(
+        list_transform(range(n // 4), lambda i: {' + '.join(f"({_BYTE.format(f'4 * i + {j}')} << {8 * j})" for j in range(4))}),
+        list_transform(range(n // 4 * 4, n), lambda i: {_BYTE.format('i')} + CASE WHEN {_BYTE.format('i')} > 127 THEN 4294967040 ELSE 0 END)) AS ks FROM b),
+m AS (SELECT block, n, list_transform(list_transform(list_transform(ks, lambda k: (k * 3432918353::UBIGINT) & 4294967295),
+        lambda k: {_rotl('k', 15)}), lambda k: (k * 461845907::UBIGINT) & 4294967295) AS ks FROM k),
+h0 AS (SELECT block, xor(list_reduce(list_prepend(42::UBIGINT, ks),
+        lambda h, k: (({_rotl('xor(h, k)', 13)}) * 5 + 3864292196) & 4294967295), n::UBIGINT) AS h FROM m),
+h1 AS (SELECT block, (xor(h, h >> 16) * 2246822507::UBIGINT) & 4294967295 AS h FROM h0),
+h2 AS (SELECT block, (xor(h, h >> 13) * 3266489909::UBIGINT) & 4294967295 AS h FROM h1),
+h3 AS (SELECT block, xor(h, h >> 16)::BIGINT AS h FROM h2)
+SELECT abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % (SELECT count(*) FROM station_index) AS bucket,
+       count(*) AS row_count FROM h3 GROUP BY 1"""
+
+
+@register("bucket_murmur", ctes("", "registry", "station_index").rstrip() + "," + _MURMUR_SQL)
 def q_bucket_murmur(spark, d):
-    """F16 (reference rule, Murmur3): registry rows per bucket."""
+    """F16 (the rule of the batch job, Murmur3): registry rows per bucket."""
     n = station_index(spark, d).select(F.count(F.lit(1))).scalar()
     return linkage.bucket_counts(registry(spark, d), n, "murmur")
 
@@ -310,9 +344,8 @@ FROM density o LEFT JOIN (SELECT district, count(*) AS crime_count FROM crimes G
 
 
 def pairs(spark, d):
-    j = joined(spark, d)
-    return linkage.pair_incident_vs_rate(violence(spark, d), j).unionByName(
-        linkage.pair_density_vs_count(density(spark, d), crimes(spark, d)))
+    incidents = rollups.count_by_key(violence(spark, d), "district", "violence_count")
+    return linkage.pairs_all(incidents, density(spark, d), linkage.district_rates(joined(spark, d)))
 
 
 @register("pair_incident_vs_rate", ctes(_PAIR1_SQL, "violence", "joined"))
@@ -327,7 +360,10 @@ def q_pair2(spark, d):
     return linkage.pair_density_vs_count(density(spark, d), crimes(spark, d))
 
 
-@register("pairs_all", ctes(f"({_PAIR1_SQL}) UNION ALL ({_PAIR2_SQL})",
+_PAIRS_SQL = f"({_PAIR1_SQL}) UNION ALL ({_PAIR2_SQL})"
+
+
+@register("pairs_all", ctes(_PAIRS_SQL,
                             "violence", "joined", "density", "crimes"))
 def q_pairs_all(spark, d):
     """U4 + M5: both paired series."""
@@ -370,6 +406,18 @@ def q_hotspots(spark, d):
     return hotspots.kmeans_hotspots(crimes(spark, d))
 
 
+@register("hotspots_invariants", ctes(
+    f"""SELECT * FROM (VALUES ('centres', CAST({hotspots.KMEANS_K} AS BIGINT)), ('sizes_of_nearest', {hotspots.KMEANS_K}),
+        ('at_mean_of_nearest', {hotspots.KMEANS_K}), ('served_in_order', {hotspots.KMEANS_K})) t(item, n)
+        UNION ALL SELECT 'points', count(*) FROM crimes WHERE latitude IS NOT NULL AND longitude IS NOT NULL""", "crimes"))
+def q_hotspots_invariants(spark, d):
+    """M2 + M4 + J5 + T4: once the centres have settled (up to 200 iterations),
+    every stored centre is the mean of its nearest points (to a thousandth of the
+    map's width), its size is their number, all points are counted, and the
+    served centres are in id order."""
+    return hotspots.invariants(crimes(spark, d), hotspots.kmeans_hotspots(crimes(spark, d), max_iter=200))
+
+
 @register("hotspots_totals", ctes(
     f"SELECT CAST({hotspots.KMEANS_K} AS BIGINT) AS n_clusters, count(*) AS crime_count "
     f"FROM crimes WHERE latitude IS NOT NULL AND longitude IS NOT NULL", "crimes"))

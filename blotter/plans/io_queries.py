@@ -19,7 +19,8 @@ from ..sources.connectors import keyed_json
 from ..streaming import events as ev
 from ..streaming import runner
 from . import standins as S
-from .catalog import (_ALERTS_SQL, _RATE_ALL_SQL, ALERT_SIZE_S, ALERT_SLIDE_S,
+from ..operators.hotspots import KMEANS_K
+from .catalog import (_ALERTS_SQL, _METRICS_SQL, _PAIRS_SQL, _RATE_ALL_SQL, ALERT_SIZE_S, ALERT_SLIDE_S,
                       ALERT_THRESHOLD, _alerts_sql, _rate_sql, _window_sql, batch_alerts,
                       crimes, joined, register)
 from .sql import ctes, register_cte
@@ -135,6 +136,28 @@ def q_src_csv_typed(spark, d):
     return cleaning.clean_crimes(files.read_csv(spark, path, CRIME_SCHEMA))
 
 
+def _crime_lines(spark, d):
+    """Crime rows as CSV lines, some with fields too many or too few."""
+    raw = S.raw_crimes(spark, d)
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in raw.columns]))
+    odd = F.col("ID").cast("long") % 50
+    return raw.select(F.when(odd == 0, F.concat(line, F.lit(",more,fields"))).when(odd == 1, F.substring_index(line, ",", 5)).otherwise(line).alias("value"))
+
+
+@register("src_csv_quarantine", ctes(
+    """SELECT CAST("ID" AS BIGINT) AS id, CASE WHEN CAST("ID" AS BIGINT) % 50 IN (0, 1) THEN 'field_count' END AS reason,
+              CAST("ID" AS BIGINT) % 50 IN (0, 1) AS has_place FROM raw_crimes""", "raw_crimes"))
+def q_src_csv_quarantine(spark, d):
+    """S3 + S4: every line of many CSV files, read by a glob: good rows, or
+    quarantined text with its reason and place (file and block)."""
+    path = scratch_path(spark, "crime-lines")
+    _crime_lines(spark, d).write.text(path)
+    good, bad = files.stage_csv_quarantine(spark, f"{path}/part-*", CRIME_SCHEMA, scratch_path(spark, "crime-rows"), header=False)
+    place = F.col("file").contains("part-") & (F.col("block_start") >= 0)
+    return good.select(F.col("ID").cast("long").alias("id"), F.lit(None).cast("string").alias("reason"), F.lit(False).alias("has_place")) \
+        .unionByName(bad.select(F.substring_index("raw", ",", 1).cast("long").alias("id"), "reason", place.alias("has_place")))
+
+
 @register("resolve_aliases", ctes(
     'SELECT "Case Number" AS case_number, "Date" AS date, "Block" AS block, '
     '"Primary Type" AS primary_type, "District" AS district, "Arrest" AS arrest, '
@@ -156,6 +179,18 @@ def q_limit_valid(spark, d):
     return out.orderBy("row_id").limit(1000)
 
 
+@register("first_in_file_order", ctes(
+    f"SELECT {_PRODUCED_COLS} FROM produced WHERE reason IS NULL ORDER BY id LIMIT 1000", "produced"))
+def q_first_in_file_order(spark, d):
+    """T6 on files: the first 1,000 accepted rows of a CSV folder in file order,
+    without a sort and without one task that reads them all."""
+    path = scratch_path(spark, "crimes-in-order")
+    S.raw_crimes(spark, d).repartitionByRange(8, F.col("ID").cast("long")).sortWithinPartitions(F.col("ID").cast("long")) \
+        .write.option("header", True).csv(path)
+    rows = files.with_place(files.read_csv(spark, path, CRIME_SCHEMA))
+    return files.first_rows(ev.accepted_events(ev.produce_events(rows, keep=files.PLACE)), 1000)
+
+
 @register("stream_replay_events", ctes(
     f"SELECT {_PRODUCED_COLS} FROM produced WHERE reason IS NULL", "produced"))
 def q_stream_replay_events(spark, d):
@@ -365,66 +400,106 @@ def q_serve_alert_docs(spark, d):
     return serving.alert_documents(_alert_docs(spark, d))
 
 
+def _store(spark, name, df, partition_by=None):
+    """A stored result table, as the batch job leaves it; its folder."""
+    path = scratch_path(spark, f"served-{name}")
+    tables.overwrite_table(df, path, RESULT_SCHEMAS.get(name), partition_by, stamped=True)
+    return path
+
+
+def _stored_alerts(spark, d):
+    alerts = tables.with_date(windows.alert_payload(batch_alerts(spark, d)), "alert_timestamp", "alert_date")
+    return _store(spark, "alerts", alerts, ["alert_date"])
+
+
+_ALERT_COLUMNS = ["district", "alert_timestamp", "event_count", "threshold_value", "severity"]
+
+
 @register("serve_latest_alerts", ctes(
     f"SELECT * FROM ({_ALERTS_SQL}) ORDER BY alert_timestamp DESC, district LIMIT 100"))
 def q_serve_latest_alerts(spark, d):
-    """Newest 100 alerts."""
-    return serving.latest(batch_alerts(spark, d), "alert_timestamp", 100, ("district",))
+    """Newest 100 alerts, from the newest partitions of the stored table."""
+    return serving.newest(spark, _stored_alerts(spark, d), "alert_timestamp", "alert_date", 100, ("district",)).select(*_ALERT_COLUMNS)
 
 
 @register("serve_top_rates", ctes(
     "SELECT group_type, group_value, arrest_rate, crime_count FROM rate_all "
     "ORDER BY arrest_rate DESC, group_type, group_value LIMIT 20", "rate_all"))
 def q_serve_top_rates(spark, d):
-    """Top 20 arrest rates."""
-    rates = rollups.rate_all(joined(spark, d))
+    """Top 20 arrest rates of the stored table."""
+    rates = spark.read.parquet(_store(spark, "arrest_rates", rollups.rate_all(joined(spark, d))))
     return serving.top_by(rates, "arrest_rate", 20, ("group_type", "group_value")).select(
         "group_type", "group_value", "arrest_rate", "crime_count")
 
 
+def _stored_trends(spark, d):
+    return spark.read.parquet(_store(spark, "crime_trends", rollups.trend_all(crimes(spark, d)), ["trend_type"]))
+
+
 @register("serve_trends", ctes(
     "SELECT trend_type, period_value, crime_count FROM trend_all "
     "WHERE trend_type IN ('year', 'month', 'hour') ORDER BY trend_type, period_value", "trend_all"))
 def q_serve_trends(spark, d):
-    """T3 + P11: year/month/hour trends in text order."""
-    return serving.trend_lines(rollups.trend_all(crimes(spark, d)))
+    """T3 + P11: year/month/hour trends in text order; the stored table's
+    partitions of the other types are not read."""
+    return serving.trend_lines(_stored_trends(spark, d))
 
 
 @register("serve_trend_tab", ctes(
     "SELECT period_value, crime_count FROM trend_all WHERE trend_type = 'hour'", "trend_all"))
 def q_serve_trend_tab(spark, d):
-    """P10: one trend tab (hour)."""
-    return serving.trend_tab(rollups.trend_all(crimes(spark, d)), "hour")
+    """P10: one trend tab (hour) of the stored table."""
+    return serving.trend_tab(_stored_trends(spark, d), "hour")
 
 
 @register("serve_hotspots")
 def q_serve_hotspots(spark, d):
-    """T4 + P19: hotspot centres for the map view."""
+    """T4 + P19: stored hotspot centres for the map view."""
     from ..operators.hotspots import kmeans_hotspots
-    return serving.hotspot_map(kmeans_hotspots(crimes(spark, d)))
+    return serving.hotspot_map(spark.read.parquet(_store(spark, "hotspots", kmeans_hotspots(crimes(spark, d)))))
+
+
+@register("serve_sql", ctes(
+    "SELECT group_type, group_value, arrest_rate, crime_count FROM rate_all WHERE crime_count > 10 "
+    "ORDER BY arrest_rate DESC, group_type, group_value LIMIT 20", "rate_all"))
+def q_serve_sql(spark, d):
+    """SQL text over a stored result table."""
+    path = _store(spark, "arrest_rates", rollups.rate_all(joined(spark, d)))
+    return serving.sql_over_tables(spark, "SELECT group_type, group_value, arrest_rate, crime_count FROM arrest_rates "
+                                   "WHERE crime_count > 10 ORDER BY arrest_rate DESC, group_type, group_value LIMIT 20", {"arrest_rates": path})
+
+
+@register("load_stamp", ctes("SELECT trend_type, period_value, crime_count, true AS stamped FROM trend_all", "trend_all"))
+def q_load_stamp(spark, d):
+    """K7: stored rows carry the load time, one for the whole table."""
+    trends = _stored_trends(spark, d)
+    return trends.select("trend_type", "period_value", "crime_count",
+                         (F.col("generated_at") == trends.agg(F.min("generated_at")).scalar()).alias("stamped"))
 
 
 # ---------------------------------------------------------- whole job
-@register("batch_job", ctes(f"""
-SELECT 'crime_trends' AS table_name, count(*) AS row_count FROM trend_all
-UNION ALL SELECT 'arrest_rates', count(*) FROM rate_all
-UNION ALL SELECT 'violence_stats', count(*) FROM (
-  SELECT 1 FROM violence GROUP BY coalesce(incident_primary, 'UNKNOWN'), district, month
-  UNION ALL SELECT 1 FROM violence GROUP BY community_area
-  UNION ALL SELECT 1 FROM violence GROUP BY district)
-UNION ALL SELECT 'offender_density', count(*) FROM density
-UNION ALL SELECT 'hotspots', 10
-UNION ALL SELECT 'correlations', (SELECT count(*) FROM (
-  SELECT v.district FROM (SELECT DISTINCT district FROM violence) v
-  JOIN (SELECT DISTINCT coalesce(district, 'UNKNOWN') AS district FROM joined) r ON v.district = r.district))
-  + (SELECT count(*) FROM density)""", "trend_all", "rate_all", "violence", "density", "joined"))
+_VALUES = ("SELECT '{0}' AS table_name, count(*) AS row_count, CAST(round(sum({1}), 6) AS DOUBLE) AS total FROM {2}")
+
+
+@register("batch_job", ctes(" UNION ALL ".join([
+    _VALUES.format("crime_trends", "crime_count", "trend_all"), _VALUES.format("arrest_rates", "crime_count + arrest_rate", "rate_all"),
+    _VALUES.format("violence_stats", "incident_count + coalesce(rate, 0)", f"({_METRICS_SQL})"),
+    _VALUES.format("offender_density", "offender_count + 1000 * priority_minor_victim_count", "density"),
+    f"SELECT 'hotspots', {KMEANS_K}, CAST(count(*) AS DOUBLE) FROM crimes WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
+    _VALUES.format("correlations", "x_value + 1000 * y_value", f"({_PAIRS_SQL})")]),
+    "crimes", "trend_all", "rate_all", "violence", "density", "joined"))
 def q_batch_job(spark, d):
-    """The whole batch job (six tables, inputs staged once); rows per table.
-    Offender buckets use the portable hash here so the SQL check can follow."""
-    from .batch import RESULT_TABLES, run
-    paths = run(spark, d, hash_method="md5")
-    parts = [spark.read.parquet(paths[t]).select(F.lit(t).alias("table_name"))
-             for t in RESULT_TABLES]
+    """The whole batch job (six tables, inputs staged once); rows and a sum over
+    the values of each stored table. Offender buckets use the portable hash here
+    so the SQL check can follow."""
     from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), parts).groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("row_count"))
+
+    from .batch import run
+    paths = run(spark, d, hash_method="md5")
+    totals = {"crime_trends": F.col("crime_count"), "arrest_rates": F.col("crime_count") + F.col("arrest_rate"),
+              "violence_stats": F.col("incident_count") + F.coalesce("rate", F.lit(0)),
+              "offender_density": F.col("offender_count") + 1000 * F.col("priority_minor_victim_count"),
+              "hotspots": F.col("crime_count"), "correlations": F.col("x_value") + 1000 * F.col("y_value")}
+    parts = [spark.read.parquet(paths[t]).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                                              F.round(F.sum(x.cast("double")), 6).alias("total")) for t, x in totals.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from ..schemas import RESULT_SCHEMAS
 from ..session import scratch_path
+from ..sinks.merge import DedupTable
 from ..streaming import runner, topology
 from .catalog import _alerts_sql, _window_sql, register
-from .io_queries import messages
+from .io_queries import messages, stream_accepted
 from .sql import ctes, register_cte
 
 BATCHES = 3
@@ -128,3 +129,19 @@ def q_stream_late_drop(spark, d):
     """Final window counts by event time under a watermark; an event counts
     in the windows that are open when it comes."""
     return _windows(spark, _run(spark, d, by_arrival=False, threshold=0), LATE_SIZE_S)
+
+
+@register("stream_dedup_unordered", ctes("SELECT case_number, district, event_ts FROM accepted", "accepted"))
+def q_stream_dedup_unordered(spark, d):
+    """Every message delivered twice, unordered over four batches (a copy
+    may come long before or after the other); each event is stored once, and a
+    batch opens only the days of its own events."""
+    source, checkpoint = scratch_path(spark, "dedup-messages"), runner.checkpoint_dir(spark, "dedup-unordered")
+    sink = DedupTable(scratch_path(spark, "dedup-days"), ["case_number"], "event_ts")
+    msgs = messages(spark, d)
+    copies = msgs.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    for i in range(4):
+        copies.where((F.col("event_id") * 7 + F.col("copy") * (1 + F.col("event_id") % 3)) % 4 == i).drop("copy").write.parquet(f"{source}/part={i}")
+        events = stream_accepted(spark, runner.Staged(source, 4_000_000)).select("case_number", "district", "event_ts")
+        runner.run_available(events, "append", checkpoint, sink)
+    return sink.read(spark)

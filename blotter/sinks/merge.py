@@ -12,6 +12,7 @@ newest.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +101,57 @@ def query_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
+def _null_safe(left: DataFrame, right: DataFrame, key: list[str]):
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in key])
+
+
+class DedupTable:
+    """A foreachBatch sink with exactly one row per key, whatever the order
+    and the delay of the copies.
+
+    ``date_col`` is a date that all copies of a row share (the event's own date:
+    a redelivered message is the same message), and the table is partitioned by
+    it. A batch therefore opens only the partitions of its own dates, so what it
+    reads does not grow with the table's age; days are the only thing that the
+    driver lists. A batch's copies are combined map-side first and the smallest
+    row by all its columns is kept, so a hot key is one row a task and a replay
+    keeps the same rows. A replayed batch is compared with earlier batches and
+    rewrites its own folders. NULL is a key and a date like any other.
+    """
+
+    NO_DATE = "0001-01-01"
+
+    def __init__(self, path: str, key: list[str], date_col: str):
+        self.path, self.key, self.date_col = path, key, date_col
+
+    def _opened(self, spark: SparkSession, days: list[str]) -> list[str]:
+        return [p for d in days for p in glob_paths(spark, f"{self.path}/_day={d}")]
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rest = [c for c in batch.columns if c not in self.key]
+        kept = batch.groupBy(*self.key).agg(F.min(F.struct(*rest)).alias("_row")) \
+            .select(*self.key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*batch.columns)
+        fresh = kept.withColumn("_day", F.coalesce(F.col(self.date_col).cast("date"), F.lit(self.NO_DATE).cast("date"))).persist()
+        try:
+            days = sorted(r[0] for r in fresh.select(F.date_format("_day", "yyyy-MM-dd")).distinct().collect())
+            opened = self._opened(spark, days)
+            if opened:
+                stored = T.StructType([*batch.schema.fields, T.StructField("_day", T.DateType()), T.StructField("_batch", T.LongType())])
+                prior = spark.read.schema(stored).option("basePath", self.path).parquet(*opened) \
+                    .where(F.col("_batch") < batch_id).select(*self.key)
+                out = fresh.join(prior, _null_safe(fresh, prior, self.key), "left_anti")
+            else:
+                out = fresh
+            out.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("_day", "_batch").parquet(self.path)
+        finally:
+            fresh.unpersist()
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path).drop("_day", "_batch")
+
+
 class Ledger:
     """Finished batches of each query: one small row per batch, keyed by (query,
     batch), written after everything else of the batch."""

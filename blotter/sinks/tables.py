@@ -25,7 +25,7 @@ def conform(df: DataFrame, schema: T.StructType, keep: list[str] | None = None)
 
 
 def stamp(df: DataFrame, column: str = "generated_at") -> DataFrame:
-    """K7: load time column (opt-in; kept out of oracle-checked results)."""
+    """K7: load time column, as every result table of the serving store has."""
     return df.withColumn(column, F.current_timestamp())
 
 
@@ -36,9 +36,11 @@ def with_date(df: DataFrame, ts: str, name: str = "event_date") -> DataFrame:
 
 
 def overwrite_table(df: DataFrame, path: str, schema: T.StructType | None = None,
-                    partition_by: list[str] | None = None) -> None:
-    """K1: replace the table contents; the declared schema is kept."""
+                    partition_by: list[str] | None = None, stamped: bool = False) -> None:
+    """K1: replace the table contents; the declared schema is kept. ``stamped``
+    adds the load time (K7)."""
     out = conform(df, schema, keep=partition_by) if schema is not None else df
+    out = stamp(out) if stamped else out
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -15,7 +15,8 @@ EAGER = {"src_csv_typed", "stream_replay_events", "stream_select", "stream_windo
          "stream_alerts", "stream_dual_sink", "stream_raw_archive", "stream_dedup",
          "stream_late_drop", "stream_arrival_windows", "sink_table_overwrite",
          "sink_table_append", "sink_json_alerts", "serve_alert_docs", "batch_job",
-         "hotspots_kmeans", "serve_hotspots"} | {k for k in QUERIES if k.startswith("stream_topology_")}
+         "hotspots_kmeans", "serve_hotspots"} | {
+             k for k in QUERIES if k.startswith(("stream_", "serve_"))} | {"src_csv_quarantine", "first_in_file_order", "load_stamp"}
 
 
 def plan(df) -> str:
@@ -92,3 +93,47 @@ def test_left_join_reuses_dedup_partitioning(spark):
         spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
     assert "SortMergeJoin" in text and "LeftOuter" in text
     assert text.count("Exchange hashpartitioning(case_number") == 2
+
+
+def test_shared_aggregates_scan_each_input_once(spark):
+    """The metric sets are one pass over the violence rows; both paired series
+    share the district rates (orders are read once, by the join)."""
+    metrics = plan(rollups.metrics_all(catalog.violence(spark, SF_SMALL)))
+    assert metrics.count("lineitem.parquet") == 1 and metrics.count("Expand") == 1
+    assert plan(rollups.metrics_all(catalog.violence(spark, SF_SMALL), "union")).count("lineitem.parquet") == 3
+    pairs = plan(catalog.pairs(spark, SF_SMALL))
+    assert pairs.count("orders.parquet") == 1 and pairs.count("lineitem.parquet") == 2  # arrests and violence
+
+
+def test_metric_forms_agree_with_null_keys(spark):
+    rows = [("HOMICIDE", "Y", "001", "1", "A"), (None, "NO", None, None, None), (None, None, "001", "1", None), ("BATTERY", "YES", None, "2", "A")]
+    v = spark.createDataFrame(rows, "incident_primary string, gunshot_injury string, district string, month string, community_area string")
+    a, b = rollups.metrics_all(v), rollups.metrics_all(v, "union")
+    assert a.columns == b.columns and a.dtypes == b.dtypes
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_left_join_splits_heavy_keys(spark):
+    """Half of the facts on one case number and a quarter on none: every task of
+    the sort-merge join gets about the same number of rows."""
+    from pyspark.sql import functions as F
+    facts = spark.range(40_000).select(
+        F.when(F.col("id") % 4 < 2, F.lit("JC1")).when(F.col("id") % 4 == 2, F.concat(F.lit("K"), F.col("id"))).alias("case_number"), "id")
+    dim = spark.range(30_000).select(F.when(F.col("id") == 7, F.lit("JC1")).otherwise(F.concat(F.lit("K"), F.col("id"))).alias("case_number"),
+                                     F.col("id").alias("arrest"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        assert linkage.heavy_keys(facts, "case_number", 16) == ["JC1"]
+        out = linkage.join_left_split(facts, dim, "case_number")
+        assert "SortMergeJoin" in plan(out)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        whole = sorted(r["count"] for r in linkage.join_left_dedup(facts, dim, "case_number").groupBy(F.spark_partition_id().alias("p")).count().collect())
+        same = linkage.join_left_dedup(facts, dim, "case_number")
+        assert out.exceptAll(same).count() == 0 and same.exceptAll(out).count() == 0 and out.columns == same.columns
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2] and whole[-1] > 10 * whole[len(whole) // 2]

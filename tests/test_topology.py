@@ -216,3 +216,86 @@ def test_update_mode_leaves_the_newest_version(spark):
     assert [(r.district, r.event_count) for r in sink.table.read(spark).collect()] == [("001", 30)]
     assert [(r.threshold, r.event_count) for r in sink.docs.read(spark).collect()] == [(0, 30)]
     assert sink.ledger.last(spark, "nobody") == -1
+
+
+def test_dedup_table_opens_its_own_days_only(spark, monkeypatch):
+    from blotter.sinks.merge import DedupTable
+    schema = "k string, at timestamp, v int"
+    sink = DedupTable(scratch_path(spark, "t-dedup-days"), ["k"], "at")
+    opened = []
+    inner = DedupTable._opened
+    monkeypatch.setattr(DedupTable, "_opened", lambda self, s, days: opened.append(inner(self, s, days)) or opened[-1])
+
+    def row(k, day, v):
+        import datetime as dt
+        return k, None if day is None else dt.datetime(2024, 1, day, 12), v
+    batches = [[row("a", 1, 2), row("a", 1, 1), row("b", 2, 1), row(None, None, 4)],
+               [row("a", 1, 0), row("c", 3, 1), row(None, None, 3)],
+               [row("hot", 1, i) for i in range(500)] + [row("b", 2, 9), row("d", 2, 5)]]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, schema).repartition(3)
+        sink(df, i)
+        sink(df, i)  # replayed
+    got = sorted(((r.k, r.v) for r in sink.read(spark).collect()), key=repr)
+    assert got == sorted([("a", 1), ("b", 1), (None, 4), ("c", 1), ("hot", 0), ("d", 5)], key=repr)
+    days = [sorted(p.rsplit("=", 1)[1] for p in o) for o in opened]
+    assert days[2] == ["0001-01-01", "2024-01-01"]  # nothing of 2024-01-02, though it holds rows
+    assert days[4] == ["2024-01-01", "2024-01-02"]
+
+
+# ----------------------------------------------------------------- reading
+def test_newest_reads_the_newest_partitions(spark):
+    from blotter.operators import serving
+    from blotter.sinks import tables
+    path = scratch_path(spark, "t-newest")
+    rows = spark.range(60).select(F.timestamp_seconds(F.lit(T0) + F.col("id") * 43_200).alias("ts"), "id")
+    tables.overwrite_table(with_date(rows, "ts", "day"), path, partition_by=["day"])
+    top = serving.newest(spark, path, "ts", "day", 5)
+    assert [r.id for r in top.collect()] == [59, 58, 57, 56, 55]
+    assert len({f.split("day=")[1][:10] for f in top.inputFiles()}) == 4  # two rows a day: 1, 2, then 4 days
+    assert serving.newest(spark, path, "ts", "day", 1000).count() == 60
+    with pytest.raises(FileNotFoundError):
+        serving.newest(spark, path + "-none", "ts", "day")
+
+
+def test_first_rows_keep_file_order(spark):
+    """Files of very different sizes (the scan packs them by size), small splits,
+    a filter before; against the files' lines one after another."""
+    from blotter.sources import files
+    path = scratch_path(spark, "t-first")
+    sizes = [5, 900, 0, 40, 2000, 1]
+    at, want = 0, []
+    for i, n in enumerate(sizes):
+        spark.range(at, at + n, 1, 1).select(F.col("id").cast("string"), F.repeat(F.lit("x"), 30)).write.csv(f"{path}/f{i}")
+        want += [x for x in range(at, at + n) if x % 3]
+        at += n
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+    try:
+        rows = files.with_place(spark.read.schema("id long, x string").csv(f"{path}/f*")).where("id % 3 > 0")
+        for n in (1, 4, 500, 1500, 10_000):
+            got = files.first_rows(rows, n)
+            assert sorted(r.id for r in got.collect()) == want[:n] and got.columns == ["id", "x"]
+        assert files.first_rows(rows, 0).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_quarantine_names_file_and_block(spark):
+    from blotter.schemas import text_schema
+    from blotter.sources import files
+    path = scratch_path(spark, "t-quarantine")
+    spark.createDataFrame([("1,a",), ("2",), ("3,b,c",), ('4,"x,y"',)], "value string").coalesce(1).write.text(f"{path}/one")
+    spark.createDataFrame([("5,d",), ("",), ("6,e,f,g",)], "value string").coalesce(1).write.text(f"{path}/two")
+    good, bad = files.stage_csv_quarantine(spark, f"{path}/*", text_schema(["id", "v"]), scratch_path(spark, "t-quarantined"), header=False)
+    assert sorted(tuple(r) for r in good.collect()) == [("1", "a"), ("4", "x,y"), ("5", "d")]
+    got = sorted((r.raw, r.reason, r.file.split("/")[-2], r.block_start) for r in bad.collect())
+    assert got == [("2", "field_count", "one", 0), ("3,b,c", "field_count", "one", 0), ("6,e,f,g", "field_count", "two", 0)]
+
+
+def test_batch_tables_carry_the_load_time(spark):
+    from blotter.plans.batch import run
+    from tests.conftest import SF_SMALL
+    for name, path in run(spark, SF_SMALL, scratch_path(spark, "t-stamped")).items():
+        stored = spark.read.parquet(path)
+        assert stored.columns[-1] == "generated_at" and stored.where("generated_at is null").count() == 0, name
