@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,34 +46,38 @@ def join_left_dedup(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
 HEAVY_KEYS = 64
 HEAVY_TRACKED = 4096
+SALTS = 32  # per partition that a key would fill: their hashes then fall evenly
 
 
-def heavy_keys(facts: DataFrame, key: str, parts: int, k: int = HEAVY_KEYS) -> list:
+def heavy_keys(facts: DataFrame, key: str, parts: int, k: int = HEAVY_KEYS) -> dict:
     """The at most ``k`` keys that hold more rows than an average one of
-    ``parts`` partitions, from a frequent-items sketch (one bounded sketch a
-    task, merged; NULLs left out). The sketch misses no key with more than
-    1 of ``HEAVY_TRACKED`` rows."""
+    ``parts`` partitions, with the number of partitions that they would fill, from
+    a frequent-items sketch (one bounded sketch a task, merged; NULLs left out).
+    The sketch misses no key with more than 1 of ``HEAVY_TRACKED`` rows."""
     top = facts.where(F.col(key).isNotNull()).agg(
         F.expr(f"approx_top_k(`{key}`, {int(k)}, {HEAVY_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
-    return [t["item"] for t in top.top or [] if t["count"] * parts > top.n]
+    return {t["item"]: t["count"] * parts / top.n for t in top.top or [] if t["count"] * parts > top.n}
 
 
 def join_left_split(facts: DataFrame, dim: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """J1 with frequent keys split: the left equi-join of ``join_left_dedup``.
 
-    Facts of a heavy key, or of no key, are dealt over ``parts`` salts (default:
-    the shuffle partitions); the at most ``HEAVY_KEYS`` rows of the unique right
-    side for heavy keys are repeated per salt. All other rows have salt 0, so
-    nothing else moves more than in the plain join, and no task gets a hot key
-    whole. One aggregate over the key column finds the heavy keys first.
+    Facts of a heavy key, or of no key, are dealt over salts, ``SALTS`` for each
+    of ``parts`` partitions (default: the shuffle partitions) that they would
+    fill; the at most ``HEAVY_KEYS`` rows of the unique right side for heavy keys
+    are repeated per salt, ``SALTS * parts`` rows and some in all. All other rows
+    have salt 0, so nothing else moves more than in the plain join, and no task
+    gets a hot key whole. One aggregate over the key column finds the heavy keys.
     """
     parts = parts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(facts, key, parts)
-    is_heavy = F.col(key).isin(heavy) if heavy else F.lit(False)
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(parts))
-    salted = facts.withColumn("_salt", F.when(F.col(key).isNull() | is_heavy, spread).otherwise(F.lit(0)).cast("long"))
-    salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = dim.withColumn("_salt", F.explode(salts.cast("array<bigint>")))
+    heavy = {k: math.ceil(SALTS * share) for k, share in heavy_keys(facts, key, parts).items()}
+    of = F.lit(None).cast("int")
+    if heavy:
+        of = F.element_at(F.create_map(*[F.lit(x) for pair in heavy.items() for x in pair]), F.col(key))
+    spread = F.pmod(F.monotonically_increasing_id(), F.when(F.col(key).isNull(), SALTS * parts).otherwise(F.coalesce(of, F.lit(1))))
+    salted = facts.withColumn("_salt", spread.cast("long"))
+    salts = F.sequence(F.lit(0), F.coalesce(of, F.lit(1)) - 1)
+    repeated = dim.where(F.col(key).isNotNull()).withColumn("_salt", F.explode(salts.cast("array<bigint>")))
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 

@@ -12,6 +12,7 @@ newest.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,13 @@ class MergeTable:
          .option("partitionOverwriteMode", "dynamic").partitionBy(self.date_col).format(self.fmt).save(self.path))
 
 
+def at_once(*jobs: Callable[[], None]) -> None:
+    """Run independent writes at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(job) for job in jobs]:
+            f.result()
+
+
 class MergeSink:
     """K6 + W9: a foreachBatch sink that merges every batch into a table and a
     document collection. ``versions`` orders several rows of one key within a
@@ -81,8 +89,7 @@ class MergeSink:
         try:
             if rows.isEmpty():
                 return
-            self.docs.merge(self.to_docs(rows))
-            self.table.merge(self.to_table(rows))
+            at_once(lambda: self.docs.merge(self.to_docs(rows)), lambda: self.table.merge(self.to_table(rows)))
         finally:
             rows.unpersist()
 

@@ -40,7 +40,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import windows
 from ..schemas import RESULT_SCHEMAS
-from ..sinks.merge import Ledger, MergeSink, MergeTable, query_id
+from ..sinks.merge import Ledger, MergeSink, MergeTable, at_once, query_id
 from ..sinks.tables import document_frame, with_date
 from . import events as ev
 
@@ -136,18 +136,20 @@ class Topology:
             mark = max((x for x in (before, newest) if x is not None), default=None)
             accepted, rejected = ev.split_parsed(batch)
             kept = [c for c in ("event_id", "key") if c in batch.columns]
-            put(ev.raw_archive(accepted, "arrived_at", kept), "archive", "json")
+            writes = [lambda: put(ev.raw_archive(accepted, "arrived_at", kept), "archive", "json")]
             if seen.accepted < seen.messages:
-                put(batch.where(~ok).select(*kept, "arrived_at", "reason", "raw_json"), "quarantine")
+                writes.append(lambda: put(batch.where(~ok).select(*kept, "arrived_at", "reason", "raw_json"), "quarantine"))
             if seen.late:
-                put(accepted.where("is_late").select(*kept, "arrived_at", "case_number", "district", "event_ts", "raw_json"), "late")
+                writes.append(lambda: put(accepted.where("is_late").select(
+                    *kept, "arrived_at", "case_number", "district", "event_ts", "raw_json"), "late"))
             panes = accepted.where("not is_late").groupBy("district", (F.floor(F.col("window_s") / self.pane) * self.pane).alias("pane_s")) \
                 .agg(F.count(F.lit(1)).alias("n"))
             held = self._open(spark, batch_id).unionByName(panes).groupBy("district", "pane_s").agg(F.sum("n").alias("n")).persist()
+            still = held if mark is None else held.where(F.col("pane_s") + self.size > mark)
+            writes.append(lambda: put(still, "state"))
+            writes.append(lambda: self.alerts.merge(windows.to_alerts(self._ended(held, before, mark), self.threshold)))
             try:
-                self.alerts.merge(windows.to_alerts(self._ended(held, before, mark), self.threshold))
-                still = held if mark is None else held.where(F.col("pane_s") + self.size > mark)
-                put(still, "state")
+                at_once(*writes)
             finally:
                 held.unpersist()
         finally:

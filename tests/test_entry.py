@@ -27,8 +27,7 @@ def test_every_oracle_key_is_a_query():
     q, o = mod.queries(), mod.oracle_sql()
     assert set(o) <= set(q)
     own = {k for k in q if k != "pipeline" and not re.match(r"op\d+_", k)}
-    assert sorted(own - set(o)) == ["bucket_murmur", "hotspots_kmeans", "serve_hotspots",
-                                       "stream_arrival_windows", "stream_late_drop"]
+    assert sorted(own - set(o)) == ["hotspots_kmeans", "serve_hotspots"]
     assert all(callable(f) for f in q.values()) and all(isinstance(s, str) for s in o.values())
 
 

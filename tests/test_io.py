@@ -437,7 +437,7 @@ def test_batch_job_from_csv_files_equals_tables(spark):
     from_tables = main(["batch", "--sf-dir", SF_SMALL, "--out", scratch_path(spark, "t-tab-out"),
                         "--hash", "md5"])
     for name in RESULT_TABLES:
-        a, b = spark.read.parquet(from_csv[name]), spark.read.parquet(from_tables[name])
+        a, b = (spark.read.parquet(x[name]).drop("generated_at") for x in (from_csv, from_tables))
         if name == "hotspots":  # centres depend on the input partitioning
             assert a.agg(F.sum("crime_count")).first()[0] == b.agg(F.sum("crime_count")).first()[0]
             continue

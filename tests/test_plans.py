@@ -126,7 +126,7 @@ def test_left_join_splits_heavy_keys(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        assert linkage.heavy_keys(facts, "case_number", 16) == ["JC1"]
+        assert list(linkage.heavy_keys(facts, "case_number", 16)) == ["JC1"]
         out = linkage.join_left_split(facts, dim, "case_number")
         assert "SortMergeJoin" in plan(out)
         sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
