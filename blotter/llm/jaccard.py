@@ -20,8 +20,9 @@ link when 100 * intersection >= 75 * union.
 5. Links form components.
 
 Rows with a null ``doc_id`` are left out of the result. Rows that share a
-``doc_id`` each give a row and count as one document in links. Other columns
-are ignored.
+``doc_id`` each give a row; with the same text they are one document, with
+different texts they are documents of their own (``vertices``), linked or not
+each by its text. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -247,11 +248,42 @@ def _edges(live: DataFrame, num: int, den: int, block_size: int) -> DataFrame:
     return edges.unionByName(more.groupBy("bin", "sub").applyInArrow(join, "a long, b long"))
 
 
-def jaccard_components(docs: DataFrame, size: int = WORDS, num: int = NUM, den: int = DEN,
-                       block_size: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per document."""
-    docs = docs.where(F.col("doc_id").isNotNull()) \
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _content(text: str = "text"):
+    return F.coalesce(F.md5(F.col(text)), F.lit("null")).alias("hash")
+
+
+def vertices(docs: DataFrame) -> DataFrame | None:
+    """(doc_id, hash, v): a number of its own, ``v``, for each text of the
+    doc_ids that stand on several texts; None if no doc_id does. Numbers are
+    hashes, drawn anew should two of them or a doc_id be equal."""
+    keyed = docs.select("doc_id", _content())
+    shared = cut(keyed.groupBy("doc_id").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+                 .where("low != high").select("doc_id"), "shared")
+    if not shared.limit(1).count():
+        return None
+    texts = cut(keyed.join(shared, "doc_id", "left_semi").distinct(), "shared")
+    draw = 0
+    while True:
+        named = texts.withColumn("v", F.xxhash64(F.lit(draw), "doc_id", "hash"))
+        taken = docs.select(F.col("doc_id").alias("v"))
+        if not (named.groupBy("v").count().where("count > 1").limit(1).count() or named.join(taken, "v", "left_semi").limit(1).count()):
+            return cut(named, "vertices")
+        draw += 1
+
+
+def _numbered(docs: DataFrame, named: DataFrame | None) -> DataFrame:
+    """``docs`` with ``_v``: the number of the row's text, its doc_id as a rule."""
+    if named is None:
+        return docs.withColumn("_v", F.col("doc_id").cast("long"))
+    named = named.select(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash"), F.col("v").alias("_named"))
+    same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.coalesce(F.md5(F.col("text").cast("string")), F.lit("null")) == F.col("_hash"))
+    return docs.join(named, same, "left").withColumn("_v", F.coalesce("_named", F.col("doc_id").cast("long"))).drop("_doc", "_hash", "_named")
+
+
+def _classes(docs: DataFrame, named: DataFrame | None, size: int, num: int, den: int, block_size: int) -> DataFrame:
+    """(v, doc_id, n, component_id, first) per row with a doc_id; ``first`` is the
+    text that stands for its component."""
+    docs = _numbered(docs, named).select(F.col("_v").alias("doc_id"), "text")
     copies = cut(copies_of(docs, "copies"), "copies")
     every = cut(sets(docs, copies, size, num, den), "sets")
     live = every.where("keys is not null")
@@ -260,13 +292,31 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, num: int = NUM, den:
     twins = copies.join(sized.select(F.col("doc_id").alias("rep"), "n").distinct(), "rep").select("doc_id", "rep", "n")
     linked = components(edges.unionByName(
         twins.where("n > 0").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "components")
-    return sized.unionByName(twins.select("doc_id", "n")).join(linked, F.col("doc_id") == linked.v, "left") \
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
+    out = sized.unionByName(twins.select("doc_id", "n")).join(linked, F.col("doc_id") == linked.v, "left") \
+        .select(F.col("doc_id").alias("v"), "n", F.coalesce("comp", "doc_id").alias("comp"))
+    if named is None:
+        return out.select("v", F.col("v").alias("doc_id"), "n", F.col("comp").alias("component_id"), (F.col("v") == F.col("comp")).alias("first"))
+    out = cut(out.join(named.select("v", "doc_id"), "v", "left").withColumn("doc_id", F.coalesce("doc_id", "v")), "classes")
+    first = out.groupBy("comp").agg(F.min(F.struct("doc_id", "v")).alias("low"))
+    return out.join(first, "comp").select("v", "doc_id", "n", F.col("low.doc_id").alias("component_id"), (F.col("v") == F.col("low.v")).alias("first"))
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("doc_id").isNotNull()) \
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def jaccard_components(docs: DataFrame, size: int = WORDS, num: int = NUM, den: int = DEN,
+                       block_size: int = BLOCK) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per document."""
+    docs = _plain(docs)
+    return _classes(docs, vertices(docs), size, num, den, block_size).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
-def jaccard_dedup(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the first document of every component; rows without a
-    ``doc_id`` stay."""
-    comps = jaccard_components(docs, **options)
-    drop = comps.where("doc_id != component_id").select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+def jaccard_dedup(docs: DataFrame, size: int = WORDS, num: int = NUM, den: int = DEN, block_size: int = BLOCK) -> DataFrame:
+    """``docs`` with the first document of every component (the smallest doc_id;
+    of texts that share it, one); rows without a ``doc_id`` stay."""
+    plain = _plain(docs)
+    named = vertices(plain)
+    drop = _classes(plain, named, size, num, den, block_size).where("not first").select(F.col("v").alias("_v")).distinct()
+    return _numbered(docs, named).join(drop, "_v", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -189,5 +189,7 @@ def classify(documents: DataFrame, model: Model, accept: float = ACCEPT) -> Data
 
 
 def accepted(documents: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
-    """The documents that are not rejected, with their columns."""
-    return with_score(documents, model).where(F.col("_q_score") >= accept).select(*documents.columns)
+    """The documents that are not rejected, with their columns. A text without
+    words has nothing to reject and stays, whatever the model's prior."""
+    wordless = ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return with_score(documents, model).where((F.col("_q_score") >= accept) | wordless).select(*documents.columns)

@@ -95,6 +95,19 @@ def test_repeated_rows(spark):
     assert out == [(1, 3, 1), (1, 3, 1), (2, 3, 1)]
 
 
+def test_texts_that_share_a_doc_id(spark):
+    """Each text is linked by itself: B is no copy of A though a copy of A has its doc_id."""
+    a, b, c = "a b c d e f g", "h i j k l m n", "h i j k l m n o"
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, c), (7, None), (8, ""), (8, "p q r s t"), (None, b)]
+    docs = docs_of(spark, rows)
+    out = sorted(tuple(r) for r in jaccard.jaccard_components(docs).collect())
+    assert out == [(1, 3, 1), (5, 3, 1), (5, 3, 5), (5, 3, 5), (7, 0, 7), (7, 4, 5), (8, 0, 8), (8, 1, 8)]
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.jaccard_dedup(docs).collect()), key=repr)
+    assert kept == sorted([(1, a), (5, b), (5, b), (7, None), (8, ""), (8, "p q r s t"), (None, b)], key=repr)
+    two = docs_of(spark, [(3, b), (3, c), (9, "z z z z z")])  # near copies under one doc_id: one stays
+    assert sorted((r.doc_id for r in jaccard.jaccard_dedup(two).collect())) == [3, 9]
+
+
 def test_tree_against_all_pairs():
     rnd = np.random.default_rng(5)
     sets = []

@@ -33,6 +33,7 @@ def brute(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
     model = quality.train(docs, spark.read.parquet(f"{d}/labels.parquet"))
     good = {r.doc_id for r in quality.classify(docs, model).where("predicted = 1").collect()}
+    good |= {r.doc_id for r in docs.collect() if not (r.text or "").strip(" \t\n\v\f\r")}
     rows = dedup_lines([(r.doc_id, r.text) for r in docs.collect() if r.doc_id in good])
     comp = groups(rows)
     rows = [(i, t) for i, t in rows if comp[i][1] == i]
@@ -63,3 +64,13 @@ def test_stages_on_edge_cases(spark):
     from pyspark.sql import functions as F
     assert P.lines(spark, docs, SMALL).where(F.col("doc_id").isNull()).count() == 1
     assert P.near_duplicates(spark, docs, SMALL).where(F.col("doc_id").isNull()).count() == 1
+
+
+def test_wordless_texts_pass_at_any_share(spark):
+    docs = docs_of(spark, [(i, f"good words number {i} stand here") for i in range(40)] + [(100, None), (101, ""), (102, " \n\t"), (103, "bad")])
+    labels = spark.createDataFrame([(i, i % 10 == 0, 0) for i in range(40)], "doc_id long, quality boolean, toxic int") \
+        .selectExpr("doc_id", "cast(quality as int) as quality", "toxic")
+    model = quality.train(docs, labels)
+    assert {100, 101, 102} <= {r.doc_id for r in quality.accepted(docs, model).collect()}
+    shared = docs_of(spark, [(1, "a b c d e f g"), (5, "a b c d e f g"), (5, "h i j k l m n")])
+    assert sorted((r.doc_id, r.text[0]) for r in P.near_duplicates(spark, shared, SMALL).collect()) == [(1, "a"), (5, "h")]
