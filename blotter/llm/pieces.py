@@ -60,6 +60,8 @@ class Pieces:
                 self.rank[p], self.id[p] = sp.get_score(i), i
                 self.bytes_[i] = p.replace(SPACE, " ").encode()
         self.longest = max(map(len, self.id))
+        self.spaced = np.zeros(self.size, np.int64)
+        self.spaced[[i for p, i in self.id.items() if p.startswith(SPACE)]] = 1
         self.text_of = {i: p for p, i in self.id.items()}
         self.power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(self.longest, _P))])
         keys = np.array([self._key(p) for p in self.id], np.uint64)
@@ -226,11 +228,20 @@ class Pieces:
         return ids, np.cumsum(np.concatenate(count))
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
-        """The texts of id sequences."""
+        """The texts of id sequences. A space that begins the first piece with
+        text is the library's own and goes; a space byte there stays. Ids that
+        the vocabulary does not have are an error."""
+        if len(ids) and not 0 <= ids.min() <= ids.max() < self.size:
+            raise ValueError(f"ids run from {ids.min()} to {ids.max()}, the vocabulary from 0 to {self.size - 1}")
         start, size = self.byte_at[ids], self.byte_at[ids + 1] - self.byte_at[ids]
         data = self.byte_pool[ranges(start, size)].tobytes()
-        at = np.concatenate([[0], np.cumsum(size)])[offsets].tolist()
-        return [data[a + 1:b].decode("utf-8", "replace") if b > a else "" for a, b in zip(at, at[1:])]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        at = ends[offsets]
+        first = np.searchsorted(ends, at[:-1], side="right") - 1  # the piece that the text's first byte is of
+        cut = np.zeros(len(first), np.int64)
+        some = at[1:] > at[:-1]
+        cut[some] = self.spaced[ids[first[some]]]
+        return [data[a + c:b].decode("utf-8", "replace") for a, b, c in zip(at.tolist(), at[1:].tolist(), cut.tolist())]
 
 
 _LOADED: dict[str, Pieces] = {}
@@ -255,7 +266,10 @@ def _encoded(model: Pieces, rows: pa.StructArray, column: str):
 def _texts(model: Pieces, column: pa.Array) -> pa.Array:
     filled = column.fill_null(pa.scalar([], column.type)) if column.null_count else column
     offsets = np.asarray(filled.offsets, np.int64)
-    ids = filled.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64)
+    inner = filled.values.slice(offsets[0], offsets[-1] - offsets[0])
+    if inner.null_count:
+        raise ValueError("a list of ids holds a null")
+    ids = inner.to_numpy(zero_copy_only=False).astype(np.int64)
     texts = model.decode(ids, offsets - offsets[0])
     return pa.array([None if e else t for e, t in zip(column.is_null().to_pylist(), texts)], pa.string())
 

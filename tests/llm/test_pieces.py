@@ -38,6 +38,26 @@ def test_odd_texts_equal_the_library(library):
         assert ids == library.encode(t), repr(t)
 
 
+def test_any_ids_decode_as_in_the_library(library):
+    """Sequences that begin within a word, with control or byte pieces, or with several spaces."""
+    model, rnd = pieces.Pieces(pieces.default_path()), random.Random(6)
+    o, space, world = (library.piece_to_id(p) for p in ("o", "▁", "▁world"))
+    lists = [[o, world], [world, o], [1, world], [1, o], [space, world], [space], [], [35], [35, o], [1, 2], [2, space, space, o]]
+    lists += [[rnd.randrange(3, 300 if k % 3 else library.get_piece_size()) for _ in range(rnd.randrange(9))] for k in range(300)]
+    flat, offsets = [i for x in lists for i in x], [0]
+    for x in lists:
+        offsets.append(offsets[-1] + len(x))
+    got = model.decode(pieces.np.array(flat, pieces.np.int64), pieces.np.array(offsets))
+    for x, text in zip(lists, got):
+        want = library.decode(x)
+        assert text == want or "\ufffd" in want, (x, text, want)  # broken UTF-8 is replaced byte by byte or not
+    for bad in ([-1], [library.get_piece_size()]):
+        with pytest.raises(ValueError):
+            model.decode(pieces.np.array(bad), pieces.np.array([0, 1]))
+    with pytest.raises(ValueError):
+        pieces._texts(model, pa.array([[o, None]], pa.list_(pa.int32())))
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "a▁b"), (3, "a▁b"), (None, "x y"), (4, "long " * 40000), (5, "z" * 20000)]
     docs = docs_of(spark, rows).selectExpr("*", "1 as decoded", "2 as `a b`")
