@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 SF_MID = "/root/testdata/sf0.01"
+SF_LARGE = "/root/testdata/sf0.1"
 
 
 @pytest.fixture(scope="session")

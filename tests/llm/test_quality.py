@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from blotter.llm import quality
 from blotter.llm.catalog import QUERIES
 
-from .conftest import SF_MID, docs_of
+from .conftest import SF_LARGE, SF_MID, docs_of
 
 
 def test_held_out_accuracy(spark):
@@ -23,11 +26,11 @@ def test_held_out_accuracy(spark):
 
 def test_votes_against_brute_force():
     rnd = np.random.default_rng(1)
-    counts = np.abs(rnd.normal(size=(60, quality.WIDTH))).astype(np.float32)
+    rows = rnd.normal(size=(60, quality.SKETCH)).astype(np.float32)
     labels = rnd.integers(0, 2, 60)
-    m = quality.Model.fit(counts, labels, dims=20)
-    score = m.score(counts, k=7, block=16)
-    x = m.weigh(counts.copy(), m.idf) @ m.basis
+    m = quality.Model.fit(np.ones(quality.WIDTH), rows, labels, dims=20)
+    score = m.score(rows, k=7, block=16)
+    x = rows @ m.basis
     for i in range(60):
         cos = [float(x[i] @ v / np.linalg.norm(x[i])) for v in m.vectors]
         top = np.argsort(cos)[-7:]
@@ -35,6 +38,53 @@ def test_votes_against_brute_force():
         assert abs(score[i] - (w * labels[top]).sum() / w.sum()) < 1e-4
 
 
+def _named_terms(text):
+    """(field, term) pairs by plain Python."""
+    low = re.findall(r"[^ \t-\r]+", "".join(c.lower() if c.isascii() else c for c in text))
+    kind = lambda c: "A" if "A" <= c <= "Z" else "a" if "a" <= c <= "z" or ord(c) > 127 else "0" if "0" <= c <= "9" else c
+    shape = [re.sub(r"(.)\1+", r"\1", "".join(map(kind, w))) for w in re.findall(r"[^ \t-\r]+", text)]
+    return [[(w,) for w in low], list(zip(low, low[1:])), [(w,) for w in shape] + list(zip(shape, shape[1:]))]
+
+
+def test_terms_and_weights_against_brute_force(spark):
+    texts = ["One one TWO!! two 2024", "", None, "é\u00c9t\u00e9 one  two\n3,14", "one one one one", " \t", "AA\u00e9a x", "x"]
+    idf = quality.weights(docs_of(spark, list(enumerate(texts))))
+    named = [_named_terms(t or "") for t in texts]
+    parts = [x for _, _, x in quality._parts(pa.array(texts))]
+    doc, term, count = parts[0]
+    for i, fields in enumerate(named):
+        for f, got in enumerate(fields):
+            mine = (doc == i) & (term // quality.VOCAB == f)
+            assert sorted(count[mine]) == sorted(Counter(got).values())
+            for t, c in zip(term[mine], count[mine]):
+                have = [sum(1 for other in named if x in other[f]) for x, n in Counter(got).items() if n == c]
+                assert any(abs(idf[t] - (np.log((1 + 5) / (1 + n)) + 0.3)) < 1e-9 for n in have)
+    rows = quality.sketch(len(texts), parts[0], idf)
+    assert [bool(r.any()) for r in rows] == [True, False, False, True, True, False, True, True]
+
+
+def test_ablation_of_fields(spark):
+    """Ablation on held-out rows: AUC of all fields, and of each field left out."""
+    docs, labels = (spark.read.parquet(f"{SF_LARGE}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.join(labels.where("quality is not null").dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "text", "quality").collect()
+    idf = quality.weights(docs)
+    held = np.array([zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows])
+    truth = np.array([r.quality for r in rows])
+
+    def auc(fields):
+        parts = []
+        for i, j, (doc, term, count) in quality._parts(pa.array([r.text for r in rows])):
+            use = np.isin(term // quality.VOCAB, fields)
+            parts.append(quality.sketch(j - i, (doc[use], term[use], count[use]), idf))
+        x = np.concatenate(parts)
+        score = quality.Model.fit(idf, x[~held], truth[~held]).score(x[held])
+        good, bad = score[truth[held] == 1], score[truth[held] == 0]
+        return ((good[:, None] > bad) + 0.5 * (good[:, None] == bad)).mean()
+
+    got = {f: auc(f) for f in ((0, 1, 2), (0, 1), (0, 2), (1, 2), (2,))}
+    assert got[0, 1, 2] >= 0.98 and got[0, 1] >= 0.9
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "word " * 60000), (4, "word " * 3), (None, "A text of words."), (5, "x")]
     docs = docs_of(spark, rows).selectExpr("*", "1 as score", "2 as quality", "3 as counts")
