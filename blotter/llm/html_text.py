@@ -5,15 +5,20 @@
    parents that add nothing but block text (``_climb``). That container's
    generalised path (tag and class from the root, digits as #) is the page's
    vote.
-2. Votes (weighted by the text behind them) are summed per host and path in
-   Spark, next to the weight of all pages that hold the path; every path keeps
-   its sums.
+2. Votes are summed per host and path in Spark, next to the weight of all pages
+   that hold the path; every path keeps its sums. A vote weighs the number of
+   binary digits of its score, so a page of little text counts less, but a few
+   pages with very long listings do not outvote their host.
 3. A page's own containers meet their paths' sums. A path's support is the
    share of the other pages holding it that vote for it; a page's own choice
    counts as supported by half at least, so another path of the page overrules
    it only with a larger support (ties: the page's own, then the larger text).
-4. Every page is read again and gives the text of its path, or of its own best
-   container where nothing overruled it.
+4. Every page is read again and gives the text of its winning path. A page
+   that no path overruled has its own vote as winner, which the second reading
+   finds again, so only overruled pages need a row of the join.
+
+A path travels as a 16-byte hash of its steps (``_Node.key``). Time and memory
+of a page grow in proportion to its length, however deep its elements stand.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by element, role and class or id word. What such a
@@ -34,6 +39,8 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -72,23 +79,57 @@ _DIGITS = re.compile(r"\d+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "path", "skip", "own", "items", "order", "links", "words", "soft")
-
-    def __init__(self, tag, parent, path, skip, order):
-        self.tag, self.parent, self.path, self.skip, self.order = tag, parent, path, skip, order
+    """An element. Its path is not held as text, which would take depth times
+    depth characters on a deep page, but as ``key``, a hash of the parent's key
+    and the element's step."""
+    __slots__ = ("tag", "parent", "step", "key", "skip", "own", "items", "order", "links", "words", "soft",
+                 "inside", "box", "block")
+
+    def __init__(self, tag, parent, step, skip, order):
+        self.tag, self.parent, self.step, self.skip, self.order = tag, parent, step, skip, order
+        self.key = b"" if parent is None else parent.key if not step else \
+            blake2b(step.encode("utf-8", "replace"), key=parent.key, digest_size=16).digest()
+        # in an article or main; nearest box and, below it, nearest block (the element itself counts)
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
+        self.box = order if parent is None or tag in BOXES else parent.box
+        self.block = self if tag in BLOCKS else None if parent is None or tag in BOXES else parent.block
         self.own = 0
         self.links = 0
         self.words = ""
         self.soft = 0  # 1: left out unless it holds the main text, 2: the same, of a kind in ASIDES
         self.items: list = []  # text, or child nodes
 
+    @property
+    def path(self) -> str:
+        """The generalised path as text."""
+        steps, node = [], self
+        while node is not None:
+            if node.step:
+                steps.append(node.step)
+            node = node.parent
+        return "".join("/" + x for x in reversed(steps))
+
 
 def parse(page: str) -> list[_Node]:
     """The page's elements in page order; the first is the root. Skipped
-    elements are kept as nodes whose text is not collected."""
+    elements are kept as nodes whose text is not collected. ``held`` counts the
+    open elements by name, those that are no boxes by the box they stand in, so
+    a closing tag looks for its element only where there is one."""
     root = _Node("#root", None, "", False, 0)
     nodes, at, pos = [root], root, 0
-    raw_end = None
+    held: Counter = Counter()
+
+    def spot(tag, box):
+        return tag if tag in BOXES else (box, tag)
+
+    def leave(node):
+        """Close everything up to and with ``node``."""
+        here = at
+        while here is not node.parent:
+            held[spot(here.tag, here.box)] -= 1
+            here = here.parent
+        return here
+
     for m in _TOKEN.finditer(page):
         if m.start() < pos:
             continue
@@ -100,45 +141,42 @@ def parse(page: str) -> list[_Node]:
             continue
         name = name.lower()
         if m.group(1):
-            node = at
-            while node is not None and node.tag != name:
-                # a closing tag does not reach out of the box it stands in
-                if node.tag in BOXES and name not in BOXES:
-                    node = None
-                    break
-                node = node.parent
-            if node is not None and node.parent is not None:
-                at = node.parent
+            # a closing tag does not reach out of the box it stands in
+            if held[spot(name, at.box)] > 0:
+                node = at
+                while node.tag != name:
+                    node = node.parent
+                at = leave(node)
             continue
         if name in VOID:
             if name in ("br", "hr") and not at.skip:
                 at.items.append(" ")
             continue
         if name in BLOCKS or name in BOXES:  # implied ends: a block ends at the next block or box
-            node = at
-            while node.parent is not None and node.tag not in BOXES:
-                if node.tag == "p" or (node.tag in BLOCKS and (node.tag == name or name in BLOCKS
-                                                               and node.tag not in ("li", "td", "th", "dd", "blockquote"))):
-                    at = node.parent
-                node = node.parent
+            node, ends = at.block, None
+            while node is not None:
+                if node.tag == "p" or node.tag == name or (name in BLOCKS
+                                                           and node.tag not in ("li", "td", "th", "dd", "blockquote")):
+                    ends = node
+                node = node.parent.block
+            if ends is not None:
+                at = leave(ends)
         attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(m.group(3))} if m.group(3) else {}
         cls = " ".join(sorted(attrs.get("class", "").split()))
         step = name + ("." + _DIGITS.sub("#", cls.replace(" ", ".")) if cls else "")
         words = LAYOUT.sub("", f"{attrs.get('class', '')} {attrs.get('id', '')}").strip()
-        inside = at
-        while inside is not None and inside.tag not in ("article", "main"):
-            inside = inside.parent
+        inside = at.inside or at.tag in ("article", "main")
         skip = at.skip or name in SKIP
         soft = 0
         if name not in ("html", "body", "article", "main"):
-            text = name in HEADINGS or (name in ("p", "pre", "blockquote") and inside is not None)
+            text = name in HEADINGS or (name in ("p", "pre", "blockquote") and inside)
             if words and (TEXT_BOILERPLATE if text else BOILERPLATE).search(words):
                 soft = 2 if ASIDES.search(words) else 1
-            elif name in SOFT or (name == "header" and inside is None) or attrs.get("role", "") in (
+            elif name in SOFT or (name == "header" and not inside) or attrs.get("role", "") in (
                     "navigation", "banner", "contentinfo", "complementary", "search"):
                 soft = 1
         inline = name not in BOXES and name not in BLOCKS
-        child = _Node(name, at, at.path if inline else f"{at.path}/{step}", skip, len(nodes))
+        child = _Node(name, at, "" if inline else step, skip, len(nodes))
         child.words, child.soft = words, soft
         nodes.append(child)
         if not skip:
@@ -149,6 +187,7 @@ def parse(page: str) -> list[_Node]:
             continue
         if not m.group(3).endswith("/"):
             at = child
+            held[spot(name, child.box)] += 1
     if pos < len(page) and not at.skip:
         at.items.append(page[pos:])
     return _settle(nodes)
@@ -358,45 +397,37 @@ def vote(page: str | None) -> tuple[str, int] | None:
     return (node.path, node.own) if node.own > 0 else None
 
 
-def candidates(page: str | None) -> list[tuple[str, int, bool, int]]:
-    """(path, text size, is the page's vote, the vote's score) of the page's containers."""
+def candidates(page: str | None) -> list[tuple[bytes, int, bool, int]]:
+    """(path's key, text size, is the page's vote, the vote's weight) of the page's containers."""
     if not page:
         return []
     nodes = parse(page)
     node = best(nodes)
     if node.own <= 0:
         return []
-    sizes: dict[str, int] = {node.path: 0}
+    sizes: dict[bytes, int] = {node.key: 0}
     for n in nodes:
         if not n.skip and n.own > 0 and (n.tag in BOXES or n is node):
-            sizes[n.path] = sizes.get(n.path, 0) + n.own
-    return [(path, size, path == node.path, node.own) for path, size in sizes.items()]
+            sizes[n.key] = sizes.get(n.key, 0) + n.own
+    return [(key, size, key == node.key, node.own.bit_length()) for key, size in sizes.items()]
 
 
-def extract(page: str | None, paths: list[str] | None) -> str:
-    """Text of the page by the first of ``paths`` it has, or its best container."""
+def extract(page: str | None, key: bytes | None) -> str:
+    """Text of the page's containers with the path ``key``; its best container's
+    where it has no text there or no key is given. Containers of one path never
+    stand in one another: a nested one has a longer path."""
     if not page:
         return ""
     nodes = parse(page)
-    for path in paths or []:
-        found = [n for n in nodes if n.path == path and not n.skip and n.tag in BOXES]
-        text = "\n".join(b for n in found for b in _blocks(n) if not _nested(n, found))
+    if key is not None:
+        text = "\n".join(b for n in nodes if n.key == key and not n.skip and n.tag in BOXES for b in _blocks(n))
         if text:
             return text
     return "\n".join(_blocks(best(nodes)))
 
 
-def _nested(node: _Node, found: list[_Node]) -> bool:
-    up = node.parent
-    while up is not None:
-        if up in found:
-            return True
-        up = up.parent
-    return False
-
-
-_CANDIDATES = pa.schema([("host", pa.string()), ("key", pa.binary()), ("path", pa.string()), ("size", pa.int64()),
-                         ("own", pa.bool_()), ("score", pa.int64())])
+_CANDIDATES = pa.schema([("host", pa.string()), ("key", pa.binary()), ("path", pa.binary()), ("size", pa.int64()),
+                         ("own", pa.bool_()), ("weight", pa.int64())])
 
 
 def _candidates(batches):
@@ -408,7 +439,7 @@ def _candidates(batches):
 def _texts(batches):
     for b in batches:
         paths, pages = b.column("path").to_pylist(), b.column("html").to_pylist()
-        text = pa.array([extract(p, None if w is None else [w]) for p, w in zip(pages, paths)], pa.string())
+        text = pa.array([extract(p, w) for p, w in zip(pages, paths)], pa.string())
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("host"), text],
                                          ["page_id", "url", "host", "text"])
 
@@ -423,11 +454,11 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     base = pages.select("page_id", "url", "html", host.alias("host"))
     key = F.unhex(F.md5(F.concat("host", F.lit("\n"), "html")))
     found = cut(base.select("host", key.alias("key"), "html").mapInArrow(
-        _candidates, "host string, key binary, path string, size long, own boolean, score long"), "containers")
-    sums = cut(found.groupBy("host", "path").agg(F.sum(F.when(F.col("own"), F.col("score")).otherwise(0)).alias("votes"),
-                                                 F.sum("score").alias("holders")).where("votes > 0"), "votes")
-    mine = F.when(F.col("own"), F.col("score")).otherwise(0)
-    support = F.coalesce(F.try_divide(F.col("votes") - mine, F.col("holders") - F.col("score")), F.lit(0.0))
+        _candidates, "host string, key binary, path binary, size long, own boolean, weight long"), "containers")
+    sums = cut(found.groupBy("host", "path").agg(F.sum(F.when(F.col("own"), F.col("weight")).otherwise(0)).alias("votes"),
+                                                 F.sum("weight").alias("holders")).where("votes > 0"), "votes")
+    mine = F.when(F.col("own"), F.col("weight")).otherwise(0)
+    support = F.coalesce(F.try_divide(F.col("votes") - mine, F.col("holders") - F.col("weight")), F.lit(0.0))
     rated = found.join(sums, ["host", "path"]).withColumn(
         "support", F.when(F.col("own"), F.greatest(support, F.lit(0.5))).otherwise(support)).where("own or support > 0.5")
     overruled = rated.groupBy("key").agg(F.max(F.struct("support", "own", "size", "path")).alias("w")) \

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import html
 import re
+import tracemalloc
+from collections import Counter
 
-from blotter.llm.html_text import best, extract, extract_pages, parse, vote
+from blotter.llm.html_text import best, candidates, extract, extract_pages, parse, vote
 
 from .conftest import SF_MID
 
@@ -122,3 +124,36 @@ def test_every_template_of_a_host_keeps_its_votes(spark):
         rows.append((len(rows), "http://h/z", f"<body>{side}<p>{i}</p></body>"))
     got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
     assert {k: got[k] for k in want} == want
+
+
+def test_votes_decide_on_the_tables_pages_with_long_listings(spark):
+    """Every fifth page gets a listing longer than its article: alone it is
+    read wrong, by the votes of a host with enough other pages it is read right."""
+    rows, want, odd = [], {}, set()
+    for r in spark.read.parquet(f"{SF_MID}/pages.parquet").orderBy("page_id").collect():
+        text = r.html
+        if len(rows) % 5 == 0 and "</article>" in text:
+            odd.add(len(rows))
+            text = text.replace("</article>", "</article><div class=listing>" + "<p>Other things to read on this site.</p>"
+                                * (len(text) // 20) + "</div>", 1)
+        want[len(rows)] = plain(text)
+        rows.append((len(rows), r.url, text))
+    alone = {i: extract(text, None) for i, _, text in rows}
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
+    # hosts where the pages without a listing are twice as many as those with one
+    host = {i: re.sub(r"^\w+://([^/]*).*", r"\1", url or "") for i, url, _ in rows}
+    pages, odds = Counter(host.values()), Counter(host[i] for i in odd)
+    clear = {i for i in host if pages[host[i]] >= 3 * odds[host[i]]}
+    assert len(clear & odd) >= 25 and all(alone[i] != want[i] for i in odd)
+    assert {i: got[i] for i in clear} == {i: want[i] for i in clear}
+
+
+def test_deep_pages_take_memory_in_proportion_to_their_length():
+    for page in ("<div>" * 200_000 + "<p>in</p>", "<div>ab" * 140_000, "<b><p>x" * 140_000,
+                 "<div>" * 100_000 + "</section>" * 50_000):
+        tracemalloc.start()
+        found = candidates(page)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200 << 20 and all(len(f[0]) <= 16 for f in found)
+    assert extract("<div>" * 200_000 + "<p>in</p>", None) == "in"
