@@ -6,7 +6,6 @@ ANSI mode stays on, so every conversion of untrusted text goes through a
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,10 +25,6 @@ def parse_event_time(col: Column | str, fmt: str = EVENT_TIME_FORMAT) -> Column:
     return F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp_ntz")
 
 
-def format_event_time(col: Column | str, fmt: str = EVENT_TIME_FORMAT) -> Column:
-    return F.date_format(_c(col), fmt)
-
-
 def to_bool(col: Column | str) -> Column:
     """Spark's text-to-boolean cast: true/t/1/yes/y and their negations, else NULL."""
     return _c(col).try_cast("boolean")
@@ -67,11 +62,6 @@ def is_empty(col: Column | str) -> Column:
     return c.isNull() | (c == F.lit(""))
 
 
-def all_present(cols: list[str], blank=is_blank) -> Column:
-    """Conjunction of "field present" tests over ``cols``."""
-    return reduce(lambda a, b: a & b, [~blank(F.col(c)) for c in cols])
-
-
 def first_missing(cols: list[str], blank=is_blank) -> Column:
     """Name of the first field (in ``cols`` order) that is missing, else NULL."""
     out = F.lit(None).cast("string")

@@ -14,6 +14,8 @@ from ..functions.codes import normalize_code
 from ..functions.parse import parse_event_time, to_bool, to_double, to_int
 
 
+# The (header, column) pairs of the five projections below are the
+# input files' headers and the result tables' column names.
 def clean_crimes(raw: DataFrame) -> DataFrame:
     """P1 + P6: typed crime rows; rows without a case number are dropped."""
     return raw.select(

@@ -8,7 +8,6 @@ the session has none (local runs and tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -82,11 +81,6 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def ensure_local_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
-
-
 # Bytes per task the sizing aims at, and the cap on initial
 # shuffle partitions (AQE coalesces what turns out small).
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024

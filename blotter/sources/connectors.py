@@ -8,7 +8,7 @@ the registered queries use.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
@@ -79,7 +79,3 @@ def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str])
     """K2: append rows (make replays idempotent with ``sinks.tables.append_batch``
     or a unique key on the table)."""
     df.write.mode("append").jdbc(url, table, properties=properties)
-
-
-def json_payload(*cols: str) -> Column:
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))
