@@ -140,3 +140,17 @@ def test_a_secret_behind_a_long_path_scores_like_the_secret():
     plain, behind = b"/srv/app/config/releases/current" * 3, b"/srv/app/config/releases/current" * 3 + b"Q7ab"
     score = lambda t: net.score(S.padded(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0], np.array([S.WIDTH]), np.array([S.WIDTH + len(t)]))[0]
     assert score(behind) > 0.5 > score(plain)
+
+
+def test_training_reads_every_document(spark):
+    """Any document's finding counts: trained on or held out, whatever its doc_id,
+    its place in the text and the number of ordinary candidates before it."""
+    plain = " ".join(["ordinaryword"] * 40)
+    rows = [(i, f"{plain} api_key={i:04d}abcdEFGHijklMNOP") for i in range(1200)] + [(None, "password=Zz9Yy8Xx7Ww6Vv5")]
+    net = S.train(docs_of(spark, rows).repartition(5))
+    held = {label: int(net.held[net.held[:, 1] == label][:, 2].sum()) for label in (0, 1)}
+    values = [f"{i:04d}abcdEFGHijklMNOP" for i in range(1200)] + ["Zz9Yy8Xx7Ww6Vv5"]
+    side = lambda v: bool(S.is_held(np.frombuffer(v.encode(), np.uint8), np.array([0]), np.array([len(v)]))[0])
+    assert held[1] == 2 * sum(map(side, values)) > 400  # in context and without
+    assert held[0] == 2 * 40 * 1200 * side("ordinaryword")
+    assert net.held_recall >= S.RECALL
