@@ -23,6 +23,9 @@ from .sql import ctes, register_cte
 BATCHES = 3
 ARRIVAL_STEP_S, SIZE_S, SLIDE_S, THRESHOLD = 30, 300, 60, 2
 EPOCH_S = 1_704_067_200
+# A batch lies in few partitions of the table and a file's row group is parsed by one
+# task: files this small give the parse and the archive a task per core at any size.
+MESSAGES_PER_FILE = 50_000
 LATE_SIZE_S, LATE_SLIDE_S, DELAY_S = 86_400, 21_600, 10 * 86_400
 
 register_cte("arrived", f"SELECT *, make_timestamp(({EPOCH_S} + event_id * {ARRIVAL_STEP_S}) * 1000000) AS arrived_at FROM accepted",
@@ -45,7 +48,7 @@ def _run(spark, d, by_arrival=True, threshold=THRESHOLD, close=True):
         batch, arrival = F.col("event_id") % BATCHES, None
     size, slide, delay = (SIZE_S, SLIDE_S, 0) if by_arrival else (LATE_SIZE_S, LATE_SLIDE_S, DELAY_S)
     for i in range(BATCHES):
-        msgs.where(batch == i).write.parquet(f"{source}/part={i}")
+        msgs.where(batch == i).write.option("maxRecordsPerFile", MESSAGES_PER_FILE).parquet(f"{source}/part={i}")
         stream = runner.file_stream(spark, source, runner.MESSAGE_SCHEMA, max_files=1_000_000)  # all new files are one batch
         query, sink = topology.run_once(stream, out, size, slide, threshold, by_arrival=by_arrival, delay_s=delay, arrival=arrival)
     if close:

@@ -1,9 +1,9 @@
 """Merging sinks: one row per key in a result table and in a document
 collection, however often a row is delivered (K2, K3, K6, W9).
 
-A merge reads only the date partitions that the new rows fall into (the join
-against their dates prunes the scan), replaces the rows with the same key and
-rewrites those partitions with a dynamic overwrite. Merging the same rows again
+A merge opens and lists only the date partitions that the new rows fall into,
+so its cost does not grow with the table's age; it replaces the rows with the
+same key and rewrites those partitions with a dynamic overwrite. Merging the same rows again
 changes nothing, so a replayed batch, a restarted query and an ``update`` mode
 query that sends several versions of a row all leave one row per key, the
 newest.
@@ -13,21 +13,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.files import glob_paths
+from ..sources.files import existing, glob_paths
 
 
-def merge_rows(current: DataFrame | None, new: DataFrame, key: list[str]) -> DataFrame:
-    """``new`` in place of the rows of ``current`` with the same key. ``new`` has
-    one row per key; keys are never NULL."""
-    if current is None:
-        return new
-    return current.join(new.select(*key), key, "left_anti").unionByName(new.select(*current.columns))
+def merge_rows(current: DataFrame, new: DataFrame, keys: DataFrame) -> DataFrame:
+    """``new`` in place of the rows of ``current`` with the same key; ``keys`` are
+    those of ``new`` that ``current`` may hold. Each key is in ``new`` once and never NULL."""
+    return current.join(keys, keys.columns, "left_anti").unionByName(new.select(*current.columns))
 
 
 class MergeTable:
@@ -47,16 +46,27 @@ class MergeTable:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).format(self.fmt).load(self.path)
 
+    def _stored(self, new: DataFrame) -> list[str]:
+        """The days of ``new`` that the table holds; the driver sees one value a day of the batch."""
+        spark = new.sparkSession
+        if not existing(spark, [self.path]):
+            return []
+        days = new.where(F.col(self.date_col).isNotNull()).select(F.date_format(self.date_col, "yyyy-MM-dd").alias("day")).distinct()
+        at = {f"{self.path}/{self.date_col}={r.day}": r.day for r in days.collect()}
+        return sorted(at[p] for p in existing(spark, list(at)))
+
     def merge(self, new: DataFrame) -> None:
         """Add ``new``, or put it in place of stored rows with its keys."""
         spark = new.sparkSession
         new = new.select(*[f.name for f in self.schema.fields])
-        current = None
-        if glob_paths(spark, f"{self.path}/{self.date_col}=*"):
-            # dates of one batch: a row per day it touches
-            days = F.broadcast(new.select(self.date_col).distinct())
-            current = self.read(spark).join(days, self.date_col, "left_semi")
-        (merge_rows(current, new, self.key).hint("rebalance", self.date_col).write.mode("overwrite")
+        days, rows = self._stored(new), new
+        if days:
+            current = spark.read.schema(self.schema).option("basePath", self.path).format(self.fmt) \
+                .load([f"{self.path}/{self.date_col}={d}" for d in days])
+            # rows of other days replace nothing
+            again = new.where(F.col(self.date_col).isin([date.fromisoformat(d) for d in days]))
+            rows = merge_rows(current, new, again.select(*self.key))
+        (rows.hint("rebalance", self.date_col).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(self.date_col).format(self.fmt).save(self.path))
 
 

@@ -106,6 +106,15 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in (found or []))
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of ``paths`` (of one file system) that exist; metadata only, one look-up each."""
+    if not paths:
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(paths[0]).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [p for p in paths if fs.exists(path(p))]
+
+
 def resolve_first(spark: SparkSession, pattern: str) -> str:
     """S4, reference form: the first sorted match; an error when none."""
     paths = glob_paths(spark, pattern)

@@ -201,6 +201,48 @@ def test_merge_replaces_rows_and_reads_touched_dates_only(spark):
     assert "dynamicpruning" in text.lower()
 
 
+def test_merge_lists_the_days_of_its_rows_only(spark):
+    """Days that a batch does not touch are neither listed nor read, however many there are."""
+    table = MergeTable(scratch_path(spark, "t-merge-days"), ["district", "alert_timestamp"],
+                       RESULT_SCHEMAS["alerts"], topology.ALERT_DATE)
+
+    def shape(rows):
+        return with_date(windows.alert_payload(alerts(spark, rows)), "alert_timestamp", topology.ALERT_DATE)
+    day = 86_400
+    table.merge(shape([("1", i * day, 5) for i in range(5)]))
+    # listing the whole table would stop at a folder that is no date
+    spark.range(1).write.parquet(f"{table.path}/{topology.ALERT_DATE}=aside")
+    new = shape([("1", 4 * day, 50), ("2", 4 * day, 7), ("1", 9 * day, 8)])
+    assert table._stored(new) == ["2024-01-05"]
+    table.merge(new)
+    table.merge(new)
+    days = [f"{table.path}/{topology.ALERT_DATE}=2024-01-{d:02}" for d in (1, 2, 3, 4, 5, 10)]
+    got = spark.read.option("basePath", table.path).parquet(*days).collect()
+    assert sorted((str(r.alert_date)[-2:], r.district, r.event_count) for r in got) == [
+        ("01", "1", 5), ("02", "1", 5), ("03", "1", 5), ("04", "1", 5), ("05", "1", 50), ("05", "2", 7), ("10", "1", 8)]
+
+
+def test_a_batch_from_one_partition_is_parsed_by_many_tasks(spark, monkeypatch, tmp_path):
+    """The messages of a table that lies in one row group come as many files."""
+    import datetime as dt
+
+    from blotter.plans import topology_queries as tq
+    at = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(i, at + dt.timedelta(seconds=i), i % 7, "click", 10.0, '{"k": 1}') for i in range(900)],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(tq, "MESSAGES_PER_FILE", 50)
+    folders = []
+    inner = tq.scratch_path
+    monkeypatch.setattr(tq, "scratch_path", lambda s, name: folders.append(inner(s, name)) or folders[-1])
+    sink = tq._run(spark, str(tmp_path), close=False)
+    for i in range(tq.BATCHES):
+        assert len(set(spark.read.parquet(f"{folders[0]}/part={i}").inputFiles())) == 6
+    ledger = sink.read(spark, "ledger").collect()
+    assert [r.messages for r in sorted(ledger, key=lambda r: r.batch_id)] == [300] * 3
+    assert sink.read(spark, "archive").count() == 900
+
+
 def test_update_mode_leaves_the_newest_version(spark):
     """A native update-mode query sends a window several times; the merging sink
     keeps one row and one document; a batch of an older number is skipped."""
