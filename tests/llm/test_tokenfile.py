@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -72,3 +73,26 @@ def test_damage_is_found(spark):
         .write.parquet(bad)
     with pytest.raises(Exception, match="checksum"):
         t.read(spark, bad).collect()
+
+
+def test_words_of_letters_are_learned_together():
+    """Texts of letters go to the library without a special token between them;
+    letters that it takes apart, and marks after letters of Latin-1, come out as it gives them."""
+    library = Tokenizer.from_file(t.default_path())
+
+    def ids(encoder, texts):
+        return [i for body, _ in encoder.encode(pa.array(texts)) for i in body.tolist()]
+
+    def plainly(texts):
+        return [i for text in texts for i in [*library.encode(text, add_special_tokens=False).ids, t.END]]
+    encoder, marked = t.Encoder(t.default_path()), []
+    inner = encoder._ids
+    encoder._ids = lambda texts, joined: marked.extend(texts) or inner(texts, joined)
+    texts = ["Plain words, osé. canción; único! straße", "ΣΊΣΥΦΟΣ 한국어 文字 ﬁn ŉ"]
+    assert ids(encoder, texts) == plainly(texts)
+    assert sorted(marked) == ["!", ",", ".", ";"]
+    odd = ["İstanbul İ क़अ été. ×. 5×, a÷! ½. don't l'été's é's é|> ª. µ, x² été'", "<|endoftext|> Été. osé|>"]
+    odd += [chr(c) + " " + chr(c) + "." for c in range(0xA1, 0x250)] + [chr(c) * 2 for c in range(0x900, 0x980)]
+    for part in (odd, odd[:1], odd[2:]):
+        assert ids(encoder, part) == plainly(part)
+        assert ids(t.Encoder(t.default_path()), part) == plainly(part)
