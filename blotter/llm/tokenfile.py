@@ -108,8 +108,11 @@ class Encoder:
         # Spark gives a task one core: the library's threads would only add their
         # own memory and hand-over time.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # the file's normalizer and split leave words of a to z as they are: the same model without them
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.mark = self.tokenizer.token_to_id(MARK)
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
@@ -135,23 +138,27 @@ class Encoder:
         ends = np.flatnonzero(ids == self.mark)
         return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
 
-    def _letters(self, texts, joined):
+    def _letters(self, texts, joined, tokenizer=None):
         """``_ids`` of texts of letters alone. Each is one run to the tokenizer, so
         the library gets many with a space between, which costs it less than
         ``MARK``; a piece that ends a run ends the text. Where the ends do not
         agree with the texts (a letter that the tokenizer takes apart), ``_ids``."""
-        got = [e.ids for e in self.tokenizer.encode_batch_fast([" ".join(texts[i:i + RUN]) for i in range(0, len(texts), RUN)],
-                                                               add_special_tokens=False)]
+        runs = [" ".join(texts[i:i + RUN]) for i in range(0, len(texts), RUN)]
+        got = [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(runs, add_special_tokens=False)]
         ids = np.fromiter(chain.from_iterable(got), np.int32)
         ends = np.flatnonzero(self.last[ids])
         if len(ends) != len(texts) or (len(ends) and ends[-1] != len(ids) - 1):
             return self._ids(texts, joined)
         return ids, np.diff(ends, prepend=-1)
 
+    def _ascii(self, texts, joined):
+        return self._letters(texts, joined, self.bare)
+
     def _learn(self, keys, check, texts, joined):
         letters = np.array([t.lower().isalpha() for t in texts], bool)
+        ascii_ = letters & np.array([t.isascii() and t.islower() for t in texts], bool)
         order, got = [], []
-        for of, encode in ((letters, self._letters), (~letters, self._ids)):
+        for of, encode in ((ascii_, self._ascii), (letters & ~ascii_, self._letters), (~letters, self._ids)):
             order.append(np.flatnonzero(of))
             some = [texts[i] for i in order[-1].tolist()]
             got += [encode(some[i:i + LEARN], joined) for i in range(0, len(some), LEARN)]

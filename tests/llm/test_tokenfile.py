@@ -96,3 +96,13 @@ def test_words_of_letters_are_learned_together():
     for part in (odd, odd[:1], odd[2:]):
         assert ids(encoder, part) == plainly(part)
         assert ids(t.Encoder(t.default_path()), part) == plainly(part)
+
+
+def test_words_of_a_to_z_need_no_normalizer():
+    encoder = t.Encoder(t.default_path())
+    words = ["don", "s", "t", "re", "ve", "abcdefghijklmnopqrstuvwxyz", "supercalifragilistic", *[chr(c) for c in range(97, 123)],
+             *[chr(a) + chr(b) for a in range(97, 123) for b in range(97, 123)]] * 2
+    got, sizes = encoder._ascii(words, True)
+    each = [encoder.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert got.tolist() == [i for ids in each for i in ids]
+    assert sizes.tolist() == [len(ids) for ids in each]
