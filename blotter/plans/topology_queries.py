@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..schemas import RESULT_SCHEMAS
 from ..session import scratch_path
 from ..sinks.merge import DedupTable
+from ..sources.files import existing, publish
 from ..streaming import runner, topology
 from .catalog import _alerts_sql, _window_sql, register
 from .io_queries import messages, stream_accepted
@@ -39,7 +40,7 @@ _LATE = f"coalesce(at_s // {LATE_SLIDE_S} * {LATE_SLIDE_S} + {LATE_SIZE_S} <= ma
 
 def _run(spark, d, by_arrival=True, threshold=THRESHOLD, close=True):
     """The stream over all messages, one run a batch; its sink."""
-    source, out = scratch_path(spark, "topology-messages"), scratch_path(spark, "topology")
+    source, staged, out = (scratch_path(spark, name) for name in ("topology-messages", "topology-staged", "topology"))
     msgs = messages(spark, d)
     if by_arrival:
         last = msgs.agg(F.max("event_id")).scalar()
@@ -47,8 +48,13 @@ def _run(spark, d, by_arrival=True, threshold=THRESHOLD, close=True):
     else:
         batch, arrival = F.col("event_id") % BATCHES, None
     size, slide, delay = (SIZE_S, SLIDE_S, 0) if by_arrival else (LATE_SIZE_S, LATE_SLIDE_S, DELAY_S)
+    # One pass writes the messages of all batches: a batch's own lie in few of the scan's tasks.
+    msgs.withColumn("part", batch).write.option("maxRecordsPerFile", MESSAGES_PER_FILE).partitionBy("part").parquet(staged)
     for i in range(BATCHES):
-        msgs.where(batch == i).write.option("maxRecordsPerFile", MESSAGES_PER_FILE).parquet(f"{source}/part={i}")
+        if existing(spark, [f"{staged}/part={i}"]):
+            publish(spark, f"{staged}/part={i}", f"{source}/part={i}")
+        else:  # a batch without messages
+            msgs.limit(0).write.parquet(f"{source}/part={i}")
         stream = runner.file_stream(spark, source, runner.MESSAGE_SCHEMA, max_files=1_000_000)  # all new files are one batch
         query, sink = topology.run_once(stream, out, size, slide, threshold, by_arrival=by_arrival, delay_s=delay, arrival=arrival)
     if close:

@@ -115,6 +115,16 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     return [p for p in paths if fs.exists(path(p))]
 
 
+def publish(spark: SparkSession, path: str, target: str) -> None:
+    """Move a finished folder to ``target``, so that a stream's source sees it whole or not at all."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    to = hpath(target)
+    fs = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(to.getParent())
+    if not fs.rename(hpath(path), to):
+        raise OSError(f"{path} cannot become {target}")
+
+
 def resolve_first(spark: SparkSession, pattern: str) -> str:
     """S4, reference form: the first sorted match; an error when none."""
     paths = glob_paths(spark, pattern)

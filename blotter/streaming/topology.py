@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import windows
-from ..schemas import RESULT_SCHEMAS
+from ..schemas import EVENT_MESSAGE_SCHEMA, RESULT_SCHEMAS, text_schema
 from ..sinks.merge import Ledger, MergeSink, MergeTable, at_once, query_id
 from ..sinks.tables import document_frame, with_date
 from . import events as ev
@@ -47,6 +47,10 @@ from . import events as ev
 STATE = "district string, pane_s long, n long"
 ALERT_DATE = "alert_date"
 ALERT_KEY = ["district", "alert_timestamp"]
+# Fields of an archive document (``ev.raw_archive``) below a file stream; stated, a read makes one pass.
+ARCHIVE_DOCUMENT = T.StructType([
+    T.StructField("event_id", T.LongType()), *text_schema(["key", "case_number", "event_timestamp", "district", "primary_type"]).fields,
+    T.StructField("payload", EVENT_MESSAGE_SCHEMA), T.StructField("ingested_at", T.StringType())])
 # Fields of an alert document as the document store holds them.
 ALERT_DOCUMENT = T.StructType([
     T.StructField("_id", T.StringType()), T.StructField("district", T.StringType()),
@@ -98,19 +102,19 @@ class Topology:
 
     def _ended(self, panes: DataFrame, after: int | None, until: int | None) -> DataFrame:
         """Final counts of the windows that end in (after, until]."""
-        per = -(-self.size // self.slide)
-        last = F.floor(F.col("pane_s") / self.slide)
-        starts = F.transform(F.sequence(F.lit(0), F.lit(per - 1)), lambda i: (last - i) * self.slide)
-        covers = F.filter(starts, lambda s: F.col("pane_s") < s + self.size)
-        ends = panes.select("district", "n", F.explode(covers).alias("start_s")) \
-            .withColumn("end_s", F.col("start_s") + self.size)
+        slide = F.lit(self.slide).cast("long")
+        last = F.floor(F.col("pane_s") / self.slide) * slide
+        first = F.floor((F.col("pane_s") - self.size) / self.slide) * slide + slide
+        # a pane in a gap between windows (slide > size) has none
+        covers = F.when(first <= last, F.sequence(first, last, slide))
+        starts = panes.select("district", "n", F.explode(covers).alias("start_s"))
         if after is not None:
-            ends = ends.where(F.col("end_s") > after)
+            starts = starts.where(F.col("start_s") > after - self.size)
         if until is not None:
-            ends = ends.where(F.col("end_s") <= until)
+            starts = starts.where(F.col("start_s") <= until - self.size)
         at = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
-        return ends.groupBy("district", "start_s", "end_s").agg(F.sum("n").alias("event_count")) \
-            .select("district", at("start_s").alias("window_start"), at("end_s").alias("window_end"), "event_count")
+        return starts.groupBy("district", "start_s").agg(F.sum("n").alias("event_count")) \
+            .select("district", at("start_s").alias("window_start"), at(F.col("start_s") + self.size).alias("window_end"), "event_count")
 
     def _late(self, watermark: int | None) -> Column:
         """No window of the event is open any more (or it has no time)."""
@@ -128,14 +132,16 @@ class Topology:
         def put(df: DataFrame, what: str, fmt: str = "parquet") -> None:
             df.write.mode("overwrite").format(fmt).save(f"{self.out}/{what}/query={self.query}/batch={batch_id}")
         ok, late = F.col("reason").isNull(), self._late(before)
-        batch = batch.withColumn("is_late", ok & late).persist()
+        kept = [c for c in ("event_id", "key") if c in batch.columns]
+        # only what a write below needs is held
+        batch = batch.select(*kept, "arrived_at", "case_number", "date", "district", "primary_type", "event_ts", "window_s",
+                             "raw_json", "reason", (ok & late).alias("is_late")).persist()
         try:
             seen = batch.agg(F.count(F.lit(1)).alias("messages"), F.count_if(ok).alias("accepted"),
                              F.count_if(F.col("is_late")).alias("late"), F.max(F.when(ok, F.col("window_s"))).alias("newest")).first()
             newest = None if seen.newest is None else seen.newest - self.delay
             mark = max((x for x in (before, newest) if x is not None), default=None)
             accepted, rejected = ev.split_parsed(batch)
-            kept = [c for c in ("event_id", "key") if c in batch.columns]
             writes = [lambda: put(ev.raw_archive(accepted, "arrived_at", kept), "archive", "json")]
             if seen.accepted < seen.messages:
                 writes.append(lambda: put(batch.where(~ok).select(*kept, "arrived_at", "reason", "raw_json"), "quarantine"))
@@ -173,7 +179,8 @@ class Topology:
         """``archive``, ``quarantine``, ``late`` or ``ledger`` of all queries. The
         middle two are there as soon as a row is."""
         path = f"{self.out}/{what}"
-        return spark.read.format("json" if what in ("archive", "ledger") else "parquet").load(path).drop("query", "batch")
+        reader = spark.read.schema(ARCHIVE_DOCUMENT) if what == "archive" else spark.read
+        return reader.format("json" if what in ("archive", "ledger") else "parquet").load(path).drop("query", "batch")
 
 
 def start(messages: DataFrame, out: str, size_s: int, slide_s: int, threshold: int, by_arrival: bool = True,

@@ -243,6 +243,57 @@ def test_a_batch_from_one_partition_is_parsed_by_many_tasks(spark, monkeypatch,
     assert sink.read(spark, "archive").count() == 900
 
 
+def test_the_messages_are_made_once_for_all_batches(spark, monkeypatch):
+    """One pass writes the messages of every batch; a batch without a message
+    still runs, under its own number."""
+    from blotter.plans import topology_queries as tq
+    made = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        made.add(1)
+        return row
+    rows = [message(i, "1", T0 + i) for i in range(0, 90, 3)]
+    monkeypatch.setattr(tq, "messages", lambda s, d: s.createDataFrame(s.sparkContext.parallelize(rows, 2).map(count), runner.MESSAGE_SCHEMA))
+    sink = tq._run(spark, "", by_arrival=False, close=False)
+    assert made.value == len(rows)
+    f = figures(spark, sink)
+    assert [f[i]["messages"] for i in range(3)] == [30, 0, 0]
+    assert sink.read(spark, "archive").count() == 30
+
+
+def test_the_parse_is_small_enough_to_be_compiled(spark, capsys):
+    """The JVM leaves methods of more than 8,000 bytes to the interpreter."""
+    import re
+    path = scratch_path(spark, "t-topo-code")
+    spark.createDataFrame([message(1, "1")], runner.MESSAGE_SCHEMA).write.parquet(path)
+    for by_arrival in (True, False):
+        topology.parsed_stream(spark.read.schema(runner.MESSAGE_SCHEMA).parquet(path), by_arrival).explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) < 8000
+
+
+def test_the_archive_is_read_under_its_own_schema(spark):
+    """A read infers nothing from the documents, so it is one pass."""
+    out = scratch_path(spark, "t-topo-archive")
+    _, sink = feed(spark, out, [[message(1, "1", block="x"), message(2, "D2", produced_at="now")]], arrival=F.timestamp_seconds("event_id"))
+    docs = sink.read(spark, "archive")
+    assert docs.schema == topology.ARCHIVE_DOCUMENT
+    assert sorted((r.event_id, r.key, r.district, r.payload.block, r.payload.district, r.payload.produced_at, r.ingested_at) for r in docs.collect()) == [
+        (1, "1", "001", "x", "1", None, "1970-01-01T00:00:01.000Z"), (2, "D2", "002", "b", "D2", "now", "1970-01-01T00:00:02.000Z")]
+
+
+@pytest.mark.parametrize("size, slide", [(50, 20), (60, 60), (30, 50), (300, 60)])
+def test_ended_windows_of_any_size_and_slide(spark, size, slide):
+    sink = topology.Topology("unused", size, slide, 0)
+    seconds = [-130, -7, 0, 3, 19, 20, 49, 50, 61, 149, 150, 333]
+    panes = spark.createDataFrame([("1", s // sink.pane * sink.pane, 1) for s in seconds], topology.STATE)
+    whole = {(s, s + size): sum(s <= at < s + size for at in seconds) for s in range(-20 * slide, 20 * slide, slide)}
+    for after, until in ((None, None), (10, None), (None, 200), (10, 200)):
+        got = {(r.s, r.e): r.event_count for r in sink._ended(panes, after, until).select(
+            *[F.unix_seconds(F.col(f"window_{x}").cast("timestamp")).alias(x[0]) for x in ("start", "end")], "event_count").collect()}
+        assert got == {w: n for w, n in whole.items() if n and (after is None or w[1] > after) and (until is None or w[1] <= until)}
+
+
 def test_update_mode_leaves_the_newest_version(spark):
     """A native update-mode query sends a window several times; the merging sink
     keeps one row and one document; a batch of an older number is skipped."""
